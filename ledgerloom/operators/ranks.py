@@ -1,7 +1,9 @@
-"""Relative rank over a whole table without sorting it in one task."""
+"""Relative ranks over a whole table without sorting it in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,41 +11,43 @@ _GRID = 512  # quantile points; a power of two for the search below
 _SPREAD = 1024
 
 
-def percent_rank_over_all(df: DataFrame, column: str, name: str, row_id: str) -> DataFrame:
-    """Add ``percent_rank() OVER (ORDER BY column)``; the column has no NULLs.
+def percent_ranks(df: DataFrame, row_id: str, measures: Sequence[str]) -> DataFrame:
+    """(row_id, one column per measure) with ``percent_rank()`` over all rows.
 
-    The table is cut at quantile points into groups that are ordered like the
-    values: one group per point, for rows equal to it, and one between two
-    points. A rank is the number of rows in lower groups plus the rank inside
-    the group. A value shared by very many rows is itself a quantile point; its
-    rows all have the same rank and are spread over tasks by ``row_id``. What
-    lies between two points is about 1/512 of the rows at most.
+    ``row_id`` is unique and no measure has NULLs. Each measure is cut at
+    quantile points into groups that are ordered like its values: one group per
+    point, for rows equal to it, and one between two points. A rank is the
+    number of rows in lower groups plus the rank inside the group. A value
+    shared by very many rows is itself a quantile point; its rows all have the
+    same rank and are spread over tasks. Between two points lies about 1/512 of
+    the rows at most. All measures go through as one long table.
     """
-    x = F.col(column)
-    points = F.percentile_approx(column, F.array(*[F.lit(i / _GRID) for i in range(1, _GRID)]), 10 * _GRID)
-    stats = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.array_distinct(points).alias("points")).alias("s")).scalar()
-    points = stats["points"]
-
-    # Binary search: _below = number of points less than the value.
-    placed = df.withColumn("_below", F.lit(0))
-    step = _GRID // 2
-    while step:
-        ahead = F.col("_below") + step
-        placed = placed.withColumn("_below", F.when(F.get(points, ahead - 1) < x, ahead).otherwise(F.col("_below")))
-        step //= 2
-    on_point = F.coalesce(F.get(points, F.col("_below")) == x, F.lit(False))
-    placed = placed.withColumn("_group", F.col("_below") * 2 + on_point.cast("int")).drop("_below")
-
-    sizes = placed.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("_group", before.alias("_before"))  # at most 2 * 512 rows
-
-    part = F.when(F.col("_group") % 2 == 1, F.pmod(F.xxhash64(row_id), F.lit(_SPREAD))).otherwise(F.lit(0))
-    inside = F.rank().over(Window.partitionBy("_group", "_part").orderBy(column))
-    ranked = placed.withColumn("_part", part).withColumn("_inside", inside)
-    share = F.try_divide(F.col("_before") + F.col("_inside") - 1, stats["n"] - 1)
-    return (
-        ranked.join(F.broadcast(offsets), "_group")
-        .withColumn(name, F.coalesce(share.cast("double"), F.lit(0.0)))
-        .drop("_group", "_part", "_inside", "_before")
+    pairs = ", ".join(f"'{m}', double({m})" for m in measures)
+    long = df.selectExpr(row_id, f"stack({len(measures)}, {pairs}) AS (measure, x)")
+
+    at = F.array(*[F.lit(i / _GRID) for i in range(1, _GRID)])
+    grid = long.groupBy("measure").agg(
+        F.array_distinct(F.percentile_approx("x", at, 10 * _GRID)).alias("points"), F.count(F.lit(1)).alias("total")
+    )
+    steps = ", ".join(str(_GRID >> i) for i in range(1, _GRID.bit_length()))
+    below = f"aggregate(array({steps}), 0, (b, s) -> CASE WHEN get(points, b + s - 1) < x THEN b + s ELSE b END)"
+    placed = (
+        long.join(F.broadcast(grid), "measure")  # one row per measure
+        .withColumn("below", F.expr(below))
+        .selectExpr(row_id, "measure", "x", "total", "2 * below + int(coalesce(get(points, below) = x, false)) AS grp")
+    )
+
+    sizes = placed.groupBy("measure", "grp").agg(F.count(F.lit(1)).alias("n"))
+    lower = Window.partitionBy("measure").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("measure", "grp", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"))
+
+    part = F.when(F.col("grp") % 2 == 1, F.pmod(F.xxhash64(row_id), F.lit(_SPREAD))).otherwise(F.lit(0))
+    inside = F.rank().over(Window.partitionBy("measure", "grp", "part").orderBy("x"))
+    ranked = (
+        placed.withColumn("part", part)
+        .withColumn("inside", inside)
+        .join(F.broadcast(offsets), ["measure", "grp"])  # at most 2 * 512 rows per measure
+        .withColumn("share", F.expr("coalesce(try_divide(double(lower + inside - 1), double(total - 1)), 0D)"))
     )
+    wide = [F.max(F.when(F.col("measure") == m, F.col("share"))).alias(m) for m in measures]
+    return ranked.groupBy(row_id).agg(*wide)

@@ -9,10 +9,11 @@ transactions and each loan of its customer. Every summary takes a ``grain``:
 
 Neither multiplies anything out. A row of the wide table occurs a known number
 of times: an account ``max(1, its transactions) * max(1, its customer's loans)``
-times, a transaction ``max(1, loans)`` times. Facts are summed per account or
-customer first, and those sums are weighted by the repeats. Only results that
-are wide rows by definition (``master_table`` and the joined form of the row
-level queries) are joined out.
+times, a transaction ``max(1, loans)`` times. Facts are summed per account and
+then per customer, and those sums are weighted by the repeats; no join in a
+summary meets more rows per key than there are groups. Only results that are
+wide rows by definition (``master_table`` and the joined form of the row level
+queries) are joined out; give these stored tables, as they read some twice.
 """
 
 from __future__ import annotations
@@ -55,34 +56,56 @@ def _loan_counts(t: Tables) -> DataFrame:
     return t["loans"].groupBy("customer_id").agg(m.rows("n_loans"))
 
 
-def _with_loan_weight(df: DataFrame, t: Tables, grain: str) -> DataFrame:
-    """Add ``wl``: how often the customer's rows repeat because of loans."""
+def _customers(t: Tables, grain: str) -> DataFrame:
+    """Each customer with ``wl``, how often its rows repeat because of loans."""
+    customers = t["customers"].select("customer_id")
     if not _repeats(grain):
-        return df.withColumn("wl", F.lit(1).cast("bigint"))
-    weight = F.coalesce("n_loans", F.lit(1))
-    return df.join(_loan_counts(t), "customer_id", "left").withColumn("wl", weight).drop("n_loans")
+        return customers.withColumn("wl", F.expr("1L"))
+    return customers.join(_loan_counts(t), "customer_id", "left").selectExpr(
+        "customer_id", "coalesce(n_loans, 1) AS wl"
+    )
+
 
+def _account_sums(t: Tables, grain: str, scale: int | None, *by: str) -> DataFrame:
+    """Accounts and their transactions summed per customer and ``by``.
 
-def _account_sums(t: Tables, grain: str, scale: int | None, lone: bool = True) -> DataFrame:
-    """Per customer and account: ``amount`` and ``txns`` of its transactions,
-    and ``wt``, how often the account repeats because of them."""
-    sums = t["transactions"].groupBy("account_id").agg(
+    ``balance`` and ``known``: balances and how many there are, ``amount`` and
+    ``txns``: transactions, ``wt``: rows, with accounts repeated for each of
+    their transactions in the joined grain. Transactions are summed per account
+    before the join, so a busy account or customer is a handful of rows.
+    """
+    moves = t["transactions"].groupBy("account_id").agg(
         m.partial("transaction_amount", "amount", scale), m.rows("txns")
     )
-    wt = F.coalesce("txns", F.lit(1)) if _repeats(grain) else F.lit(1)
-    return _owned(t, lone).join(sums, "account_id", "left").withColumn("wt", wt.cast("bigint"))
+    wt = "coalesce(txns, 1)" if _repeats(grain) else "1L"
+    accounts = t["accounts"].select("account_id", "customer_id", "branch_id", "opening_balance")
+    accounts = accounts.join(moves, "account_id", "left").withColumn("wt", F.expr(wt))
+    return accounts.groupBy("customer_id", *by).agg(
+        m.weighted("opening_balance", F.col("wt"), scale).alias("balance"),
+        F.expr("sum(CASE WHEN opening_balance IS NOT NULL THEN wt END) AS known"),
+        F.sum("amount").alias("amount"),
+        F.sum("txns").alias("txns"),
+        F.sum("wt").alias("wt"),
+    )
 
 
-def _balance_measures(scale: int | None) -> tuple[Column, Column]:
-    weight = F.col("wt") * F.col("wl")
-    balance = m.weighted("opening_balance", weight, scale)
-    known = F.sum(F.when(F.col("opening_balance").isNotNull(), weight))
-    return balance.cast("double"), m.ratio(balance, known)
+def _move_sums(t: Tables, grain: str, scale: int | None, *by: Column) -> DataFrame:
+    """Per customer and group: ``amount``, number of transactions ``txns`` and
+    of joined rows ``n``, with the customer's ``wl``."""
+    moves = t["transactions"].groupBy("account_id", *by).agg(
+        m.partial("transaction_amount", "amount", scale), m.rows("txns")
+    )
+    names = [c for c in moves.columns if c not in ("account_id", "amount", "txns")]
+    how = "left" if _repeats(grain) else "inner"
+    owned = t["accounts"].select("account_id", "customer_id").join(moves, "account_id", how)
+    per_customer = owned.groupBy("customer_id", *names).agg(
+        F.sum("amount").alias("amount"), F.sum("txns").alias("txns"), F.expr("sum(coalesce(txns, 1)) AS n")
+    )
+    return _customers(t, grain).join(per_customer, "customer_id", how)
 
 
-def _move_measures(scale: int | None) -> tuple[Column, Column]:
-    amount = m.weighted("amount", F.col("wl"), scale).cast("double")
-    return amount, F.sum(F.coalesce("txns", F.lit(0)) * F.col("wl"))
+def _times(column: str, weight: str, scale: int | None) -> Column:
+    return m.weighted(column, F.col(weight), scale)
 
 
 def master_table(t: Tables) -> DataFrame:
@@ -120,8 +143,12 @@ def master_table(t: Tables) -> DataFrame:
         "customer_id", "first_name", "last_name", "email", "phone_number", "city", "occupation", "dob"
     )
     # Branches join while there is still one row per account.
-    wide = outer_join_many(customers, accounts, "customer_id").join(branches, "branch_id", "left")
-    return outer_join_many(outer_join_many(wide, transactions, "account_id"), loans, "customer_id")
+    held = accounts.join(branches, "branch_id", "left")
+    moved = outer_join_many(held, transactions, "account_id")
+    lent = outer_join_many(customers, loans, "customer_id")
+    wide = moved.join(lent, "customer_id", "inner")
+    lone = lent.join(accounts.select("customer_id").distinct(), "customer_id", "left_anti")
+    return wide.unionByName(lone, allowMissingColumns=True)
 
 
 def master_fact(t: Tables, grain: str = EXACT) -> DataFrame:
@@ -129,78 +156,74 @@ def master_fact(t: Tables, grain: str = EXACT) -> DataFrame:
     moves = t["transactions"].select(
         "account_id", "transaction_id", "transaction_type", "transaction_amount", "transaction_date"
     )
-    owned = _with_loan_weight(_owned(t), t, grain)
-    facts = outer_join_many(owned, moves, "account_id")
+    accounts = t["accounts"].select("customer_id", "account_id", "branch_id")
+    customers = _customers(t, grain)
+    facts = outer_join_many(accounts, moves, "account_id").join(customers, "customer_id", "inner")
+    lone = customers.join(accounts.select("customer_id").distinct(), "customer_id", "left_anti")
+    facts = facts.unionByName(lone, allowMissingColumns=True)
     if _repeats(grain):
-        facts = facts.withColumn("_repeat", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("wl"))))
+        facts = facts.withColumn("_repeat", F.expr("explode(sequence(1, wl))"))
     return facts.select(FACT)
 
 
 def customer_summary(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
-    total_balance, avg_balance = _balance_measures(scale)
-    amount, count = _move_measures(scale)
-    sums = _with_loan_weight(_account_sums(t, grain, scale), t, grain)
-    return sums.groupBy("customer_id").agg(
-        total_balance.alias("total_balance"),
-        amount.alias("total_transaction_amount"),
-        avg_balance.alias("avg_balance"),
-        count.alias("transaction_count"),
+    sums = _account_sums(t, grain, scale)
+    # One row per customer on both sides: the loan weight is a plain factor.
+    joined = _customers(t, grain).join(sums, "customer_id", "left")
+    return joined.select(
+        "customer_id",
+        F.expr("double(balance * wl) AS total_balance"),
+        F.expr("double(amount * wl) AS total_transaction_amount"),
+        m.ratio(F.expr("balance * wl"), F.expr("known * wl")).alias("avg_balance"),
+        F.expr("coalesce(txns, 0) * wl AS transaction_count"),
     )
 
 
 def branch_performance(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
     """By the account's branch. The joined form has a group for customers
     without an account, whose branch is NULL."""
-    sums = _with_loan_weight(_account_sums(t, grain, scale, lone=_repeats(grain)), t, grain)
-    _, avg_balance = _balance_measures(scale)
-    amount, count = _move_measures(scale)
-    return sums.groupBy("branch_id").agg(
-        amount.alias("total_amount"), count.alias("transaction_count"), avg_balance.alias("avg_balance")
+    sums = _account_sums(t, grain, scale, "branch_id")
+    joined = _customers(t, grain).join(sums, "customer_id", "left" if _repeats(grain) else "inner")
+    return joined.groupBy("branch_id").agg(
+        _times("amount", "wl", scale).cast("double").alias("total_amount"),
+        F.expr("sum(coalesce(txns, 0) * wl) AS transaction_count"),
+        m.ratio(_times("balance", "wl", scale), F.expr("sum(known * wl)")).alias("avg_balance"),
     )
 
 
 def loan_analysis(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
     """The joined form has a NULL type for customers without a loan."""
-    per_customer = t["loans"].groupBy("customer_id", "loan_type").agg(
+    lent = t["loans"].groupBy("customer_id", "loan_type").agg(
         m.partial("loan_amount", "lent", scale), m.rows("n"), m.known("loan_amount", "known")
     )
+    customers = t["customers"].select("customer_id")
     if _repeats(grain):
-        repeats = _account_sums(t, grain, scale).groupBy("customer_id").agg(F.sum("wt").alias("r"))
-        weighted = repeats.join(per_customer, "customer_id", "left")
+        rows = _account_sums(t, grain, scale).select("customer_id", "wt")
+        customers = customers.join(rows, "customer_id", "left").selectExpr("customer_id", "coalesce(wt, 1) AS r")
+        weighted = customers.join(lent, "customer_id", "left")
     else:
-        customers = t["customers"].select("customer_id")
-        weighted = per_customer.join(customers, "customer_id", "left_semi").withColumn("r", F.lit(1).cast("bigint"))
-    r = F.col("r")
+        weighted = lent.join(customers, "customer_id", "left_semi").withColumn("r", F.expr("1L"))
     return weighted.groupBy("loan_type").agg(
-        F.sum(F.coalesce("n", F.lit(1)) * r).alias("total_loans"),
-        m.ratio(m.weighted("lent", r, scale), F.sum(F.col("known") * r)).alias("avg_loan_amount"),
-    )
-
-
-def _summed_moves(t: Tables, grain: str, scale: int | None, *by: Column) -> DataFrame:
-    """Transaction sums per account and group, with the customer's weight."""
-    moves = t["transactions"].groupBy("account_id", *by).agg(
-        m.partial("transaction_amount", "amount", scale), m.rows("txns")
+        F.expr("sum(coalesce(n, 1) * r) AS total_loans"),
+        m.ratio(_times("lent", "r", scale), F.expr("sum(known * r)")).alias("avg_loan_amount"),
     )
-    owned = _owned(t, lone=_repeats(grain)).select("customer_id", "account_id")
-    joined = owned.join(moves, "account_id", "left" if _repeats(grain) else "inner")
-    return _with_loan_weight(joined, t, grain)
 
 
 def transaction_summary(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
     """The joined form counts the rows of accounts without transactions under
     the NULL type."""
-    amount, _ = _move_measures(scale)
-    return _summed_moves(t, grain, scale, F.col("transaction_type")).groupBy("transaction_type").agg(
-        amount.alias("total_amount"), F.sum(F.coalesce("txns", F.lit(1)) * F.col("wl")).alias("transaction_count")
+    return _move_sums(t, grain, scale, F.col("transaction_type")).groupBy("transaction_type").agg(
+        _times("amount", "wl", scale).cast("double").alias("total_amount"),
+        F.expr("sum(coalesce(n, 1) * wl) AS transaction_count"),
     )
 
 
 def monthly_trends(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
-    day = F.col("transaction_date")
-    months = _summed_moves(t, grain, scale, F.year(day).alias("year"), F.month(day).alias("month"))
-    amount, count = _move_measures(scale)
-    return months.groupBy("year", "month").agg(amount.alias("monthly_revenue"), count.alias("transactions"))
+    months = [F.expr("year(transaction_date) AS year"), F.expr("month(transaction_date) AS month")]
+    return _move_sums(t, grain, scale, *months).groupBy("year", "month").agg(
+        _times("amount", "wl", scale).cast("double").alias("monthly_revenue"),
+        F.expr("sum(coalesce(txns, 0) * wl) AS transactions"),
+    )
 
 
 def _segment(bands: tuple[float, float]) -> Column:

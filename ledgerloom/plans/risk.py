@@ -11,24 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
-from ledgerloom.operators.ranks import percent_rank_over_all
+from ledgerloom.operators.ranks import percent_ranks
 
 HIGH, MEDIUM = 0.9, 0.6
 
 
 def customer_risk_score(fact: DataFrame, scale: int | None = None) -> DataFrame:
-    scored = fact.groupBy("customer_id").agg(
+    """``fact`` should be a stored table: its per-customer sums are used in
+    several branches of the plan."""
+    measures = ["transaction_count", "total_amount", "avg_amount"]
+    sums = fact.groupBy("customer_id").agg(
         m.rows("transaction_count"),
         m.total("transaction_amount", "total_amount", scale),
         m.mean("transaction_amount", "avg_amount", scale),
     )
-    parts = {"transaction_count": "count_rank", "total_amount": "total_rank", "avg_amount": "avg_rank"}
-    for measure, rank in parts.items():
-        scored = percent_rank_over_all(scored, measure, rank, "customer_id")
-    score = (F.col("count_rank") + F.col("total_rank") + F.col("avg_rank")) / 3
-    band = F.when(F.col("risk_score") >= HIGH, "High").when(F.col("risk_score") >= MEDIUM, "Medium").otherwise("Low")
-    return (
-        scored.withColumn("risk_score", score)
-        .withColumn("risk_band", band)
-        .select("customer_id", *parts, "risk_score", "risk_band")
-    )
+    ranks = percent_ranks(sums, "customer_id", measures)
+    score = ranks.selectExpr("customer_id", f"({' + '.join(measures)}) / {len(measures)} AS risk_score")
+    band = f"CASE WHEN risk_score >= {HIGH}D THEN 'High' WHEN risk_score >= {MEDIUM}D THEN 'Medium' ELSE 'Low' END"
+    return sums.join(score, "customer_id").withColumn("risk_band", F.expr(band))
