@@ -1,0 +1,77 @@
+import datetime as dt
+
+from ledgerloom.model import ACCOUNTS, AUDIT_COLUMN, BRANCHES, CUSTOMERS, ENTITIES, LOANS, TRANSACTIONS
+from ledgerloom.operators.dedup import latest_by
+from ledgerloom.plans import silver
+from ledgerloom.sources.raw import conform
+
+
+def raw(spark, entity, data, extra=""):
+    names = ", ".join(f"{c} string" for c in entity.columns)
+    return spark.createDataFrame(data, names + extra)
+
+
+def test_branches_first_row_wins_and_defaults(spark, rows):
+    data = [
+        ("b1", " Elm ", None, "north dakota", 0),
+        ("B1 ", "Other", None, "ohio", 1),
+        ("", "Nokey", None, "ohio", 2),
+        ("B2", None, None, "", 3),
+    ]
+    got = silver.clean_branches(raw(spark, BRANCHES, data, ", n int"), prefer=("n",), audit=False)
+    assert rows(got) == [("B1", "Elm", None, "North Dakota"), ("B2", "Unknown Branch", None, "Unknown")]
+
+
+def test_latest_transaction_wins_and_undated_ranks_last(spark, rows):
+    data = [
+        ("t1", "a1", "deposit", "Online", "5", "2024-01-01"),
+        ("T1", "a1", "deposit", "Online", "6", "2024-03-01"),
+        ("t1", "a1", "deposit", "Online", "7", "bad"),
+        ("t2", "a1", "null", "", "8", None),
+        ("t3", None, "x", "y", "9", "2024-01-01"),
+    ]
+    got = silver.clean_transactions(raw(spark, TRANSACTIONS, data), exact=True, audit=False)
+    assert rows(got) == [
+        ("T1", "A1", "Deposit", "Online", 6.0, dt.date(2024, 3, 1)),
+        ("T2", "A1", "Unknown", "Unknown", 8.0, dt.date(1900, 1, 1)),
+    ]
+    kept = silver.clean_transactions(raw(spark, TRANSACTIONS, data), require_fk=False, audit=False)
+    assert kept.count() == 3
+
+
+def test_median_counts_rows_that_are_dropped_later(spark):
+    data = [("", "c", "b", "10", None, None), ("l1", "c", "b", "x", None, None), ("l1", "c", "b", "30", None, None)]
+    data += [("l2", "c", "b", "", None, None)]
+    got = silver.clean_loans(raw(spark, LOANS, data), exact=True, audit=False)
+    assert got.filter("loan_id = 'L2'").first().loan_amount == 10.0
+
+
+def test_phone_keeps_its_type(spark):
+    data = [("c1", "a", "b", "e", "555-1", "x", None, None), ("c2", "a", "b", "e", "?", "x", None, None)]
+    got = silver.clean_customers(raw(spark, CUSTOMERS, data), exact=True)
+    assert dict(got.dtypes)["phone_number"] == "bigint" and AUDIT_COLUMN in got.columns
+    assert {r.phone_number for r in got.collect()} == {5551}
+
+
+def test_every_cleaner_takes_an_empty_table(spark):
+    for entity in ENTITIES.values():
+        assert silver.clean(raw(spark, entity, []), entity, exact=True).count() == 0
+
+
+def test_optional_foreign_keys(spark):
+    loans = conform(spark.createDataFrame([("l1", "c1", 5.0)], "LOAN_ID string, Customer_Id string, loan_amount double"), LOANS)
+    assert silver.clean_loans(loans).count() == 0
+    assert silver.clean_loans(loans, optional_fks=("branch_id",)).first().loan_amount == 5.0
+
+
+def test_survivors_do_not_depend_on_partitioning(spark, rows):
+    df = spark.range(2000).selectExpr("concat('k', id % 37) AS k", "id % 5 AS d", "concat('v', id) AS v")
+    results = [rows(latest_by(df.repartition(n), "k", ["k", "d", "v"], "d")) for n in (1, 7)]
+    assert results[0] == results[1] and len(results[0]) == 37
+
+
+def test_cleaning_twice_changes_no_key(spark, rows):
+    data = [(" a1", "c1 ", "b1", "SAVINGS", "", "$5", "2024-01-01"), ("a2", "c2", "b1", None, "x", "", "x")]
+    once = silver.clean_accounts(raw(spark, ACCOUNTS, data), exact=True, audit=False)
+    twice = silver.clean_accounts(conform(once, ACCOUNTS), exact=True, audit=False)
+    assert rows(once) == rows(twice)

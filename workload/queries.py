@@ -56,8 +56,9 @@ class Bank:
         self.source = Tables(lambda name: frame(spark, self.driver, CLEAN[name]))
         self.silver = Tables(self._clean)
         self.parents = Tables(self._parent)
-        self.kept = Tables(self._keep)
-        self.stored = Tables(lambda name: stage(self.kept[name], name))
+        self.kept = Tables(lambda name: self._keep(name, self.kept))
+        # The same as stored tables, for plans that read a table more than once.
+        self.stored = Tables(lambda name: stage(self._keep(name, self.stored), name))
 
     def _clean(self, name: str) -> DataFrame:
         return silver.clean(self.raw[name], ENTITIES[name], exact=True, prefer=PREFER.get(name, ()), audit=False)
@@ -67,10 +68,9 @@ class Bank:
         entity = ENTITIES[name]
         return self.silver[name] if entity.foreign_keys else silver.known_keys(self.raw[name], entity)
 
-    def _keep(self, name: str) -> DataFrame:
+    def _keep(self, name: str, kept: Tables) -> DataFrame:
         entity = ENTITIES[name]
-        parents = {parent: self.kept[parent] if ENTITIES[parent].foreign_keys else self.parents[parent]
-                   for parent in entity.parents.values()}
+        parents = {p: kept[p] if ENTITIES[p].foreign_keys else self.parents[p] for p in entity.parents.values()}
         return integrity.enforce_entity(self.silver[name], entity, parents)
 
     @cached_property
@@ -167,7 +167,8 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
         for name, plan in summed.items():
             plans[name + suffix] = lambda plan=plan, grain=grain: plan(b.kept, grain, scale=SCALE)
         for name, plan in by_row.items():
-            plans[name + suffix] = lambda plan=plan, grain=grain: plan(b.stored, grain)
+            tables = b.kept if grain == master.EXACT and name != "master_fact" else b.stored
+            plans[name + suffix] = lambda plan=plan, grain=grain, tables=tables: plan(tables, grain)
     return plans
 
 
