@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HEX_DIGITS = 4  # a draw has 16 bits
+_PER_DIGEST = 8  # an MD5 digest has 32 hex digits
 
 
 def threshold(p: float) -> str:
@@ -21,8 +22,13 @@ def threshold(p: float) -> str:
     return "g" if steps == 16**_HEX_DIGITS else f"{steps:0{_HEX_DIGITS}x}"
 
 
-def hit(row_id: Column, name: str, seed: int, p: float) -> Column:
-    """True for a share ``p`` of the rows, independently for each ``name``."""
-    digest = F.md5(F.concat_ws("|", row_id, F.lit(name), F.lit(str(seed))))
+def hit(row_id: Column, name: str, seed: int, p: float, slot: int = 0) -> Column:
+    """True for a share ``p`` of the rows, independently for each name and slot.
+
+    One digest serves eight slots, so a draw per column of a row costs Spark one
+    evaluation of the common digest, not one per column.
+    """
+    block, place = divmod(slot, _PER_DIGEST)
+    digest = F.md5(F.concat_ws("|", row_id, F.lit(f"{name}{block}"), F.lit(str(seed))))
     # Hex digits of equal length compare as text in the order of the numbers.
-    return F.substring(digest, 1, _HEX_DIGITS) < F.lit(threshold(p))
+    return F.substring(digest, place * _HEX_DIGITS + 1, _HEX_DIGITS) < F.lit(threshold(p))

@@ -49,17 +49,19 @@ def _exact_quantile(values: DataFrame, p: float) -> DataFrame:
                                                       double(edges[1]) - double(edges[0])) * {_BINS}),
                                      {_BINS} - 1), 0)
         END"""
-    binned = values.filter("x IS NOT NULL").withColumn("edges", edges).selectExpr("x", f"int({bin_of}) AS bin")
+    # Rows are set aside by a NULL key, not by a filter: a filter would move
+    # below the expression that reads x and evaluate it again for each mention.
+    binned = values.withColumn("edges", edges).selectExpr("x", f"CASE WHEN x IS NOT NULL THEN int({bin_of}) END AS bin")
 
-    counts = binned.groupBy("bin").agg(F.expr("count(1) AS n"))
+    counts = binned.groupBy("bin").agg(F.expr("count(x) AS n"))
     counts = counts.selectExpr(
         "bin", "n", "sum(n) OVER (ORDER BY bin) AS upto", f"greatest(ceil({p}D * sum(n) OVER ()), 1) AS rank"
     )
     place = F.expr("min(CASE WHEN upto >= rank THEN struct(bin, rank - upto + n AS place) END)")
     target = counts.agg(place.alias("t")).scalar()
 
-    near = binned.withColumn("t", target).filter("bin = t.bin").selectExpr("x", "t.place")
-    distinct = near.groupBy("x", "place").agg(F.expr("count(1) AS n"))
+    near = binned.withColumn("t", target).selectExpr("CASE WHEN bin = t.bin THEN x END AS x", "t.place")
+    distinct = near.groupBy("x", "place").agg(F.expr("count(x) AS n"))
     distinct = distinct.selectExpr("x", "place", "sum(n) OVER (ORDER BY x) AS upto")
     return distinct.agg(F.expr("min(CASE WHEN upto >= place THEN x END) AS quantile"))
 

@@ -22,12 +22,12 @@ NOISY_CASE = ("accounts", "customers")
 
 
 def map_columns(df: DataFrame, columns: list[str], fn) -> DataFrame:
-    """Replace each named column by ``fn(name)`` in one projection."""
-    return df.withColumns({c: fn(c) for c in columns})
+    """Replace each named column by ``fn(name, position)`` in one projection."""
+    return df.withColumns({c: fn(c, i) for i, c in enumerate(columns)})
 
 
 def inject_nulls(df: DataFrame, columns: list[str], row_id: Column, p: float = NULL_SHARE, seed: int = 0) -> DataFrame:
-    return map_columns(df, columns, lambda c: F.when(~hit(row_id, f"null:{c}", seed, p), F.col(c)))
+    return map_columns(df, columns, lambda c, i: F.when(~hit(row_id, "null", seed, p, i), F.col(c)))
 
 
 def inject_duplicates(
@@ -45,14 +45,14 @@ def inject_duplicates(
 
 
 def nulls_to_blank(df: DataFrame, columns: list[str]) -> DataFrame:
-    return map_columns(df, columns, lambda c: F.coalesce(F.col(c), F.lit("")))
+    return map_columns(df, columns, lambda c, _: F.coalesce(F.col(c), F.lit("")))
 
 
 def inject_case_noise(df: DataFrame, columns: list[str], row_id: Column, seed: int = 0) -> DataFrame:
-    def noisy(c: str) -> Column:
+    def noisy(c: str, i: int) -> Column:
         return (
-            F.when(hit(row_id, f"upper:{c}", seed, UPPER_SHARE), F.upper(c))
-            .when(hit(row_id, f"lower:{c}", seed, LOWER_SHARE), F.lower(c))
+            F.when(hit(row_id, "upper", seed, UPPER_SHARE, i), F.upper(c))
+            .when(hit(row_id, "lower", seed, LOWER_SHARE, i), F.lower(c))
             .otherwise(F.col(c))
         )
 

@@ -180,22 +180,23 @@ _SEGMENT = """CASE WHEN opening_balance > 50000 THEN 'High Value'
      WHEN opening_balance > 20000 THEN 'Medium Value' ELSE 'Low Value' END AS segment"""
 
 
-def _hit(row: str, name: str, limit: str) -> str:
-    return f"substr(md5(concat_ws('|', {row}, '{name}', '{SEED}')), 1, 4) < '{limit}'"
+def _hit(row: str, name: str, limit: str, slot: int = 0) -> str:
+    digest = f"md5(concat_ws('|', {row}, '{name}{slot // 8}', '{SEED}'))"
+    return f"substr({digest}, {slot % 8 * 4 + 1}, 4) < '{limit}'"
 
 
 # Shares 0.10, 0.05, 0.30 and 0.50 of 65536, in hex.
 _NULL, _COPY, _UPPER, _LOWER = "199a", "0ccd", "4ccd", "8000"
 
 
-def _hole(c: str, row: str = "row_id") -> str:
-    return f"CASE WHEN NOT ({_hit(row, 'null:' + c, _NULL)}) THEN {c} END"
+def _hole(c: str, slot: int) -> str:
+    return f"CASE WHEN NOT ({_hit('row_id', 'null', _NULL, slot)}) THEN {c} END"
 
 
-def _noise(c: str, row: str) -> str:
+def _noise(c: str, row: str, slot: int) -> str:
     return (
-        f"CASE WHEN {_hit(row, 'upper:' + c, _UPPER)} THEN upper({c}) "
-        f"WHEN {_hit(row, 'lower:' + c, _LOWER)} THEN lower({c}) ELSE {c} END"
+        f"CASE WHEN {_hit(row, 'upper', _UPPER, slot)} THEN upper({c}) "
+        f"WHEN {_hit(row, 'lower', _LOWER, slot)} THEN lower({c}) ELSE {c} END"
     )
 
 
@@ -211,17 +212,25 @@ _COLUMNS = {
 _NUMBERS = {"opening_balance", "transaction_amount", "loan_amount"}
 
 
+def _holes(columns: list[str], blank: bool) -> list[str]:
+    found = []
+    for i, c in enumerate(columns):
+        hole = _hole(c, i)
+        found.append(f"coalesce({hole}, '') AS {c}" if blank and c not in _NUMBERS else f"{hole} AS {c}")
+    return found
+
+
+def _noisy(columns: list[str], row: str) -> list[str]:
+    text = [c for c in columns if c not in _NUMBERS]
+    return [f"{_noise(c, row, text.index(c))} AS {c}" if c in text else c for c in columns]
+
+
 def _bronze(name: str) -> str:
     columns = _COLUMNS[name]
-    holes = ", ".join(f"{_hole(c)} AS {c}" if c in _NUMBERS else f"coalesce({_hole(c)}, '') AS {c}" for c in columns)
-    out = ", ".join(columns)
-    if name in ("accounts", "customers"):
-        out = ", ".join(
-            c if c in _NUMBERS else f"{_noise(c, chr(39) + chr(39) + ' || row_id || ' + chr(39) + '#' + chr(39) + ' || copy')} AS {c}"
-            for c in columns
-        )
+    holes = ", ".join(_holes(columns, blank=True))
+    out = _noisy(columns, "row_id || '#' || copy") if name in ("accounts", "customers") else columns
     return f"""
-SELECT {out} FROM (
+SELECT {', '.join(out)} FROM (
   SELECT row_id, {holes}, '0' AS copy FROM clean_{name}
   UNION ALL
   SELECT row_id, {holes}, '1' AS copy FROM clean_{name} WHERE {_hit('row_id', 'copy', _COPY)}) both_copies"""
@@ -229,15 +238,12 @@ SELECT {out} FROM (
 
 def _bronze_steps() -> dict[str, str]:
     columns = _COLUMNS["accounts"]
-    holes = [f"{_hole(c)} AS {c}" for c in columns]
-    blanks = [h if c in _NUMBERS else f"coalesce({_hole(c)}, '') AS {c}" for c, h in zip(columns, holes)]
-    noise = [c if c in _NUMBERS else f"{_noise(c, 'row_id')} AS {c}" for c in columns]
     return {
-        "b_nulls": f"SELECT row_id, {', '.join(holes)} FROM clean_accounts",
+        "b_nulls": f"SELECT row_id, {', '.join(_holes(columns, blank=False))} FROM clean_accounts",
         "b_duplicates": "SELECT * FROM clean_accounts UNION ALL "
         f"SELECT * FROM clean_accounts WHERE {_hit('row_id', 'copy', _COPY)}",
-        "b_blanks": f"SELECT row_id, {', '.join(blanks)} FROM clean_accounts",
-        "b_case_noise": f"SELECT row_id, {', '.join(noise)} FROM clean_accounts",
+        "b_blanks": f"SELECT row_id, {', '.join(_holes(columns, blank=True))} FROM clean_accounts",
+        "b_case_noise": f"SELECT row_id, {', '.join(_noisy(columns, 'row_id'))} FROM clean_accounts",
     }
 
 

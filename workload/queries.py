@@ -49,8 +49,8 @@ class Bank:
     enforcement, which the star schema and the master analytics read.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, sf_dir: str, exact: bool = True):
+        self.exact = exact
         self.driver = cache(lambda table: driver_table(spark, sf_dir, table))
         self.raw = Tables(lambda name: frame(spark, self.driver, RAW[name]))
         self.source = Tables(lambda name: frame(spark, self.driver, CLEAN[name]))
@@ -61,7 +61,9 @@ class Bank:
         self.stored = Tables(lambda name: stage(self._keep(name, self.stored), name))
 
     def _clean(self, name: str) -> DataFrame:
-        return silver.clean(self.raw[name], ENTITIES[name], exact=True, prefer=PREFER.get(name, ()), audit=False)
+        return silver.clean(
+            self.raw[name], ENTITIES[name], exact=self.exact, prefer=PREFER.get(name, ()), audit=False
+        )
 
     def _parent(self, name: str) -> DataFrame:
         """A table for key lookups: plain parents need not be cleaned for it."""
@@ -122,7 +124,7 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     plans["impute_median"] = lambda: quantile.impute_median(
         b.raw["loans"].select("customer_id", "loan_type", F.col("loan_amount").try_cast("double").alias("loan_amount")),
         "loan_amount",
-        exact=True,
+        exact=b.exact,
     )
 
     plans["ri_report"] = lambda: integrity.ri_report(b.parents)
@@ -146,7 +148,7 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     plans["kpi_monthly_trend"] = lambda: star.kpi_monthly_trend(b.fact, scale=SCALE)
     plans["kpi_account_type"] = lambda: star.kpi_account_type(b.fact, b.kept["accounts"], scale=SCALE)
     plans["kpi_customer_branch"] = lambda: star.kpi_customer_branch(b.fact, scale=SCALE)
-    plans["kpi_high_value_txn"] = lambda: star.kpi_high_value_txn(b.stored_fact, exact=True)
+    plans["kpi_high_value_txn"] = lambda: star.kpi_high_value_txn(b.stored_fact, exact=b.exact)
     plans["customer_risk_score"] = lambda: risk.customer_risk_score(b.stored_fact, scale=SCALE)
 
     plans["master_table"] = lambda: master.master_table(b.stored)
@@ -167,18 +169,25 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
         for name, plan in summed.items():
             plans[name + suffix] = lambda plan=plan, grain=grain: plan(b.kept, grain, scale=SCALE)
         for name, plan in by_row.items():
+            # Plans that read a table more than once get stored tables.
             tables = b.kept if grain == master.EXACT and name != "master_fact" else b.stored
             plans[name + suffix] = lambda plan=plan, grain=grain, tables=tables: plan(tables, grain)
     return plans
 
 
-def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _query(name: str, exact: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _catalog(Bank(spark, sf_dir))[name]()
+        return _catalog(Bank(spark, sf_dir, exact))[name]()
 
     run.__name__ = name
     return run
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(name) for name in _catalog(Bank(None, ""))}
+def queries(exact: bool = True) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """``exact`` quantiles agree with SQL to the row; the library's default is
+    a sketch with rank error 0.01."""
+    return {name: _query(name, exact) for name in _names()}
+
+
+def _names() -> list[str]:
+    return list(_catalog(Bank(None, "")))
