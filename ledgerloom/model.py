@@ -91,6 +91,7 @@ class Entity:
         return [f for f in self.fields if isinstance(f, Amount)]
 
 
+# Columns, raw spellings, file globs and relations of the entities.
 CUSTOMERS = Entity(
     "customers",
     (

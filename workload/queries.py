@@ -56,9 +56,12 @@ class Bank:
         self.source = Tables(lambda name: frame(spark, self.driver, CLEAN[name]))
         self.silver = Tables(self._clean)
         self.parents = Tables(self._parent)
-        self.kept = Tables(lambda name: self._keep(name, self.kept))
+        self.kept = Tables(self._keep)
+        # For plans that reach transactions through enforced accounts only: the
+        # join drops orphaned transactions, so they need not be dropped before.
+        self.linked = Tables(lambda name: (self.silver if name == "transactions" else self.kept)[name])
         # The same as stored tables, for plans that read a table more than once.
-        self.stored = Tables(lambda name: stage(self._keep(name, self.stored), name))
+        self.stored = Tables(lambda name: stage(self.linked[name], name))
 
     def _clean(self, name: str) -> DataFrame:
         return silver.clean(
@@ -70,15 +73,14 @@ class Bank:
         entity = ENTITIES[name]
         return self.silver[name] if entity.foreign_keys else silver.known_keys(self.raw[name], entity)
 
-    def _keep(self, name: str, kept: Tables) -> DataFrame:
+    def _keep(self, name: str) -> DataFrame:
         entity = ENTITIES[name]
-        parents = {p: kept[p] if ENTITIES[p].foreign_keys else self.parents[p] for p in entity.parents.values()}
+        parents = {p: self.kept[p] if ENTITIES[p].foreign_keys else self.parents[p] for p in entity.parents.values()}
         return integrity.enforce_entity(self.silver[name], entity, parents)
 
     @cached_property
     def fact(self) -> DataFrame:
-        # The inner join to enforced accounts already drops orphaned transactions.
-        return star.fact_transactions(self.silver["transactions"], self.kept["accounts"])
+        return star.fact_transactions(self.linked["transactions"], self.linked["accounts"])
 
     @cached_property
     def fact_sliced(self) -> DataFrame:
@@ -167,10 +169,10 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     }
     for grain, suffix in ((master.EXACT, ""), (master.JOINED, "_joined")):
         for name, plan in summed.items():
-            plans[name + suffix] = lambda plan=plan, grain=grain: plan(b.kept, grain, scale=SCALE)
+            plans[name + suffix] = lambda plan=plan, grain=grain: plan(b.linked, grain, scale=SCALE)
         for name, plan in by_row.items():
             # Plans that read a table more than once get stored tables.
-            tables = b.kept if grain == master.EXACT and name != "master_fact" else b.stored
+            tables = b.linked if grain == master.EXACT and name != "master_fact" else b.stored
             plans[name + suffix] = lambda plan=plan, grain=grain, tables=tables: plan(tables, grain)
     return plans
 
