@@ -16,16 +16,25 @@ from ledgerloom.operators.ranks import percent_ranks
 HIGH, MEDIUM = 0.9, 0.6
 
 
-def customer_risk_score(fact: DataFrame, scale: int | None = None) -> DataFrame:
-    """``fact`` should be a stored table: its per-customer sums are used in
-    several branches of the plan."""
-    measures = ["transaction_count", "total_amount", "avg_amount"]
-    sums = fact.groupBy("customer_id").agg(
+MEASURES = ["transaction_count", "total_amount", "avg_amount"]
+
+
+def customer_sums(fact: DataFrame, scale: int | None = None) -> DataFrame:
+    return fact.groupBy("customer_id").agg(
         m.rows("transaction_count"),
         m.total("transaction_amount", "total_amount", scale),
         m.mean("transaction_amount", "avg_amount", scale),
     )
-    ranks = percent_ranks(sums, "customer_id", measures)
-    score = ranks.selectExpr("customer_id", f"({' + '.join(measures)}) / {len(measures)} AS risk_score")
+
+
+def score(sums: DataFrame) -> DataFrame:
+    """Rank and band customers. Several branches of the plan read ``sums``."""
+    ranks = percent_ranks(sums, "customer_id", MEASURES)
+    mean = ranks.selectExpr("customer_id", f"({' + '.join(MEASURES)}) / {len(MEASURES)} AS risk_score")
     band = f"CASE WHEN risk_score >= {HIGH}D THEN 'High' WHEN risk_score >= {MEDIUM}D THEN 'Medium' ELSE 'Low' END"
-    return sums.join(score, "customer_id").withColumn("risk_band", F.expr(band))
+    return sums.join(mean, "customer_id").withColumn("risk_band", F.expr(band))
+
+
+def customer_risk_score(fact: DataFrame, scale: int | None = None) -> DataFrame:
+    """``fact`` should be a stored table; else store ``customer_sums`` first."""
+    return score(customer_sums(fact, scale))

@@ -151,7 +151,7 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     plans["kpi_account_type"] = lambda: star.kpi_account_type(b.fact, b.kept["accounts"], scale=SCALE)
     plans["kpi_customer_branch"] = lambda: star.kpi_customer_branch(b.fact, scale=SCALE)
     plans["kpi_high_value_txn"] = lambda: star.kpi_high_value_txn(b.stored_fact, exact=b.exact)
-    plans["customer_risk_score"] = lambda: risk.customer_risk_score(b.stored_fact, scale=SCALE)
+    plans["customer_risk_score"] = lambda: risk.score(stage(risk.customer_sums(b.fact, SCALE), "customer_sums"))
 
     plans["master_table"] = lambda: master.master_table(b.stored)
     summed = {
