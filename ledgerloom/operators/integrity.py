@@ -47,7 +47,9 @@ def ri_report(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionAll, checks)
 
 
-def enforce_entity(child: DataFrame, entity: Entity, parents: Tables, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def enforce_entity(
+    child: DataFrame, entity: Entity, parents: Tables, hot: Mapping[str, DataFrame | None] | None = None
+) -> DataFrame:
     """Rows of one entity that have all their parents.
 
     ``hot`` may give, per foreign key, the heavy keys to slice.
