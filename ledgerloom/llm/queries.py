@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common, contamination, language, token_records
+from ledgerloom.llm import common, contamination, language, near_duplicates, token_records
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -31,6 +31,10 @@ def tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return out
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.report(_table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(spark, _table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_duplicates": op1_near_duplicates,
         "op3_token_records": op3_token_records,
         "op4_decontamination": op4_decontamination,
         "op7_language_id": op7_language_id,
