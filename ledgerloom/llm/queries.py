@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common, contamination, language, near_duplicates, token_records
+from ledgerloom.llm import common, contamination, language, mixing, near_duplicates, nearest, personal, repeats, token_records, urls, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +42,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.report(_table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(spark, _table(spark, sf_dir, "documents"))
 
@@ -43,6 +54,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
     profiles = language.learn(docs.where(~F.col("held_out")))
@@ -50,13 +69,30 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the archives, read them back, drop them; the rows stay as a checkpoint."""
+    folder = common.new_folder(spark, "warc")
+    names = warc.write(_table(spark, sf_dir, "pages"), folder)
+    out = common.cut(warc.read(spark, folder, names).drop("url"))
+    if names:
+        common.remove(folder)
+    return out
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(_table(spark, sf_dir, "documents"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_near_duplicates": op1_near_duplicates,
-        "op3_token_records": op3_token_records,
-        "op4_decontamination": op4_decontamination,
-        "op7_language_id": op7_language_id,
-    }
+    found = (
+        op1_near_duplicates, op2_mixing, op3_token_records, op4_decontamination, op5_url_templates,
+        op6_repeated_strings, op7_language_id, op8_warc, op9_personal_data, op10_nearest,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

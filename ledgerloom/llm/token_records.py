@@ -25,6 +25,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -41,7 +42,7 @@ SHARD_BYTES = 16 << 20
 # byte-level pre-tokenizer always begins a new piece there, so the parts can be
 # encoded one by one; texts with other spacing are encoded whole.
 _IRREGULAR = re.compile(r"\s | \s|<\|")
-_CACHED = 1_000_000
+_CACHED = 800_000
 _HEAD, _SUM, _ID, _ROW = "<Q", "<I", "<Bq", "<qQQ"
 
 
@@ -88,10 +89,10 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learned(self, parts: list[str]) -> dict[str, bytes]:
         """Parts that begin with a space are encoded many in one text and told
         apart by the places of their tokens."""
-        width = self.type.itemsize
+        width, out = self.type.itemsize, {}
         for at in range(0, len(parts), 2000):
             some = parts[at : at + 2000]
             found = self.tokenizer.encode("".join(some), add_special_tokens=False)
@@ -99,7 +100,8 @@ class Encoder:
             starts = np.array([start for start, _ in found.offsets], np.int64)
             cuts = [0, *(np.searchsorted(starts, ends) * width).tolist()]
             flat = np.array(found.ids, self.type).tobytes()
-            self.known.update(zip(some, (flat[a:b] for a, b in pairwise(cuts)), strict=True))
+            out.update(zip(some, (flat[a:b] for a, b in pairwise(cuts)), strict=True))
+        return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each of a bounded number of texts."""
@@ -112,20 +114,25 @@ class Encoder:
             else:
                 first, *rest = text.replace(" ", "\0 ").split("\0")
                 split.append((self.whole(first), rest))
-        known = self.known
-        if len(known) > _CACHED:
-            known.clear()
-        found = [list(map(known.get, own)) for _, own in split]
+        found = [list(map(self.known.get, own)) for _, own in split]
         gaps = [[i for i, ids in enumerate(got) if ids is None] if None in got else [] for got in found]
-        self._learn(list({own[i] for (_, own), gap in zip(split, gaps, strict=True) for i in gap}))
+        learned = self._learned(list({own[i] for (_, own), gap in zip(split, gaps, strict=True) for i in gap}))
+        if len(self.known) + len(learned) <= _CACHED:
+            self.known.update(learned)
         out = []
         for (first, own), got, gap in zip(split, found, gaps, strict=True):
             for i in gap:
-                got[i] = known[own[i]]
+                got[i] = learned[own[i]]
             out.append(first + b"".join(got))
         return out
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker: what it learned serves the next tasks."""
+    return Encoder(path)
+
+
 def encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, bytes]]:
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
@@ -153,14 +160,14 @@ def write(
     manifest = pa.schema([("shard", pa.int64()), ("documents", pa.int64()), ("ids", pa.int64())])
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer)
-        end, index, total = np.array([end_id], encoder.type).tobytes(), bytearray(), [0, 0, 0]
+        shard, own = TaskContext.get().partitionId(), encoder(tokenizer)
+        end, index, total = np.array([end_id], own.type).tobytes(), bytearray(), [0, 0, 0]
 
         def records() -> Iterator[bytes]:
-            for doc, ids in encoded(batches, encoder):
+            for doc, ids in encoded(batches, own):
                 ids += end
                 record = framed(struct.pack(_ID, doc is not None, doc or 0) + ids)
-                count = len(ids) // encoder.type.itemsize
+                count = len(ids) // own.type.itemsize
                 index.extend(struct.pack(_ROW, doc or 0, total[2], count))
                 total[0] += 1
                 total[1] += count
@@ -219,4 +226,4 @@ def read_at(folder: str, shard: int, rows: list[int], width: int = 2) -> list[tu
 
 
 def width_of(tokenizer: str) -> int:
-    return Encoder(tokenizer).type.itemsize
+    return encoder(tokenizer).type.itemsize
