@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common, contamination, language
+from ledgerloom.llm import common, contamination, language, mixing, near_duplicates
 from ledgerloom.llm.queries import tokens
 
 #: The languages come from a model and the token ids from a vocabulary file: no SQL.
@@ -24,18 +24,35 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where(F.col(f"{name}.lang") != language.UNKNOWN).drop(name)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies (five-word shingles, 80 %) the document with the
+    smallest id stays."""
+    return near_duplicates.keep_one(docs)
+
+
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold text of a benchmark item go."""
     return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the schedule; those of small sources come in
+    as often as their weight asks for."""
+    slot, place, _ = names = tuple(common.free_name(docs, c) for c in ("slot", "place", "epoch"))
+    mixed = mixing.mix(docs, out=names)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return mixed.repartitionByRange(parts, slot, place).sortWithinPartitions(slot, place).drop(*names)
+
+
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens(spark, docs)
 
 
 STAGES = [
     ("language", known_language),
+    ("near duplicates", one_of_each),
     ("decontamination", without_benchmarks),
+    ("mix", target_mix),
     ("tokens", token_records),
 ]
 
@@ -46,7 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for place, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES):
-            path = common.new_folder(spark, f"stage-{name}")
+            path = common.new_folder(spark, f"stage-{place}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
