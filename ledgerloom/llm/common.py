@@ -69,7 +69,8 @@ def publish(folder: str, name: str, chunks: Iterator[bytes]) -> int:
 
 def remove(folder: str) -> None:
     store, path = opened(folder)
-    store.delete_dir(path)
+    if store.get_file_info(path).type != pafs.FileType.NotFound:
+        store.delete_dir(path)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:

@@ -32,6 +32,9 @@ DIMENSIONS = 256
 TABLE_RUNS = 40_000
 SYMBOLS = 64
 MOST_LANGUAGES = 500
+#: A document's weight, dealt to its runs. Sums of whole numbers don't depend on the
+#: order of the tasks.
+SHARE = 1_000_000
 SEED = 20
 
 
@@ -114,7 +117,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Pr
     rows = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
     )
-    kind = pa.schema([("lang", pa.string()), ("run", pa.int64()), ("weight", pa.float64())])
+    kind = pa.schema([("lang", pa.string()), ("run", pa.int64()), ("weight", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles, sums = Profiles(), {}
@@ -124,13 +127,12 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Pr
                 if lang not in sums:
                     if len(sums) >= MOST_LANGUAGES:
                         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-                    sums[lang] = np.zeros(SYMBOLS**3)
-                sums[lang][runs] += counts / counts.sum()
-        yield from batched(((k, int(r), float(v[r])) for k, v in sums.items() for r in np.flatnonzero(v)), kind)
+                    sums[lang] = np.zeros(SYMBOLS**3, np.int64)
+                sums[lang][runs] += counts * SHARE // counts.sum()
+        yield from batched(((k, int(r), int(v[r])) for k, v in sums.items() for r in np.flatnonzero(v)), kind)
 
-    found = rows.mapInArrow(count, "lang string, run long, weight double")
-    # Decimal sums don't depend on the order of the tasks.
-    total = found.groupBy("lang", "run").agg(F.sum(F.col("weight").cast("decimal(30,9)")).cast("double").alias("weight"))
+    found = rows.mapInArrow(count, "lang string, run long, weight long")
+    total = found.groupBy("lang", "run").agg(F.sum("weight").alias("weight"))
     table = total.toArrow()
     langs = np.array(table["lang"].to_pylist(), object)
     names = sorted(set(langs))

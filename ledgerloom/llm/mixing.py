@@ -40,15 +40,22 @@ BUCKET_ROWS = 2000
 
 def whole_weights(weights: dict, period: int) -> dict:
     """Weights as whole numbers of at least 1 that add up to the period, by largest
-    remainders."""
+    remainders. The period is no shorter than ten slots a source."""
     if not weights or any(not w > 0 for w in weights.values()):
         raise ValueError("weights must be over 0")
-    period, total = max(period, len(weights)), sum(weights.values())
-    exact = {k: 1 + (period - len(weights)) * w / total for k, w in weights.items()}
-    out = {k: int(x) for k, x in exact.items()}
-    order = sorted(out, key=lambda k: (out[k] - exact[k], k is not None, str(k)))
-    for k in order[: period - sum(out.values())]:
+    period, total = max(period, 10 * len(weights)), sum(weights.values())
+    exact = {k: period * w / total for k, w in weights.items()}
+    out = {k: max(1, int(x)) for k, x in exact.items()}
+    name = lambda k: (k is not None, str(k))
+    for k in sorted(out, key=lambda k: (out[k] - exact[k], name(k)))[: max(0, period - sum(out.values()))]:
         out[k] += 1
+    # Weights that were lifted to 1 are taken from the largest.
+    largest = [(-n, name(k), k) for k, n in out.items()]
+    heapq.heapify(largest)
+    for _ in range(sum(out.values()) - period):
+        n, order, k = largest[0]
+        out[k] -= 1
+        heapq.heapreplace(largest, (n + 1, order, k))
     return out
 
 
