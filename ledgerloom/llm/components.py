@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import cut
 
 
+#: Links a task handles at least.
+TASK_LINKS = 50_000
+
+
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -22,14 +26,17 @@ def components(links: DataFrame) -> DataFrame:
     AQE can split. The number of rounds grows with the logarithm of the path lengths."""
     links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(links)
+    # A round has no more links than two for each of the first ones.
+    tasks = 1 + 2 * state[0] // TASK_LINKS
     while True:
+        links = links.coalesce(tasks)
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = cut(large.where("a <> b").distinct())
+        links = cut(large.where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
         low = links.groupBy("a").agg(F.min("b").alias("low"))
         small = links.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = cut(small.union(low.select("a", F.col("low").alias("b"))).distinct())
+        links = cut(small.union(low.select("a", F.col("low").alias("b"))).coalesce(tasks).distinct().coalesce(tasks))
         before, state = state, _state(links)
         if before == state:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -6,12 +6,14 @@ differ in at most 15 symbols have, by the pigeonhole principle, a chunk that dif
 at most one. So every chunk is entered in five buckets, each with another symbol masked
 out, and all pairs under that distance meet in a bucket. At a similarity of 0.8 a pair has 8
 different symbols on average; it meets in no bucket with a chance of 2e-5. What
-meets is compared on whole signatures, then on the full sets.
+meets is compared on whole signatures, on a parity sketch and on the full sets. The parity
+sketch has 512 bits, each the parity of the shingles that hash to it: two sets differ in at
+least as many shingles as their sketches in bits, so it only rules out pairs that are no link.
 
 Texts with equal sets are one class (a 64-bit hash of the set, with its size). Groups of
 near copies are not expanded into pairs: every class is first compared with one pivot
 of each of its buckets, what links is joined into components, and this is repeated with
-other pivots while many pairs of one bucket are in different components. Then
+another pivot if many pairs of one bucket are in different components. Then
 all pairs that are left are compared, so every link between components is found.
 
 Defined results: no text or no word: an empty set, its own component, kept; a single
@@ -38,7 +40,8 @@ CHUNKS, SYMBOLS, LANE, BITS = 8, 5, 12, 11
 GUARANTEED = 2 * CHUNKS - 1
 #: Signatures further apart than this are not compared on their sets: 6 deviations at 0.8.
 FAR = 23
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 1
+PARITY_LONGS = 8
 _SEED = 77
 _BLOCK = 4096
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -102,15 +105,23 @@ class Sketcher:
         lanes = symbols << (np.arange(SYMBOLS, dtype=np.uint64) * np.uint64(LANE))
         return np.bitwise_or.reduce(lanes, axis=1).astype(np.int64).tolist()
 
+    def parity(self, shingles: np.ndarray) -> list[int]:
+        bits = 64 * PARITY_LONGS
+        odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
 
 _CHUNK_NAMES = [f"c{i}" for i in range(CHUNKS)]
+_PARITY_NAMES = [f"p{i}" for i in range(PARITY_LONGS)]
+_SIGNATURE = ("n", *_CHUNK_NAMES, *_PARITY_NAMES)
 
 
 def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, tag (hash of the text), n, node (hash of the set, null if empty), c0 to c7."""
+    """doc_id, tag (hash of the text), node (hash of the set, null if empty), n, the chunks
+    of the signature and the parity sketch."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    names = ["doc_id", "tag", "n", "node", *_CHUNK_NAMES]
+    names = ["doc_id", "tag", "node", *_SIGNATURE]
     kind = pa.schema([(name, pa.int64()) for name in names])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +132,9 @@ def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                 found = own.shingles(text)
                 if len(found):
                     node = xxhash.xxh3_64_intdigest(found.tobytes(), len(found))
-                    yield doc, tag, len(found), node - (1 << 63), *own.signature(found)
+                    yield doc, tag, node - (1 << 63), len(found), *own.signature(found), *own.parity(found)
                 else:
-                    yield doc, tag, 0, None, *[None] * CHUNKS
+                    yield doc, tag, None, 0, *[None] * (CHUNKS + PARITY_LONGS)
 
         yield from batched(out(), kind)
 
@@ -148,36 +159,31 @@ def _distance(left: str, right: str) -> Column:
 
 def _comparable(left: str, right: str, percent: int) -> Column:
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (_distance(left, right) < FAR)
-
-
-def _first_bucket(left: str, right: str) -> Column:
-    """The bucket in which a pair is taken up: of its first chunk with at most one
-    difference, the lane that differs, or lane 0."""
-    found = F.lit(None).cast("long")
-    for i in reversed(range(CHUNKS)):
-        a, b = F.col(f"{left}.c{i}"), F.col(f"{right}.c{i}")
-        lane = F.lit(0)
-        for j in range(1, SYMBOLS):
-            lane = F.when(a.bitwiseXOR(b).bitwiseAND(F.lit(_lane(j))) != 0, j).otherwise(lane)
-        found = F.when(_apart(a, b) <= 1, _bucket(i, lane, a, b)).otherwise(found)
-    return found
+    odd = (F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in _PARITY_NAMES)
+    differ = reduce(lambda x, y: x + y, odd)
+    return (
+        (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+        & (differ * (100 + percent) <= (a + b) * (100 - percent))
+        & (_distance(left, right) < FAR)
+    )
 
 
-def _bucket(chunk: int, lane: Column, a: Column, b: Column) -> Column:
-    """Where the two differ, both have the lane masked out."""
-    masked = a
-    for j in range(SYMBOLS):
-        masked = F.when(lane == j, a.bitwiseAND(F.lit(~_lane(j)))).otherwise(masked)
-    return F.xxhash64(masked, (F.lit(chunk * SYMBOLS) + lane).cast("int"))
+def _taken_here(left: str, right: str) -> Column:
+    """Of the buckets in which a pair meets it is taken up in one: that of its first chunk
+    with at most one difference, and of its lanes the one that differs, or lane 0. In
+    their bucket the two rows agree on the chunk but for its lane."""
+    chunk, lane = F.floor(F.col(f"{left}.cell") / SYMBOLS), F.col(f"{left}.cell") % SYMBOLS
+    before = ((chunk <= i) | (_apart(F.col(f"{left}.c{i}"), F.col(f"{right}.c{i}")) > 1) for i in range(CHUNKS - 1))
+    differs = F.col(f"{left}.own") != F.col(f"{right}.own")
+    return reduce(lambda x, y: x & y, before, (lane == 0) | differs)
 
 
 def _entries(classes: DataFrame) -> DataFrame:
-    """(key, node): the buckets of each class."""
+    """(node, cell, key): the buckets of each class; a cell is a chunk and its masked lane."""
     keys = [
         F.xxhash64(F.col(f"c{i}").bitwiseAND(F.lit(~_lane(j))), F.lit(i * SYMBOLS + j)) for i in range(CHUNKS) for j in range(SYMBOLS)
     ]
-    return classes.select("node", F.explode(F.array(*keys)).alias("key"))
+    return classes.select("node", F.posexplode(F.array(*keys)).alias("cell", "key"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -219,7 +225,7 @@ def groups(
     rows = cut(sketches(docs, size, id_col, text_col))
     classes = rows.where("node is not null").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("of"),
-        *(F.first(c).alias(c) for c in ("n", *_CHUNK_NAMES)),
+        *(F.first(c).alias(c) for c in _SIGNATURE),
     )
     classes = cut(classes)
     entries = _entries(classes)
@@ -232,28 +238,29 @@ def groups(
         involved.alias("i"), (F.col("s.tag") == F.col("i.tag")) & F.col("s.doc_id").eqNullSafe(F.col("i.doc_id"))
     )
     texts = cut(found.groupBy("i.node").agg(F.min("s.text").alias("text")))
-    signatures = classes.select("node", "n", *_CHUNK_NAMES)
+    signatures = classes.select("node", *_SIGNATURE)
 
     links = cut(_confirmed(_pairs_with(members.select("node", "pivot"), signatures, percent), texts, size, percent))
     roots = cut(components(links))
     total = signatures.count()
     for turn in range(PIVOT_ROUNDS + 1):
-        marked = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        marked = members.select("key", "cell", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         by_root = marked.groupBy("key", "root").agg(F.count("*").alias("n"))
         split = by_root.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("roots"))
         split = cut(split.where("roots > 1"))
         left = split.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
         marked = cut(marked.join(split.select("key"), "key"))
-        last = left <= 4 * total or turn == PIVOT_ROUNDS
+        last = left <= 10 * total or turn == PIVOT_ROUNDS
         if last:
-            sides = cut(marked.join(signatures, "node"))
+            chunk = F.get(F.array(*_CHUNK_NAMES), F.floor(F.col("cell") / SYMBOLS).cast("int"))
+            sides = cut(marked.join(signatures, "node").withColumn("own", chunk))
             near = sides.alias("x").join(
                 sides.alias("y"),
                 (F.col("x.key") == F.col("y.key"))
                 & (F.col("x.root") != F.col("y.root"))
                 & (F.col("x.node") < F.col("y.node"))
                 & _comparable("x", "y", percent)
-                & (_first_bucket("x", "y") == F.col("x.key")),
+                & _taken_here("x", "y"),
             )
             pairs = near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         else:

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import near_duplicates
 from ledgerloom.llm.components import components
@@ -90,17 +91,17 @@ def test_signature_distance_and_buckets(spark):
         apart = sum(x != y for c, d in zip(a, b, strict=True) for x, y in zip(c, d, strict=True))
         rows += [(2 * i, 1, *pack(a), apart), (2 * i + 1, 1, *pack(b), apart)]
     frame = spark.createDataFrame(rows, ["node", "n", *near_duplicates._CHUNK_NAMES, "apart"])
-    pairs = frame.alias("x").join(frame.alias("y"), near_duplicates.F.expr("x.node + 1 = y.node and x.node % 2 = 0"))
-    got = pairs.select("x.apart", near_duplicates._distance("x", "y").alias("d"), near_duplicates._first_bucket("x", "y").alias("key"), "x.node").collect()
-    assert all(r.apart == r.d for r in got)
-    entries = {}
-    for r in near_duplicates._entries(frame).collect():
-        entries.setdefault(r.node, set()).add(r.key)
-    for r in got:
-        shared = entries[r.node] & entries[r.node + 1]
-        assert (r.key is None) == (not shared)
-        assert r.key is None or r.key in shared
-        assert shared or r.apart > near_duplicates.GUARANTEED
+    pairs = frame.alias("x").join(frame.alias("y"), F.expr("x.node + 1 = y.node and x.node % 2 = 0"))
+    apart = {r.node: (r.apart, r.d) for r in pairs.select("x.node", "x.apart", near_duplicates._distance("x", "y").alias("d")).collect()}
+    assert all(want == got for want, got in apart.values())
+    chunk = F.get(F.array(*near_duplicates._CHUNK_NAMES), F.floor(F.col("cell") / 5).cast("int"))
+    sides = near_duplicates._entries(frame).join(frame, "node").withColumn("own", chunk)
+    met = sides.alias("x").join(sides.alias("y"), F.expr("x.key = y.key and x.node + 1 = y.node and x.node % 2 = 0"))
+    shared = {r.node for r in met.select("x.node").collect()}
+    taken = [r.node for r in met.where(near_duplicates._taken_here("x", "y")).select("x.node").collect()]
+    # Taken up once each, and all within the guaranteed distance.
+    assert sorted(taken) == sorted(shared)
+    assert all(node in shared or d > near_duplicates.GUARANTEED for node, (d, _) in apart.items())
 
 
 def test_components_of_paths_and_stars(spark):
