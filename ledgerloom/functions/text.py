@@ -6,6 +6,8 @@ per field.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,11 +48,18 @@ def money(c: str, type: str = "double") -> Column:
     """
     text = f"trim({_blank_to_null(c)})"
     bare = f"regexp_replace({text}, '[^0-9.-]', '')"
-    return F.expr(f"try_cast(CASE WHEN {text} RLIKE '{_WELL_FORMED}' THEN {text} ELSE {bare} END AS {type})")
+    return _finite(f"try_cast(CASE WHEN {text} RLIKE '{_WELL_FORMED}' THEN {text} ELSE {bare} END AS {type})", type)
 
 
 def plain_number(c: str, type: str = "double") -> Column:
-    return F.expr(f"try_cast({_blank_to_null(c)} AS {type})")
+    return _finite(f"try_cast({_blank_to_null(c)} AS {type})", type)
+
+
+def _finite(number: str, type: str) -> Column:
+    """Text such as ``NaN`` or ``Infinity`` is no amount: NULL. (NaN sorts above infinity.)"""
+    if type not in ("double", "float"):
+        return F.expr(number)
+    return F.expr(f"transform(array({number}), x -> CASE WHEN abs(x) < double('Infinity') THEN x END)[0]")
 
 
 def sentinel_day() -> Column:
@@ -61,6 +70,12 @@ def day(c: str) -> Column:
     return F.expr(f"coalesce(try_to_date({_blank_to_null(c)}, '{DAY_FORMAT}'), DATE '{SENTINEL_DAY}')")
 
 
+def placeholders(fields: Sequence) -> dict[str, Column]:
+    """The value that stands for a missing one, of the columns that have such a value."""
+    found = {f.name: F.lit(f.default) for f in fields if isinstance(f, Label)}
+    return found | {f.name: sentinel_day() for f in fields if isinstance(f, Day)}
+
+
 _READINGS = {"digits": digits, "money": money, "plain": plain_number}
 
 

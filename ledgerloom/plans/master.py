@@ -83,7 +83,7 @@ def _account_sums(t: Tables, grain: str, scale: int | None, *by: str) -> DataFra
     return accounts.groupBy("customer_id", *by).agg(
         m.weighted("opening_balance", F.col("wt"), scale).alias("balance"),
         F.expr("sum(CASE WHEN opening_balance IS NOT NULL THEN wt END) AS known"),
-        F.sum("amount").alias("amount"),
+        m.again("amount", scale).alias("amount"),
         F.sum("txns").alias("txns"),
         F.sum("wt").alias("wt"),
     )
@@ -99,7 +99,7 @@ def _move_sums(t: Tables, grain: str, scale: int | None, *by: Column) -> DataFra
     how = "left" if _repeats(grain) else "inner"
     owned = t["accounts"].select("account_id", "customer_id").join(moves, "account_id", how)
     per_customer = owned.groupBy("customer_id", *names).agg(
-        F.sum("amount").alias("amount"), F.sum("txns").alias("txns"), F.expr("sum(coalesce(txns, 1)) AS n")
+        m.again("amount", scale).alias("amount"), F.sum("txns").alias("txns"), F.expr("sum(coalesce(txns, 1)) AS n")
     )
     return _customers(t, grain).join(per_customer, "customer_id", how)
 
@@ -172,9 +172,9 @@ def customer_summary(t: Tables, grain: str = EXACT, scale: int | None = None) ->
     joined = _customers(t, grain).join(sums, "customer_id", "left")
     return joined.select(
         "customer_id",
-        F.expr("double(balance * wl) AS total_balance"),
-        F.expr("double(amount * wl) AS total_transaction_amount"),
-        m.ratio(F.expr("balance * wl"), F.expr("known * wl")).alias("avg_balance"),
+        m.times("balance", F.col("wl"), scale).cast("double").alias("total_balance"),
+        m.times("amount", F.col("wl"), scale).cast("double").alias("total_transaction_amount"),
+        m.ratio(m.times("balance", F.col("wl"), scale), F.expr("known * wl")).alias("avg_balance"),
         F.expr("coalesce(txns, 0) * wl AS transaction_count"),
     )
 
@@ -209,9 +209,21 @@ def loan_analysis(t: Tables, grain: str = EXACT, scale: int | None = None) -> Da
     )
 
 
+def _linked_moves(t: Tables) -> DataFrame:
+    """Transactions of the accounts of customers."""
+    accounts = t["accounts"].select("account_id", "customer_id")
+    accounts = accounts.join(t["customers"].select("customer_id"), "customer_id", "left_semi")
+    return t["transactions"].join(accounts.select("account_id"), "account_id", "left_semi")
+
+
 def transaction_summary(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
     """The joined form counts the rows of accounts without transactions under
-    the NULL type."""
+    the NULL type. In the exact form every weight is 1 and no sums per customer are
+    needed; of the customers it reads the keys only."""
+    if not _repeats(grain):
+        return _linked_moves(t).groupBy("transaction_type").agg(
+            m.total("transaction_amount", "total_amount", scale), m.rows("transaction_count")
+        )
     return _move_sums(t, grain, scale, F.col("transaction_type")).groupBy("transaction_type").agg(
         _times("amount", "wl", scale).cast("double").alias("total_amount"),
         F.expr("sum(coalesce(n, 1) * wl) AS transaction_count"),
@@ -220,6 +232,10 @@ def transaction_summary(t: Tables, grain: str = EXACT, scale: int | None = None)
 
 def monthly_trends(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
     months = [F.expr("year(transaction_date) AS year"), F.expr("month(transaction_date) AS month")]
+    if not _repeats(grain):
+        return _linked_moves(t).groupBy(*months).agg(
+            m.total("transaction_amount", "monthly_revenue", scale), m.known("transaction_id", "transactions")
+        )
     return _move_sums(t, grain, scale, *months).groupBy("year", "month").agg(
         _times("amount", "wl", scale).cast("double").alias("monthly_revenue"),
         F.expr("sum(coalesce(txns, 0) * wl) AS transactions"),

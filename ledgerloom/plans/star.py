@@ -10,7 +10,7 @@ from ledgerloom.functions.text import sentinel_day
 from ledgerloom.operators.quantile import quantile
 from ledgerloom.operators.skew import parent_join
 
-# The columns of the star schema.
+# The columns of the star schema. The output names of the KPIs below are fixed, too.
 DIM_CUSTOMERS = ["customer_id", "first_name", "last_name", "city"]
 DIM_BRANCHES = ["branch_id", "branch_name", "branch_state"]
 DIM_ACCOUNTS = ["account_id", "customer_id", "branch_id", "account_type", "opening_balance", "account_open_date"]
@@ -100,7 +100,7 @@ def kpi_account_type(fact: DataFrame, accounts: DataFrame, scale: int | None = N
     per_account = fact.groupBy("account_id").agg(m.partial(AMOUNT, "amount", scale), m.rows("txns"))
     typed = per_account.join(accounts.select("account_id", "account_type"), "account_id")
     return typed.groupBy("account_type").agg(
-        F.sum("amount").cast("double").alias("total_amount"), F.sum("txns").alias("txn_count")
+        m.again("amount", scale).cast("double").alias("total_amount"), F.sum("txns").alias("txn_count")
     )
 
 
