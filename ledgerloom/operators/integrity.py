@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -36,25 +36,48 @@ def count_orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"))
 
 
-def ri_report(tables: Tables) -> DataFrame:
-    """(check, orphans, ok) for every relation, in one frame and one action."""
-    checks = [
-        count_orphans(tables[child], tables[parent], fk).select(
-            F.lit(f"{child}.{fk} -> {parent}").alias("check"), "orphans", (F.col("orphans") == 0).alias("ok")
-        )
-        for child, fk, parent in RELATIONS
-    ]
+def ri_report(tables: Tables, relations: Sequence[tuple[str, str, str]] = RELATIONS) -> DataFrame:
+    """(check, orphans, ok) for every relation, in one frame and one action. A child's
+    foreign keys are counted in one pass over its rows, each key once."""
+    checks = []
+    for child in dict.fromkeys(child for child, _, _ in relations):
+        own = {fk: parent for name, fk, parent in relations if name == child}
+        checks.append(_child_report(child, tables[child], {fk: (p, tables[p]) for fk, p in own.items()}))
     return reduce(DataFrame.unionAll, checks)
 
 
+def _child_report(name: str, child: DataFrame, parents: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
+    pairs = ", ".join(f"'{fk}', {fk}" for fk in parents)
+    per_key = child.selectExpr(f"stack({len(parents)}, {pairs}) AS (fk, k)").groupBy("fk", "k").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(
+        DataFrame.unionAll,
+        (p.select(F.lit(fk).alias("fk"), F.col(_parent_key(parent)).alias("k")) for fk, (parent, p) in parents.items()),
+    )
+    missing = per_key.join(known, ["fk", "k"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n"))
+    named = ", ".join(f"'{fk}', '{name}.{fk} -> {parent}'" for fk, (parent, _) in parents.items())
+    listed = child.sparkSession.range(1).selectExpr(f"stack({len(parents)}, {named}) AS (fk, check)")
+    orphans = F.coalesce("n", F.lit(0)).cast("bigint")
+    return listed.join(missing, "fk", "left").select("check", orphans.alias("orphans"), (orphans == 0).alias("ok"))
+
+
+def _parent_key(name: str) -> str:
+    return ENTITIES[name].key
+
+
 def enforce_entity(
-    child: DataFrame, entity: Entity, parents: Tables, hot: Mapping[str, DataFrame | None] | None = None
+    child: DataFrame,
+    entity: Entity,
+    parents: Tables,
+    hot: Mapping[str, DataFrame | None] | None = None,
+    optional_fks: Collection[str] = (),
 ) -> DataFrame:
-    """Rows of one entity that have all their parents.
+    """Rows of one entity that have all their parents, but for ``optional_fks``.
 
     ``hot`` may give, per foreign key, the heavy keys to slice.
     """
     for fk, parent in entity.parents.items():
+        if fk in optional_fks:
+            continue
         child = enforce_fk(child, parents[parent], fk, (hot or {}).get(fk), (entity.key,))
     return child
 

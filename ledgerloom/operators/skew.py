@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 SHARE = 1e-4
 
 
-def hot_keys(df: DataFrame, key: str, share: float = SHARE, probe: float = 1.0) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float = SHARE, probe: int = 1, by: Sequence[str] = ()) -> DataFrame:
     """Keys holding at least ``share`` of the rows, with a number of slices.
 
     At most ``1/share`` keys can qualify, so the result is always small. Counts
-    are combined before the shuffle. ``probe`` < 1 counts a part of the rows
-    only; that changes which keys get slices, never the rows of a join.
+    are combined before the shuffle. With ``probe`` one row in so many is counted,
+    chosen by the hash of the columns ``by`` that identify it: whenever the keys are
+    worked out, they come out the same.
     """
-    counted = df.select(key).filter(F.col(key).isNotNull())
-    if probe < 1.0:
-        counted = counted.sample(probe, seed=7)
+    counted = df.filter(F.col(key).isNotNull())
+    if probe > 1:
+        counted = counted.filter(F.pmod(F.xxhash64(*by), F.lit(probe)) == 0)
+    counted = counted.select(key)
     counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     # Two rows at least, so that no key of a tiny table counts as heavy.
     bar = F.greatest(counted.agg(F.count(F.lit(1))).scalar() * F.lit(share), F.lit(2.0))
@@ -37,7 +39,8 @@ def sliced_join(
 ) -> DataFrame:
     """``child.join(parent, key, how)`` with the rows of hot keys dealt out.
 
-    ``parent`` must be unique in ``key``. ``how`` is inner, left, left_semi or
+    ``hot`` deals both sides, so it must give the same rows twice: a stored table, or
+    :func:`hot_keys` of one. ``parent`` must be unique in ``key``. ``how`` is inner, left, left_semi or
     left_anti. ``spread`` names child columns that differ between rows of a
     key (its identifier); their hash picks the slice.
     """

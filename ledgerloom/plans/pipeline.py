@@ -6,7 +6,7 @@ function from the stored inputs to a frame; the functions run no jobs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from functools import partial
 
@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from ledgerloom.model import ENTITIES, RELATIONS, Entity
 from ledgerloom.operators import integrity, skew
 from ledgerloom.plans import bronze, master, risk, silver, star
-from ledgerloom.sources.raw import read_raw
+from ledgerloom.sources.raw import absent_columns, read_raw
 from ledgerloom.sources.tables import store
 
 Tables = Mapping[str, DataFrame]
+Lacking = Mapping[str, Collection[str]]
 
 
 @dataclass(frozen=True)
@@ -54,57 +55,64 @@ def _bronze(entity: Entity, o: Options, t: Tables) -> DataFrame:
     return bronze.bronze(source, entity, row_id, o.seed)
 
 
-def _silver(entity: Entity, o: Options, t: Tables) -> DataFrame:
-    return silver.clean(t[f"bronze_{entity.name}"], entity, require_fk=o.require_fk, exact=o.exact)
+def _silver(entity: Entity, o: Options, lacking: Lacking, t: Tables) -> DataFrame:
+    optional = lacking.get(entity.name, ())
+    return silver.clean(t[f"bronze_{entity.name}"], entity, o.require_fk, optional_fks=optional, exact=o.exact)
 
 
-def _hot(o: Options, df: DataFrame, key: str) -> DataFrame | None:
+def _hot(entity: Entity, fk: str, t: Tables) -> DataFrame:
     # A hundredth of the rows shows every key heavy enough to matter.
-    return skew.hot_keys(df, key, probe=0.01) if o.split_hot_keys else None
+    return skew.hot_keys(t[f"silver_{entity.name}"], fk, probe=100, by=(entity.key,))
 
 
-def _kept(entity: Entity, o: Options, t: Tables) -> DataFrame:
+def _kept(entity: Entity, o: Options, lacking: Lacking, t: Tables) -> DataFrame:
     child = t[f"silver_{entity.name}"]
     if not o.enforce:
         return child
     prefix = {p: "kept" if ENTITIES[p].foreign_keys else "silver" for p in entity.parents.values()}
     parents = {p: t[f"{prefix[p]}_{p}"] for p in prefix}
-    hot = {fk: _hot(o, child, fk) for fk in entity.foreign_keys}
-    return integrity.enforce_entity(child, entity, parents, hot)
+    hot = {fk: t.get(f"hot_{entity.name}_{fk}") for fk in entity.foreign_keys}
+    return integrity.enforce_entity(child, entity, parents, hot, lacking.get(entity.name, ()))
 
 
-def _fact(o: Options, t: Tables) -> DataFrame:
-    moves = t["silver_transactions"]
-    return star.fact_transactions(moves, t["kept_accounts"], _hot(o, moves, "account_id"))
+def _fact(t: Tables) -> DataFrame:
+    return star.fact_transactions(t["silver_transactions"], t["kept_accounts"], t.get("hot_transactions_account_id"))
 
 
 def _gold_tables(t: Tables) -> dict[str, DataFrame]:
     return {name: t[f"{'kept' if e.foreign_keys else 'silver'}_{name}"] for name, e in ENTITIES.items()}
 
 
-def _report(layer: str, t: Tables) -> DataFrame:
+def _report(layer: str, lacking: Lacking, t: Tables) -> DataFrame:
     named = {n: t[f"{layer if e.foreign_keys else 'silver'}_{n}"] for n, e in ENTITIES.items()}
-    return integrity.ri_report(named)
+    return integrity.ri_report(named, [r for r in RELATIONS if r[1] not in lacking.get(r[0], ())])
 
 
-def datasets(options: Options = Options()) -> dict[str, Dataset]:
-    """All datasets by name, each after its inputs."""
-    o = options
+def datasets(options: Options = Options(), lacking: Lacking | None = None) -> dict[str, Dataset]:
+    """All datasets by name, each after its inputs. ``lacking`` names, by entity, the
+    columns that its source does not have; a foreign key among them is no rule."""
+    o, lacking = options, lacking or {}
     found: dict[str, Dataset] = {}
     for name, entity in ENTITIES.items():
         found[f"bronze_{name}"] = Dataset((f"source_{name}",), partial(_bronze, entity, o))
     for name, entity in ENTITIES.items():
-        found[f"silver_{name}"] = Dataset((f"bronze_{name}",), partial(_silver, entity, o))
+        found[f"silver_{name}"] = Dataset((f"bronze_{name}",), partial(_silver, entity, o, lacking))
     silvers = tuple(f"silver_{name}" for name in ENTITIES)
-    found["ri_report"] = Dataset(silvers, partial(_report, "silver"))
+    found["ri_report"] = Dataset(silvers, partial(_report, "silver", lacking))
 
     children = [name for name, entity in ENTITIES.items() if entity.foreign_keys]
+    if o.split_hot_keys:
+        # Stored, so that the two sides of a join are dealt by the same keys.
+        for name in children:
+            for fk in ENTITIES[name].foreign_keys:
+                found[f"hot_{name}_{fk}"] = Dataset((f"silver_{name}",), partial(_hot, ENTITIES[name], fk))
     for name in children:
         parents = [p for child, _, p in RELATIONS if child == name]
         inputs = [f"{'kept' if ENTITIES[p].foreign_keys else 'silver'}_{p}" for p in parents]
-        found[f"kept_{name}"] = Dataset((f"silver_{name}", *inputs), partial(_kept, ENTITIES[name], o))
+        inputs += [f"hot_{name}_{fk}" for fk in ENTITIES[name].foreign_keys if o.split_hot_keys]
+        found[f"kept_{name}"] = Dataset((f"silver_{name}", *inputs), partial(_kept, ENTITIES[name], o, lacking))
     gold = tuple(f"{'kept' if e.foreign_keys else 'silver'}_{name}" for name, e in ENTITIES.items())
-    found["ri_report_after"] = Dataset(gold, partial(_report, "kept"))
+    found["ri_report_after"] = Dataset(gold, partial(_report, "kept", lacking))
 
     def on(source: str, plan, **extra) -> Dataset:
         return Dataset((source,), lambda t: plan(t[source], **extra))
@@ -112,7 +120,8 @@ def datasets(options: Options = Options()) -> dict[str, Dataset]:
     found["dim_customers"] = on("silver_customers", star.dim_customers)
     found["dim_branches"] = on("silver_branches", star.dim_branches)
     found["dim_accounts"] = on("kept_accounts", star.dim_accounts)
-    found["fact_transactions"] = Dataset(("silver_transactions", "kept_accounts"), partial(_fact, o))
+    hot = ("hot_transactions_account_id",) if o.split_hot_keys else ()
+    found["fact_transactions"] = Dataset(("silver_transactions", "kept_accounts", *hot), _fact)
 
     fact = "fact_transactions"
     for plan in (
@@ -138,8 +147,15 @@ def datasets(options: Options = Options()) -> dict[str, Dataset]:
         "monthly_trends": master.monthly_trends,
     }.items():
         found[name] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain, o.scale))
-    for plan in (master.customer_segmentation, master.top_customers, master.high_risk_customers):
+    for plan in (
+        master.master_fact,
+        master.customer_segmentation,
+        master.top_customers,
+        master.high_risk_customers,
+    ):
         found[plan.__name__] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain))
+    # As large as its rows: every combination of a customer's transactions and loans.
+    found["master_table"] = Dataset(gold, lambda t: master.master_table(_gold_tables(t)))
     return found
 
 
@@ -154,9 +170,11 @@ def run(
     """Build and store the datasets, or those in ``only`` and what they need.
 
     ``sources`` holds ``source_<entity>`` frames. ``target`` is a folder, or a
-    database name to store catalog tables. Returns the stored frames.
+    database name to store catalog tables. Returns the stored frames. A foreign
+    key that no file of a source has does not drop its rows.
     """
-    plan = datasets(options)
+    lacking = {name: absent_columns(sources[f"source_{name}"]) for name in ENTITIES if f"source_{name}" in sources}
+    plan = datasets(options, lacking)
     wanted = _closure(plan, only or set(plan))
     tables = dict(sources)
     for name, dataset in plan.items():

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.model import Entity
 
+_ABSENT = {"absent": True}
+
 
 def read_raw(
     spark: SparkSession,
@@ -18,26 +24,62 @@ def read_raw(
 ) -> DataFrame:
     """All files of an entity under ``path``, every column as text, by name.
 
-    Columns are matched by header name, so a file may leave out a column or
-    order them its own way. With ``header_names`` (the raw header, in file
-    order) no file is opened before the job runs. No type is inferred: that
-    would read the data twice and reject dirty values.
+    Columns are matched by header name, file by file: the first line of each file
+    is read while the plan is built, and files with one header are one scan. With
+    ``header_names`` (the raw header, in file order) no file is opened before the job
+    runs; a file with another header then fails the job. No type is inferred:
+    that would read the data twice and reject dirty values.
     """
     reader = spark.read.format("csv").option("header", True).option("pathGlobFilter", glob or entity.glob)
     if header_names:
-        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in header_names]))
-    return conform(reader.load(path), entity)
+        return conform(_with_header(spark, header_names).option("pathGlobFilter", glob or entity.glob).load(path), entity)
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(file).columns)
+
+    files = reader.load(path).inputFiles()
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(header, files))
+    frames = [
+        conform(_with_header(spark, one).load([f for f, own in zip(files, headers, strict=True) if own == one]), entity)
+        for one in sorted(set(headers))
+        if one
+    ]
+    if not frames:
+        return conform(spark.createDataFrame([], ", ".join(f"{c} string" for c in entity.columns)), entity)
+    absent = set.intersection(*map(absent_columns, frames))
+    return _marked(reduce(DataFrame.unionByName, frames), absent)
+
+
+def _with_header(spark: SparkSession, names: Iterable[str]):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.format("csv").schema(schema).option("header", True).option("enforceSchema", False)
 
 
 def conform(df: DataFrame, entity: Entity, keep: tuple[str, ...] = ()) -> DataFrame:
     """Select the entity's columns as text under their canonical names.
 
-    Known raw spellings are renamed, columns the source lacks become NULL, and
-    columns named in ``keep`` (load order marks and the like) stay unchanged.
+    Known raw spellings are renamed, and columns named in ``keep`` (load order marks
+    and the like) stay unchanged. Columns the source lacks become NULL and are
+    marked, see :func:`absent_columns`. Two raw columns of one name are an error.
     """
-    present = {entity.aliases.get(name.lower(), name.lower()): name for name in df.columns}
+    present: dict[str, str] = {}
+    for name in df.columns:
+        known = entity.aliases.get(name.lower(), name.lower())
+        if known in present and known in entity.columns:
+            raise ValueError(f"{entity.name}: both {present[known]!r} and {name!r} are {known}")
+        present[known] = name
     canonical = [
         (F.col(f"`{present[c]}`").cast("string") if c in present else F.lit(None).cast("string")).alias(c)
         for c in entity.columns
     ]
-    return df.select(*canonical, *keep)
+    return _marked(df.select(*canonical, *keep), {c for c in entity.columns if c not in present})
+
+
+def _marked(df: DataFrame, absent: set[str]) -> DataFrame:
+    return df.select(*(F.col(c).alias(c, metadata=_ABSENT) if c in absent else F.col(c).alias(c, metadata={}) for c in df.columns))
+
+
+def absent_columns(df: DataFrame) -> set[str]:
+    """The columns that no source of a conformed frame has."""
+    return {f.name for f in df.schema.fields if f.metadata.get("absent")}

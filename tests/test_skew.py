@@ -29,6 +29,23 @@ def test_sliced_join_is_the_plain_join(child, parent, rows, how):
     assert rows(sliced, *plain.columns) == rows(plain)
 
 
+def test_probed_keys_do_not_depend_on_the_order_of_rows(child):
+    found = [sorted(hot_keys(child.repartition(n), "k", 0.01, probe=10, by=("id",)).collect()) for n in (1, 3, 8)]
+    assert found[0] == found[1] == found[2] and [r.k for r in found[0]] == ["hot"]
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_no_rows_are_lost_without_exchange_reuse(spark, child, parent, rows, how):
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        shuffled = child.repartition(5).groupBy("id", "k").count().drop("count")
+        hot = hot_keys(shuffled, "k", 0.01, probe=7, by=("id",))
+        assert rows(sliced_join(shuffled, parent, "k", how, hot, ("id",)), "id", "k") == rows(child.join(parent, "k", how), "id", "k")
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+
+
 def test_slices_even_out_a_hot_key(spark, child):
     hot = hot_keys(child, "k", share=0.01)
     dealt = child.join(hot, "k").withColumn("s", F.pmod(F.xxhash64("id"), F.col("slices").cast("long")))
