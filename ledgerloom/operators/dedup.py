@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,17 +14,25 @@ def latest_by(
     columns: Sequence[str],
     newest: str | None = None,
     prefer: Sequence[str] = (),
+    missing: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Keep one row per key: the newest, then the lowest ``prefer`` columns.
 
+    ``missing`` says which value of a column stands for an unknown one. Known values
+    come before it, as they do before NULL.
+
     What is still tied is decided by the remaining ``columns``, so only rows
     equal in every column compete and the result does not depend on how the
     input is split. Each task first keeps its own best row of a key (Spark's
     window group limit), so a key with many copies is never gathered whole:
     the shuffle carries at most one row per key and task.
     """
-    order = [F.col(newest).desc_nulls_last()] if newest else []
+
+    def known(c: str) -> Column:
+        return F.nullif(F.col(c), missing[c]) if missing and c in missing else F.col(c)
+
+    order = [known(newest).desc_nulls_last()] if newest else []
     ranked = [key, newest, *prefer]
-    order += [F.col(c).asc_nulls_last() for c in [*prefer, *(c for c in columns if c not in ranked)]]
+    order += [known(c).asc_nulls_last() for c in [*prefer, *(c for c in columns if c not in ranked)]]
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("_place", place).filter("_place = 1").select(*columns)

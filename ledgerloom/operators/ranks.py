@@ -12,7 +12,7 @@ _SPREAD = 1024
 
 
 def percent_ranks(df: DataFrame, row_id: str, measures: Sequence[str]) -> DataFrame:
-    """(row_id, one column per measure) with ``percent_rank()`` over all rows.
+    """(row_id, each measure, and ``<measure>_rank``: its ``percent_rank()`` over all rows).
 
     ``row_id`` is unique and no measure has NULLs. Each measure is cut at
     quantile points into groups that are ordered like its values: one group per
@@ -49,5 +49,8 @@ def percent_ranks(df: DataFrame, row_id: str, measures: Sequence[str]) -> DataFr
         .join(F.broadcast(offsets), ["measure", "grp"])  # at most 2 * 512 rows per measure
         .withColumn("share", F.expr("coalesce(try_divide(double(lower + inside - 1), double(total - 1)), 0D)"))
     )
-    wide = [F.max(F.when(F.col("measure") == m, F.col("share"))).alias(m) for m in measures]
-    return ranked.groupBy(row_id).agg(*wide)
+    types = dict(df.dtypes)
+    of = {m: F.col("measure") == m for m in measures}
+    kept = [F.max(F.when(of[m], F.col("x"))).cast(types[m]).alias(m) for m in measures]
+    shares = [F.max(F.when(of[m], F.col("share"))).alias(f"{m}_rank") for m in measures]
+    return ranked.groupBy(row_id).agg(*kept, *shares)

@@ -30,9 +30,10 @@ def customer_sums(fact: DataFrame, scale: int | None = None) -> DataFrame:
 def score(sums: DataFrame) -> DataFrame:
     """Rank and band customers. Several branches of the plan read ``sums``."""
     ranks = percent_ranks(sums, "customer_id", MEASURES)
-    mean = ranks.selectExpr("customer_id", f"({' + '.join(MEASURES)}) / {len(MEASURES)} AS risk_score")
+    mean = f"({' + '.join(f'{m}_rank' for m in MEASURES)}) / {len(MEASURES)} AS risk_score"
+    scored = ranks.selectExpr("customer_id", *MEASURES, mean)
     band = f"CASE WHEN risk_score >= {HIGH}D THEN 'High' WHEN risk_score >= {MEDIUM}D THEN 'Medium' ELSE 'Low' END"
-    return sums.join(mean, "customer_id").withColumn("risk_band", F.expr(band))
+    return scored.withColumn("risk_band", F.expr(band))
 
 
 def customer_risk_score(fact: DataFrame, scale: int | None = None) -> DataFrame:

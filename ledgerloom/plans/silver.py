@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import ident, read_field
+from ledgerloom.functions.text import ident, placeholders, read_field
 from ledgerloom.model import ACCOUNTS, AUDIT_COLUMN, BRANCHES, CUSTOMERS, LOANS, TRANSACTIONS, Entity
 from ledgerloom.operators.dedup import latest_by
 from ledgerloom.operators.quantile import median
@@ -49,7 +49,7 @@ def clean(
     rows = require_key(typed, entity.key)
     if require_fk:
         rows = require_fks(rows, [k for k in entity.foreign_keys if k not in optional_fks])
-    rows = latest_by(rows, entity.key, entity.columns, entity.latest, prefer)
+    rows = latest_by(rows, entity.key, entity.columns, entity.latest, prefer, placeholders(entity.fields))
     for f in entity.amounts:
         rows = rows.withColumn(f.name, F.coalesce(F.col(f.name), median(typed, f.name, f.type, exact)))
     return rows.withColumn(AUDIT_COLUMN, F.current_timestamp()) if audit else rows

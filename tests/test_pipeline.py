@@ -3,9 +3,10 @@
 import pytest
 
 from ledgerloom.model import ENTITIES
+from ledgerloom.operators import integrity
 from ledgerloom.operators.dedup import latest_by
 from ledgerloom.operators.quantile import quantile
-from ledgerloom.plans import pipeline, star
+from ledgerloom.plans import master, pipeline, star
 from ledgerloom.sources.raw import read_raw
 from ledgerloom.sources.tables import read_table, store, write_table
 
@@ -131,3 +132,23 @@ def test_ordering_and_limits_are_options(gold):
         "2024-01",
         "2024-02",
     ]
+
+
+def exchanges(df):
+    return physical(df).count("Exchange hashpartitioning")
+
+
+def test_exact_master_sums_take_one_shuffle_for_the_groups(gold):
+    """Two semi joins and one aggregate; none per account, customer and month."""
+    tables = {n: gold[f"{'kept' if e.foreign_keys else 'silver'}_{n}"] for n, e in ENTITIES.items()}
+    for plan in (master.monthly_trends, master.transaction_summary):
+        exact, joined = plan(tables, master.EXACT), plan(tables, master.JOINED)
+        assert physical(exact).count("HashAggregate") == 2
+        assert exchanges(exact) < exchanges(joined)
+
+
+def test_report_reads_each_child_once(gold):
+    tables = {n: gold[f"silver_{n}"] for n in ENTITIES}
+    plan = physical(integrity.ri_report(tables))
+    assert plan.count("struct<loan_id") == 0
+    assert sum("customer_id:string,branch_id:string" in line for line in plan.splitlines() if "ReadSchema" in line) == 2

@@ -3,12 +3,12 @@ import random
 
 import pytest
 
-from ledgerloom.operators.quantile import impute_median, quantile
+from ledgerloom.operators.quantile import ERROR, impute_median, quantile
 
 
 def disc(values, p):
     """Smallest value whose share of rows at or below it reaches p."""
-    known = sorted(v for v in values if v is not None and not math.isnan(v))
+    known = sorted(v for v in values if v is not None and math.isfinite(v))
     return known[max(1, math.ceil(p * len(known))) - 1] if known else None
 
 
@@ -22,10 +22,16 @@ def random_values(kind, n, seed=5):
         return [7.0 if rng.random() < 0.34 else rng.gauss(7, 1) for _ in range(n)]
     if kind == "few":
         return [float(rng.randint(0, 3)) for _ in range(n)]
-    return [rng.choice([None, math.nan, rng.gauss(0, 5)]) for _ in range(n)]
+    if kind == "clusters":  # far apart, each with many values
+        return [rng.choice([0.0, 1e18, -1e-12]) + rng.random() for _ in range(n)]
+    if kind == "scales":
+        return [rng.random() * 10.0 ** -rng.randint(0, 300) for _ in range(n)]
+    if kind == "one":
+        return [2.5] * n
+    return [rng.choice([None, math.nan, math.inf, -math.inf, rng.gauss(0, 5)]) for _ in range(n)]
 
 
-@pytest.mark.parametrize("kind", ["uniform", "wide", "heavy", "few", "holes"])
+@pytest.mark.parametrize("kind", ["uniform", "wide", "heavy", "few", "holes", "clusters", "scales", "one"])
 def test_exact_quantile_matches_brute_force(spark, kind):
     values = random_values(kind, 4000)
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
@@ -42,8 +48,9 @@ def test_exact_quantile_of_tiny_tables(spark, values):
 def test_sketch_is_within_its_error(spark):
     values = random_values("uniform", 5000)
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
-    got = quantile(df, "v", 0.9).first()[0]
-    assert abs(sum(v <= got for v in values) / len(values) - 0.9) <= 0.011
+    for p in (0.1, 0.5, 0.9):
+        got = quantile(df, "v", p).first()[0]
+        assert abs(sum(v <= got for v in values) / len(values) - p) <= ERROR + 1 / len(values)
 
 
 def test_impute_median(spark):

@@ -58,6 +58,23 @@ def test_every_cleaner_takes_an_empty_table(spark):
         assert silver.clean(raw(spark, entity, []), entity, exact=True).count() == 0
 
 
+def test_known_values_beat_missing_ones_among_copies(spark, rows):
+    data = [("a1", "c1", "b1", "", "closed", "5", ""), ("A1", "c1", "b1", "zeta", "", "", "2020-05-05")]
+    got = silver.clean_accounts(raw(spark, ACCOUNTS, data), exact=True, audit=False)
+    assert rows(got, "account_type", "account_open_date") == [("Zeta", dt.date(2020, 5, 5))]
+    data = [("c1", "ann", "lee", "e", "1", "york", "cook", None), ("c1", "ann", "lee", "e", "1", "york", "cook", "1980-01-01")]
+    got = silver.clean_customers(raw(spark, CUSTOMERS, data), exact=True, audit=False)
+    assert rows(got, "dob") == [(dt.date(1980, 1, 1),)]
+
+
+def test_text_that_is_no_finite_number_is_imputed(spark):
+    odd = ["NaN", "Infinity", "-Infinity", "inf", "1e999", "7"]
+    for entity, amount in ((LOANS, "loan_amount"), (TRANSACTIONS, "transaction_amount"), (ACCOUNTS, "opening_balance")):
+        data = [tuple(f"{i}" if c == entity.key else text if c == amount else "x" for c in entity.columns) for i, text in enumerate(odd)]
+        got = silver.clean(raw(spark, entity, data), entity, exact=True, audit=False)
+        assert [r[amount] for r in got.collect()] == [7.0] * len(odd)
+
+
 def test_optional_foreign_keys(spark):
     loans = conform(spark.createDataFrame([("l1", "c1", 5.0)], "LOAN_ID string, Customer_Id string, loan_amount double"), LOANS)
     assert silver.clean_loans(loans).count() == 0
