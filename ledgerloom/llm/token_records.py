@@ -24,12 +24,14 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +43,12 @@ SHARD_BYTES = 16 << 20
 # Cut points of a text are single spaces between two non-space characters. A
 # byte-level pre-tokenizer always begins a new piece there, so the parts can be
 # encoded one by one; texts with other spacing are encoded whole.
-_IRREGULAR = re.compile(r"\s | \s|<\|")
+_SPACES = r"\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_IRREGULAR = rf"[{_SPACES}] | [{_SPACES}]|^ | $|<\|"
+# A word of Latin letters, perhaps with one sign, and perhaps another after a line break:
+# the pre-tokenizer keeps letters together and signs and the break apart.
+_LETTERS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)"
+_LATIN = re.compile(f"{_LETTERS}(?:(\n){_LETTERS})?")
 _CACHED = 800_000
 _HEAD, _SUM, _ID, _ROW = "<Q", "<I", "<Bq", "<qQQ"
 
@@ -74,6 +81,14 @@ def unframed(stream) -> Iterator[tuple[int, bytes]]:
         offset += size + 16
 
 
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes bytes: printable ones as they are, the others
+    as the letters from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Texts to bytes of ids. Parts of texts between single spaces repeat, so
     their ids are kept, up to a bounded number of parts."""
@@ -84,7 +99,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.type.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.model, self.bytes_as_letters = self.tokenizer.model, _byte_letters()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
@@ -103,28 +120,61 @@ class Encoder:
             out.update(zip(some, (flat[a:b] for a, b in pairwise(cuts)), strict=True))
         return out
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each of a bounded number of texts."""
-        split: list[tuple[bytes, list[str]]] = []
-        for text in texts:
-            if not text:
-                split.append((b"", []))
-            elif _IRREGULAR.search(text) or text[0] == " " or text[-1] == " " or "\0" in text:
-                split.append((self.whole(text), []))
-            else:
-                first, *rest = text.replace(" ", "\0 ").split("\0")
-                split.append((self.whole(first), rest))
-        found = [list(map(self.known.get, own)) for _, own in split]
-        gaps = [[i for i, ids in enumerate(got) if ids is None] if None in got else [] for got in found]
-        learned = self._learned(list({own[i] for (_, own), gap in zip(split, gaps, strict=True) for i in gap}))
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each of a bounded number of texts. Arrow splits the texts, finds the
+        distinct parts and puts their ids together again."""
+        texts = texts.cast(pa.string())
+        listed, filled = texts.to_pylist(), pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(filled, _IRREGULAR)
+        plain, odd = pc.if_else(odd, "", filled), odd.to_pylist()
+        split = pc.split_pattern(plain, " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        index = coded.indices.to_numpy().astype(np.int64)
+        # The first part of a text has no space before it.
+        firsts = [self.whole(t.partition(" ")[0]) if t and not o else b"" for t, o in zip(listed, odd, strict=True)]
+        index[offsets[:-1]] = len(coded.dictionary) + np.arange(len(firsts))
+        known = self._known_or_learned([f" {part}" for part in coded.dictionary.to_pylist()])
+        joined = pa.array([*known, *firsts], pa.large_binary()).take(pa.array(index))
+        at = np.frombuffer(joined.buffers()[1], np.int64)[offsets].tolist()
+        data = joined.buffers()[2].to_pybytes() if joined.buffers()[2] else b""
+        return [self.whole(t) if o else data[a:b] for t, o, (a, b) in zip(listed, odd, pairwise(at), strict=True)]
+
+    def _word(self, letters: str, spaced: bool) -> bytes:
+        """A word, perhaps after a space, merged by the model without the steps before it."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.bytes_as_letters)
+        space = self.bytes_as_letters[32] if spaced else ""
+        return array(self.code, [token.id for token in self.model.tokenize(space + letters)]).tobytes()
+
+    @cache  # noqa: B019: signs are few, and so are encoders
+    def _sign(self, sign: str) -> bytes:
+        return self.whole(sign)
+
+    def _known_or_learned(self, parts: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, parts))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        learned, others = {}, []
+        for i in gaps:
+            if (word := _LATIN.fullmatch(parts[i], 1)) is None:
+                others.append(parts[i])
+                continue
+            letters, sign, line, *second = word.groups()
+            stem = f" {letters}"
+            ids = self.known.get(stem) or learned.get(stem)
+            if ids is None:
+                ids = learned[stem] = self._word(letters, spaced=True)
+            if sign:
+                ids += self._sign(sign)
+            if line:
+                ids += self._sign(line) + self._word(second[0], spaced=False) + (self._sign(second[1]) if second[1] else b"")
+            learned[parts[i]] = ids
+        learned |= self._learned(others)
         if len(self.known) + len(learned) <= _CACHED:
             self.known.update(learned)
-        out = []
-        for (first, own), got, gap in zip(split, found, gaps, strict=True):
-            for i in gap:
-                got[i] = learned[own[i]]
-            out.append(first + b"".join(got))
-        return out
+        for i in gaps:
+            found[i] = learned[parts[i]]
+        return found
 
 
 @cache
@@ -133,11 +183,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, bytes]]:
+def encoded(batches: Iterator[pa.RecordBatch], own: Encoder) -> Iterator[tuple[int | None, bytes]]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            yield from zip(part.column("id").to_pylist(), encoder.ids(part.column("text").to_pylist()), strict=True)
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            yield from zip(part.column("id").to_pylist(), own.ids(part.column("text")), strict=True)
 
 
 def shard_name(shard: int, kind: str = "bin") -> str:
