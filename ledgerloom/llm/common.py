@@ -42,6 +42,13 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as a table of the shared folder, and read back. Smaller than a
+    checkpoint; who asks for it removes it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -3,6 +3,8 @@
 A string of ``LENGTH`` bytes that occurs twice, in whatever documents, is removed wherever
 it occurs. The suffix array is built over anchors rather than single bytes:
 
+0. A sparse sample of runs of 128 bytes, one at least in every string, tells which texts can
+   have a repeat at all. The steps below see those only.
 1. Anchors are the minimizers of the text: the smallest hash among ``WINDOW`` successive
    16-byte runs. Which positions of a string are anchors depends on the string
    alone, but near its ends; any string of ``LENGTH`` bytes has an anchor whose
@@ -17,8 +19,8 @@ it occurs. The suffix array is built over anchors rather than single bytes:
    hashed and grouped, together with one member of each set of equal strings that
    the suffix array knows and that have the same context.
 
-Equal texts are one text with a count. Hashes are 64 bits long, and two of them must
-agree (context and string).
+Equal texts are one text with a count. Contexts are told by 63-bit hashes, whole
+strings by 95 bits.
 
 Defined results: null and empty texts have no bytes and nothing is removed; a text of
 less than ``LENGTH`` bytes keeps all; a repeated row is a copy, so both are
@@ -37,58 +39,92 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut
+from ledgerloom.llm.common import cut, new_folder, remove, stored
 from ledgerloom.llm.suffix_array import BLOCK, numbered, sorted_parts, suffix_ranks, with_halo
 
 LENGTH = 400
 RUN, WINDOW = 16, 128
 #: A context reaches so far before and after its anchor.
 LEFT, RIGHT = WINDOW - 1, WINDOW + RUN - 1
+#: The sparse sample that tells which texts matter: LENGTH is at least their sum less 1.
+SAMPLE_RUN, SAMPLE_WINDOW = 128, 256
 SEGMENT = 1 << 20
+_LOW = (1 << 63) - 1
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 
 
-def _run_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each position on, by doubling."""
+def _run_hashes(data: np.ndarray, run: int) -> np.ndarray:
+    """A hash of the bytes from each position on, a power of 2 of them, by doubling."""
     hashes, width, factor = data.astype(np.uint64) + np.uint64(1), 1, _MIX[0]
-    while width < RUN:
+    while width < run:
         hashes = hashes[:-width] * np.uint64(factor) + hashes[width:]
         width, factor = 2 * width, factor * factor % (1 << 64)
     hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(_MIX[1])
     return hashes ^ (hashes >> np.uint64(29))
 
 
-def _minimizers(data: np.ndarray) -> np.ndarray:
-    """Positions that are the first smallest of some window."""
-    if len(data) < RUN + WINDOW - 1:
-        return np.zeros(0, np.int64)
-    hashes = _run_hashes(data)
+def _minimizers(data: np.ndarray, run: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions that are the first smallest of some window, a power of 2, and their hashes."""
+    if len(data) < run + window - 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes = _run_hashes(data, run)
     low = np.uint64((1 << int(len(hashes)).bit_length()) - 1)
     least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     width = 1
-    while width < WINDOW:
+    while width < window:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     places = (least & low).astype(np.int64)
-    return places[np.concatenate(([True], places[1:] != places[:-1]))]
+    places = places[np.concatenate(([True], places[1:] != places[:-1]))]
+    return places, (hashes[places] >> np.uint64(1)).astype(np.int64)
 
 
-def anchors(data: bytes) -> np.ndarray:
-    """The anchors of a text, in order. Long texts are cut into segments that overlap."""
+def anchors(data: bytes, run: int = RUN, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of a text, in order, and their hashes. Long texts are cut into segments
+    that overlap."""
     if len(data) <= SEGMENT:
-        return _minimizers(np.frombuffer(data, np.uint8))
-    halo, found = WINDOW + RUN, []
+        return _minimizers(np.frombuffer(data, np.uint8), run, window)
+    halo, found = window + run, []
     for at in range(0, len(data), SEGMENT):
         start = max(0, at - halo)
-        own = _minimizers(np.frombuffer(data[start : at + SEGMENT + halo], np.uint8)) + start
-        found.append(own[(own >= at) & (own < at + SEGMENT)])
-    return np.concatenate(found)
+        places, hashes = _minimizers(np.frombuffer(data[start : at + SEGMENT + halo], np.uint8), run, window)
+        own = (places + start >= at) & (places + start < at + SEGMENT)
+        found.append((places[own] + start, hashes[own]))
+    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+
+def _sampled(docs: DataFrame) -> DataFrame:
+    """(key, pos, run): a sparse sample of long runs; every string has one in it."""
+    kind = pa.schema([(n, pa.int64()) for n in ("key", "pos", "run")])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: list[list[np.ndarray]] = [[], [], []]
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                data = text.encode()
+                if len(data) >= LENGTH:
+                    places, hashes = anchors(data, SAMPLE_RUN, SAMPLE_WINDOW)
+                    for part, values in zip(parts, (np.full(len(places), key), places, hashes), strict=True):
+                        part.append(values)
+            if parts[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], schema=kind)
+
+    return docs.mapInArrow(find, "key long, pos long, run long")
+
+
+def _repeated(found: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` occurs at another place, too. Copies of a text are one
+    place. Places are combined before the shuffle; the table of repeated values is
+    the smaller side and need not be sorted."""
+    place = F.xxhash64("key", *(c for c in found.columns if c not in ("key", column)))
+    twice = found.groupBy(column).agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select(column)
+    return found.join(twice.hint("shuffle_hash"), column)
 
 
 def _anchored(docs: DataFrame) -> DataFrame:
-    """(key, pos, before, after, context): anchors with a whole context, and the distances
-    to the anchors around them (0 for none)."""
-    names = ["key", "pos", "before", "after", "context"]
+    """(key, spot, context): anchors with a whole context. A spot is the position and
+    the distances to the anchors before and after it (0 for none; at most WINDOW)."""
+    names = ["key", "spot", "context"]
     kind = pa.schema([(n, pa.int64()) for n in names])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,13 +134,14 @@ def _anchored(docs: DataFrame) -> DataFrame:
                 data = text.encode() if text else b""
                 if len(data) < LENGTH:
                     continue
-                places = anchors(data)
+                places, _ = anchors(data)
                 gaps = np.diff(places, prepend=places[:1], append=places[-1:])
                 own = (places >= LEFT) & (places + RIGHT <= len(data))
                 at = places[own]
                 hashed = [xxhash.xxh3_64_intdigest(data[p - LEFT : p + RIGHT]) >> 1 for p in at.tolist()]
-                for part, values in zip(parts, (np.full(len(at), key), at, gaps[:-1][own], gaps[1:][own], hashed), strict=True):
-                    part.append(np.asarray(values, np.int64))
+                parts[0].append(np.full(len(at), key))
+                parts[1].append((at << 16) | (gaps[:-1][own] << 8) | gaps[1:][own])
+                parts[2].append(np.array(hashed, np.int64))
             if parts[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], schema=kind)
 
@@ -129,6 +166,7 @@ def _horizon(pos: np.ndarray, linked: np.ndarray, i: int) -> int:
 
 
 _ANCHOR_LISTS = ("pos", "before", "after", "context")
+_PREFIXES = ("at", "low", "high")
 
 
 def _lists(row: dict) -> list[np.ndarray]:
@@ -138,14 +176,25 @@ def _lists(row: dict) -> list[np.ndarray]:
 def _texts_of_anchors(kept: DataFrame) -> DataFrame:
     """A row for each text with lists of its anchors, the number of its symbols and where
     they start in the text of all symbols. The lists are bounded by the text."""
-    one = F.sort_array(F.collect_list(F.struct(*_ANCHOR_LISTS)))
-    rows = kept.groupBy("key").agg(one.alias("a")).select("key", *(F.col(f"a.{c}").alias(c) for c in _ANCHOR_LISTS))
-    follows = F.transform(F.sequence(F.lit(1), F.size("pos")), lambda i: F.try_element_at("pos", i + 1))
-    broken = F.zip_with(
-        F.zip_with("pos", "after", lambda p, a: F.when(a > 0, p + a)), follows, lambda p, n: F.when(p == n, 0).otherwise(1)
-    )
-    count = F.size("pos") + F.aggregate(broken, F.lit(0), lambda n, b: n + b)
-    return cut(numbered(sorted_parts(rows.withColumn("symbols", count.cast("long")), "key"), "start", "symbols"))
+    lists = kept.groupBy("key").agg(F.collect_set(F.struct("spot", "context")).alias("anchors"))
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(6)]
+            for key, own in zip(batch.column("key").to_pylist(), batch.column("anchors").to_pylist(), strict=True):
+                own.sort(key=lambda x: x["spot"])
+                spot = np.array([x["spot"] for x in own], np.int64)
+                pos, before, after = spot >> 16, spot >> 8 & 255, spot & 255
+                context = np.array([x["context"] for x in own], np.int64)
+                symbols = len(pos) + int((~_symbols_of(pos, after, context)[1]).sum())
+                for column, value in zip(out, (key, pos, before, after, context, symbols), strict=True):
+                    column.append(value)
+            long, longs = pa.int64(), pa.list_(pa.int64())
+            arrays = [pa.array(c, k) for c, k in zip(out, (long, longs, longs, longs, longs, long), strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", *_ANCHOR_LISTS, "symbols"])
+
+    schema = f"key long, {', '.join(f'{c} array<long>' for c in _ANCHOR_LISTS)}, symbols long"
+    return cut(numbered(sorted_parts(cut(lists.mapInArrow(unpack, schema)), "key"), "start", "symbols"))
 
 
 def _symbol_rows(texts: DataFrame) -> DataFrame:
@@ -207,53 +256,64 @@ class Starts:
     """What the anchors of a text say about each start of a string of LENGTH bytes."""
 
     def __init__(self, size: int, row: dict):
-        self.pos, self.before, self.after, _ = _lists(row)
-        self.low, self.high = np.zeros(len(self.pos), np.int64), np.zeros(len(self.pos), np.int64)
-        for one in row["prefixes"] or ():
-            self.low[one["i"]], self.high[one["i"]] = one["low"], one["high"]
-        self.linked = _symbols_of(self.pos, self.after, self.pos)[1]
+        self.pos, self.before, self.after = row["pos"], row["before"], row["after"]
+        count = len(self.pos)
+        self.low, self.high = [0] * count, [0] * count
+        for i, low, high in zip(row["at"] or (), row["low"] or (), row["high"] or (), strict=True):
+            self.low[i], self.high[i] = low, max(low, high)
         self.last = size - LENGTH
+        # One past the run of anchors that each belongs to, and where the next anchor is.
+        self.end, end = [0] * count, count
+        for i in range(count - 1, -1, -1):
+            if not self._linked(i):
+                end = i + 1
+            self.end[i] = end
+
+    def _linked(self, i: int) -> bool:
+        return i + 1 < len(self.pos) and self.after[i] > 0 and self.pos[i] + self.after[i] == self.pos[i + 1]
 
     def _reach(self, i: int, symbols: int) -> int:
         """The last start whose string is inside the contexts of so many anchors from i on."""
-        return int(self.pos[i + symbols - 1]) + RIGHT - LENGTH if symbols else -1
-
-    def by_match(self, i: int, symbols: int) -> tuple[int, int] | None:
-        """Starts that anchor i decides, and that a match of so many symbols covers."""
-        p, after = int(self.pos[i]), int(self.after[i])
-        last = p + after - LEFT - 1 if after else p - LEFT
-        first, last = p - LEFT, min(last, self._reach(i, symbols), self.last)
-        return (first, last) if first <= last else None
+        return self.pos[i + symbols - 1] + RIGHT - LENGTH if symbols else -1
 
     def repeats(self) -> list[tuple[int, int]]:
-        """Ranges of starts whose strings are repeated, by the suffix array."""
-        found = (self.by_match(i, int(max(self.low[i], self.high[i]))) for i in range(len(self.pos)))
-        return [r for r in found if r]
-
-    def open(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges of starts whose strings are repeats, by the suffix array. An anchor decides
+        the starts from the first of its context up to that of the next anchor."""
+        found = []
+        for i, p in enumerate(self.pos):
+            last = p + self.after[i] - LEFT - 1 if self.after[i] else p - LEFT
+            last = min(last, self._reach(i, self.high[i]), self.last)
+            if p - LEFT <= last:
+                found.append((p - LEFT, last))
+        return found
+
+    def open(self, i: int) -> tuple[list[range], list[range]]:
         """Of the strings whose first inner anchor is i: starts that may be repeats but
         are not known to be, and known ones that no smaller suffix stands for."""
-        p, before = int(self.pos[i]), int(self.before[i])
-        starts = np.arange(max(0, p - LEFT - before + 1 if before else 0), min(p - LEFT, self.last) + 1)
-        if not len(starts):
-            return starts, starts
+        p, before = self.pos[i], self.before[i]
+        first, final = max(0, p - LEFT - before + 1 if before else 0), p - LEFT
         # All anchors up to the string's last inner one must be in the run, and match.
-        end, match = i, i + max(int(self.low[i]), int(self.high[i]))
-        while self.linked[end]:
-            end += 1
-        open_end = int(self.pos[end]) + int(self.after[end]) if self.after[end] else np.iinfo(np.int64).max
-        inner = starts + LENGTH - RIGHT
-        needs = np.searchsorted(self.pos[: end + 1], inner, side="right") - 1
-        may = (inner < open_end) & (needs <= match)
-        known, follows = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-        # The anchor that decides a start is the last one up to its first inner place.
-        for j in (i, i - 1):
-            if j < 0 or (j < i and not self.linked[j]):
-                continue
-            for flags, symbols in ((known, int(max(self.low[j], self.high[j]))), (follows, int(self.low[j]))):
-                if span := self.by_match(j, symbols):
-                    flags |= (starts >= span[0]) & (starts <= span[1])
-        return starts[may & ~known], starts[known & ~follows]
+        match, end = i + self.high[i], self.end[i]
+        if match + 1 < end:
+            bar = self.pos[match + 1]
+        elif self.after[end - 1]:
+            bar = self.pos[end - 1] + self.after[end - 1]
+        else:
+            bar = None
+        may = min(final, self.last) if bar is None else min(final, self.last, bar - 1 - (LENGTH - RIGHT))
+        # The last start is decided by the anchor itself, those before by the one before it.
+        known = follows = first - 1
+        if i and self._linked(i - 1):
+            known = max(known, min(final - 1, self.last, self._reach(i - 1, self.high[i - 1])))
+            follows = max(follows, min(final - 1, self.last, self._reach(i - 1, self.low[i - 1])))
+        left, stand = [range(known + 1, min(may, final - 1) + 1)], [range(follows + 1, known + 1)]
+        if first <= final <= self.last:
+            if self._reach(i, self.high[i]) < final:
+                if final <= may:
+                    left.append(range(final, final + 1))
+            elif self._reach(i, self.low[i]) < final:
+                stand.append(range(final, final + 1))
+        return [r for r in left if r], [r for r in stand if r]
 
 
 def spans_of(ranges: list[tuple[int, int]], starts: list[int]) -> list[tuple[int, int]]:
@@ -287,24 +347,25 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     firsts = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("of"))
     firsts = cut(firsts.select("key", "copies", "of.doc_id"))
 
-    found = cut(_anchored(source.select("key", "text")))
-    # Copies of a text have the same anchors: what counts is another place.
-    place = F.xxhash64("key", "pos")
-    twice = found.groupBy("context").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("context")
-    kept = found.join(twice, "context").groupBy("key", "pos").agg(*(F.min(c).alias(c) for c in ("before", "after", "context")))
-    texts = _texts_of_anchors(kept)
-    total = texts.agg(F.sum("symbols")).first()[0] or 0
-    ranks = suffix_ranks(cut(_symbol_rows(texts)), total)
-    prefixes = _common_prefixes(texts, ranks).groupBy("key").agg(F.collect_list(F.struct("i", "low", "high")).alias("prefixes"))
-
-    involved = texts.join(prefixes, "key", "left").select("key", *_ANCHOR_LISTS, "prefixes")
-    chosen = involved.join(firsts, "key").alias("i")
+    spark = docs.sparkSession
+    folder = new_folder(spark, "repeats")
+    sample = stored(_sampled(source.select("key", "text")), f"{folder}/sample")
+    involved = _repeated(sample, "run").select("key").distinct().join(firsts, "key").select("key", "doc_id")
     match = (F.col("s.key") == F.col("i.key")) & F.col("s.doc_id").eqNullSafe(F.col("i.doc_id"))
     # Rows that repeat both id and text are one here.
-    cells = source.alias("s").join(chosen, match).groupBy("i.key").agg(
-        F.min("s.text").alias("text"), *(F.min(f"i.{c}").alias(c) for c in _ANCHOR_LISTS), F.first("i.prefixes").alias("prefixes")
-    )
-    cells = cut(cells)
+    texts = source.alias("s").join(involved.alias("i"), match).groupBy("i.key").agg(F.min("s.text").alias("text"))
+    texts = stored(texts, f"{folder}/texts")
+    remove(f"{folder}/sample")
+
+    found = stored(_anchored(texts), f"{folder}/anchors")
+    lists = _texts_of_anchors(_repeated(found, "context"))
+    remove(f"{folder}/anchors")
+    total = lists.agg(F.sum("symbols")).first()[0] or 0
+    ranks = suffix_ranks(stored(_symbol_rows(lists), f"{folder}/symbols"), total)
+    prefixes = _common_prefixes(lists, ranks).groupBy("key").agg(F.collect_list(F.struct("i", "low", "high")).alias("p"))
+    prefixes = prefixes.select("key", F.col("p.i").alias("at"), "p.low", "p.high")
+    cells = cut(lists.select("key", *_ANCHOR_LISTS).join(prefixes, "key", "left").join(texts, "key"))
+    remove(folder)
     return rows.join(firsts.select("key", "copies"), "key"), _decided(cells)
 
 
@@ -319,43 +380,53 @@ def _decided(cells: DataFrame) -> DataFrame:
                 own = Starts(row["n_bytes"], row)
                 for i in range(len(own.pos)):
                     left, known = own.open(i)
-                    if len(left) or len(known):
-                        out.append((row["key"], i, row["context"][i], bool(len(left))))
+                    if left or known:
+                        out.append((row["key"], i, row["context"][i], bool(left)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), hint, strict=True)], schema=hint)
 
-    slim = cells.select("key", F.octet_length("text").cast("long").alias("n_bytes"), *_ANCHOR_LISTS, "prefixes")
+    slim = cells.select("key", F.octet_length("text").cast("long").alias("n_bytes"), *_ANCHOR_LISTS, *_PREFIXES)
     asked = cut(slim.mapInArrow(ask, "key long, i long, context long, open boolean"))
     contexts = asked.where("open").select("context").distinct()
     wanted = asked.join(contexts, "context", "left_semi").groupBy("key").agg(F.collect_list("i").alias("wanted"))
-    kind = pa.schema([("string", pa.int64()), ("context", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("open", pa.bool_())])
+    chosen = cells.join(wanted, "key")
+    # Counted without their places; those of open starts are worked out again for what is left.
+    counted = chosen.mapInArrow(_hash_strings(False), "string long, more long, open boolean")
+    twice = counted.groupBy("string", "more").agg(F.count("*").alias("n"), F.max("open").alias("some"))
+    twice = twice.where("n > 1 and some").select("string", "more")
+    places = chosen.mapInArrow(_hash_strings(True), "string long, more long, key long, start long")
+    starts = places.join(twice, ["string", "more"], "left_semi").groupBy("key").agg(F.collect_list("start").alias("starts"))
+    return cells.join(starts, "key", "left")
+
+
+def _hash_strings(placed: bool):
+    """Hashes of the strings at open starts, with their places, or at open and known ones."""
+    long = pa.int64()
+    kind = pa.schema([("string", long), ("more", long), *([("key", long), ("start", long)] if placed else [("open", pa.bool_())])])
 
     def hash_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in batch.select([*_ANCHOR_LISTS, *_PREFIXES, "key", "text", "wanted"]).to_pylist():
                 data = row["text"].encode()
-                own, out = Starts(len(data), row), []
+                own, starts, is_open = Starts(len(data), row), [], []
                 for i in row["wanted"]:
-                    for starts, is_open in zip(own.open(i), (True, False), strict=True):
-                        for at in starts.tolist():
-                            string = xxhash.xxh3_64_intdigest(data[at : at + LENGTH]) >> 1
-                            out.append((string, row["context"][i], row["key"], at, is_open))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
-
-    strings = cells.join(wanted, "key").mapInArrow(hash_strings, "string long, context long, key long, start long, open boolean")
-    strings = cut(strings)
-    twice = strings.groupBy("string", "context").agg(F.count("*").alias("n"), F.max("open").alias("some")).where("n > 1 and some")
-    starts = strings.where("open").join(twice.select("string", "context"), ["string", "context"], "left_semi")
-    starts = starts.groupBy("key").agg(F.collect_list("start").alias("starts"))
-    return cells.join(starts, "key", "left")
+                    for some, told in zip(own.open(i), (True, False), strict=True):
+                        for starts_of in some if told or not placed else ():
+                            starts += starts_of
+                            is_open += [told] * len(starts_of)
+                hashes = [xxhash.xxh3_128_intdigest(data[at : at + LENGTH]) for at in starts]
+                low, high = [h & _LOW for h in hashes], [h >> 96 for h in hashes]
+                rest = [[row["key"]] * len(starts), starts] if placed else [is_open]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((low, high, *rest), kind, strict=True)], schema=kind)
+
+    return hash_strings
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans."""
     rows, texts = find(docs, id_col, text_col)
 
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
             for row in batch.to_pylist():
@@ -368,7 +439,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             names = ["key", "removed", "count", "digest", "spans"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
 
-    cuts = texts.mapInArrow(remove, "key long, removed long, count long, digest string, spans array<array<long>>")
+    cuts = texts.mapInArrow(cut_out, "key long, removed long, count long, digest string, spans array<array<long>>")
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     nothing = F.array().cast("array<array<long>>")
     whole = F.array(F.array(F.lit(0).cast("long"), F.col("n_bytes")))

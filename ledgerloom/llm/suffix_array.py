@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import cut
+from ledgerloom.llm.common import cut, new_folder, remove, stored
 
 BLOCK = 1 << 15
 #: A text of so many symbols is sorted in one task.
-SMALL = 1 << 14
+SMALL = 1 << 19
 
 
 def partitions(df: DataFrame) -> int:
@@ -87,7 +87,7 @@ def _blocks(symbols: DataFrame, size: int) -> DataFrame:
         return pd.DataFrame({"block": [rows["block"].iloc[0]], "data": [data]})
 
     spread = symbols.select("pos", "sym", with_halo(F.col("pos"), 2, size).alias("block"))
-    return cut(spread.groupBy("block").applyInPandas(pack, "block long, data binary"))
+    return spread.groupBy("block").applyInPandas(pack, "block long, data binary")
 
 
 def _symbols(data: bytes, block: int, n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +112,13 @@ def _triples(blocks: DataFrame, n: int, size: int) -> DataFrame:
 
 
 def _merge_keys(blocks: DataFrame, ranks: DataFrame, n: int, size: int) -> DataFrame:
-    """Rows (kind, cls, pos, x, y, z): kind 0 orders the classes 0 and 1, kind 1 the classes 0
-    and 2; a class is the position modulo 3."""
+    """Rows (other, pos, x, y, z): the keys that order the positions 0 mod 3 and those of the
+    other class, 1 or 2."""
     spread = ranks.select("pos", "rank", with_halo(F.col("pos"), 2, size).alias("block"))
 
     def keys(text: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if text.empty:
-            return pd.DataFrame({c: [] for c in ("kind", "cls", "pos", "x", "y", "z")})
+            return pd.DataFrame({c: [] for c in ("other", "pos", "x", "y", "z")})
         block = int(text["block"].iloc[0])
         at, held = _symbols(text["data"].iloc[0], block, n, size)
         rank = np.zeros(len(held), np.int64)  # 0 past the end
@@ -127,37 +127,36 @@ def _merge_keys(blocks: DataFrame, ranks: DataFrame, n: int, size: int) -> DataF
         rank[place[good]] = known["rank"].to_numpy()[good] + 1
         own, cls, zero = len(at), at % 3, np.zeros(len(at), np.int64)
         parts = []
-        orders = ((0, 1, (held[:own], rank[1 : own + 1], zero)), (1, 2, (held[:own], held[1 : own + 1], rank[2:])))
-        for kind, other, columns in orders:
+        for other, columns in ((1, (held[:own], rank[1 : own + 1], zero)), (2, (held[:own], held[1 : own + 1], rank[2:]))):
             some = (cls == 0) | (cls == other)
             x, y, z = (c[some] for c in columns)
-            parts.append(pd.DataFrame({"kind": kind, "cls": cls[some], "pos": at[some], "x": x, "y": y, "z": z}))
+            parts.append(pd.DataFrame({"other": other, "pos": at[some], "x": x, "y": y, "z": z}))
         return pd.concat(parts)
 
     return blocks.groupBy("block").cogroup(spread.groupBy("block")).applyInPandas(
-        keys, "kind long, cls long, pos long, x long, y long, z long"
+        keys, "other long, pos long, x long, y long, z long"
     )
 
 
-def _shares(ordered: DataFrame) -> DataFrame:
-    """What the two merge orders add to the rank of each position."""
-    name = F.col("kind") * 3 + F.col("cls")
-    counts = ordered.groupBy(F.spark_partition_id(), name).count().collect()
-    start = _before([tuple(r) for r in counts], [0, 1, 3, 5])
+def _shares(ordered: DataFrame, other: int) -> DataFrame:
+    """What the order of the classes 0 and ``other`` adds to the rank of each position: how
+    many of class 0 come before; for class 0 itself, how many of the other class do,
+    and in the order with class 1 those of class 0, too."""
+    counts = ordered.groupBy(F.spark_partition_id(), F.col("pos") % 3).count().collect()
+    start = _before([tuple(r) for r in counts], [0, other])
     kind = pa.schema([("pos", pa.int64()), ("rank", pa.int64())])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        at = {i: start.get((part, i), 0) for i in (0, 1, 3, 5)}
+        at = {i: start.get((part, i), 0) for i in (0, other)}
         for batch in batches:
-            kinds, cls = batch.column("kind").to_numpy(), batch.column("cls").to_numpy()
+            cls = batch.column("pos").to_numpy() % 3
             less = {}
             for i in at:
-                own = (kinds * 3 + cls) == i
-                ends = np.cumsum(own)
-                less[i] = at[i] + ends - own
+                ends = np.cumsum(cls == i)
+                less[i] = at[i] + ends - (cls == i)
                 at[i] += int(ends[-1]) if len(ends) else 0
-            rank = np.where(kinds == 0, less[0] + np.where(cls == 0, less[1], 0), np.where(cls == 0, less[5], less[3]))
+            rank = np.where(cls == 0, less[other] + (less[0] if other == 1 else 0), less[0])
             yield pa.RecordBatch.from_arrays([batch.column("pos"), pa.array(rank, pa.int64())], schema=kind)
 
     return ordered.mapInArrow(share, "pos long, rank long")
@@ -181,21 +180,30 @@ def suffix_ranks(symbols: DataFrame, n: int, small: int = SMALL, size: int = BLO
     """Of rows (pos, sym), with positions 0 to n - 1 and a last symbol that occurs
     once: (pos, rank), the rank of each suffix from 0."""
     if n <= max(small, 3):
-        return _sort_small(symbols) if n else symbols.select("pos", F.lit(0).cast("long").alias("rank"))
-    blocks = _blocks(symbols, size)
-    triples = cut(_triples(blocks, n, size))
+        return cut(_sort_small(symbols)) if n else symbols.select("pos", F.lit(0).cast("long").alias("rank"))
+    folder = new_folder(symbols.sparkSession, "suffixes")
+    blocks = stored(_blocks(symbols, size), f"{folder}/blocks")
+    triples = stored(_triples(blocks, n, size), f"{folder}/triples")
     named = numbered(sorted_parts(triples.groupBy("a", "b", "c").count().drop("count"), "a", "b", "c"), "name")
-    named = cut(named)
+    named = stored(named, f"{folder}/named")
     distinct, sampled = named.count(), n - (n + 2) // 3
-    names = triples.join(named, ["a", "b", "c"]).select("pos", "name")
+    names = stored(triples.join(named, ["a", "b", "c"]).select("pos", "name"), f"{folder}/names")
+    remove(f"{folder}/triples")
     if distinct == sampled:
-        ranks = cut(names.select("pos", F.col("name").alias("rank")))
+        ranks = names.withColumnRenamed("name", "rank")
     else:
         ones = (n + 1) // 3
         third = F.floor(F.col("pos") / 3)
         place = F.when(F.col("pos") % 3 == 1, third).otherwise(third + ones)
-        inner = suffix_ranks(cut(names.select(place.alias("pos"), F.col("name").alias("sym"))), sampled, small, size)
+        inner = suffix_ranks(names.select(place.alias("pos"), F.col("name").alias("sym")), sampled, small, size)
         back = F.when(F.col("pos") < ones, F.col("pos") * 3 + 1).otherwise((F.col("pos") - ones) * 3 + 2)
-        ranks = cut(inner.select(back.alias("pos"), "rank"))
-    ordered = sorted_parts(_merge_keys(blocks, ranks, n, size), "kind", "x", "y", "z")
-    return cut(_shares(ordered).union(ranks.select("pos", "rank")).groupBy("pos").agg(F.sum("rank").alias("rank")))
+        ranks = inner.select(back.alias("pos"), "rank")
+    keys = stored(_merge_keys(blocks, ranks, n, size), f"{folder}/keys")
+    # Stored one by one: in a union, tasks would not have the numbers of their partitions.
+    first = sorted_parts(keys.where("other = 1").select("x", "y", "pos"), "x", "y")
+    first = stored(_shares(first, 1), f"{folder}/first")
+    second = sorted_parts(keys.where("other = 2").select("x", "y", "z", "pos"), "x", "y", "z")
+    second = stored(_shares(second, 2), f"{folder}/second")
+    found = cut(first.union(second).union(ranks.select("pos", "rank")).groupBy("pos").agg(F.sum("rank").alias("rank")))
+    remove(folder)
+    return found

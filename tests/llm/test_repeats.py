@@ -56,9 +56,11 @@ def test_many_near_copies(docs, prose):
 
 def test_segments_do_not_change_the_anchors(prose, monkeypatch):
     data = (prose(4000, 5) + "q" * 3000 + prose(2000, 6)).encode()
-    whole = repeats.anchors(data).tolist()
-    monkeypatch.setattr(repeats, "SEGMENT", 1000)
-    assert repeats.anchors(data).tolist() == whole
+    for run, window in ((repeats.RUN, repeats.WINDOW), (repeats.SAMPLE_RUN, repeats.SAMPLE_WINDOW)):
+        monkeypatch.setattr(repeats, "SEGMENT", 1 << 20)
+        whole = [part.tolist() for part in repeats.anchors(data, run, window)]
+        monkeypatch.setattr(repeats, "SEGMENT", 1000)
+        assert [part.tolist() for part in repeats.anchors(data, run, window)] == whole
 
 
 def test_empty_table(docs):
