@@ -13,6 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 CONF = "spark.checkpoint.dir"
 
 
+#: Whole texts go to Python in batches of so many rows and bytes at most, so that a
+#: worker holds a few MB of them whatever the input.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. A session on one machine
     that names none gets a temporary one; a cluster must name one."""

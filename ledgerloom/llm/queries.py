@@ -20,6 +20,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,6 +32,7 @@ def tokenizer_path() -> str:
 
 def tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Write the shards, read them back, drop them; the rows stay as a checkpoint."""
+    common.small_batches(spark)
     folder, path = common.new_folder(spark, "tokens"), tokenizer_path()
     manifest = token_records.write(docs, folder, path)
     out = common.cut(token_records.read(spark, folder, manifest, token_records.width_of(path)))

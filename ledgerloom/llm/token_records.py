@@ -49,7 +49,7 @@ _IRREGULAR = rf"[{_SPACES}] | [{_SPACES}]|^ | $|<\|"
 # the pre-tokenizer keeps letters together and signs and the break apart.
 _LETTERS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)"
 _LATIN = re.compile(f"{_LETTERS}(?:(\n){_LETTERS})?")
-_CACHED = 800_000
+_CACHED = 300_000
 _HEAD, _SUM, _ID, _ROW = "<Q", "<I", "<Bq", "<qQQ"
 
 
