@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -23,6 +23,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """What a Python worker keeps for its next tasks: the state of one operator at a time,
+    so that the operators of a session don't add up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. A session on one machine
     that names none gets a temporary one; a cluster must name one."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batched, rows_of
+from ledgerloom.llm.common import batched, held, rows_of
 
 UNKNOWN = "und"
 DIMENSIONS = 256
@@ -120,7 +120,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Pr
     kind = pa.schema([("lang", pa.string()), ("run", pa.int64()), ("weight", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        profiles, sums = Profiles(), {}
+        profiles, sums = held(("profiles",), Profiles), {}
         for lang, text in rows_of(batches, "lang", "text"):
             runs, counts = profiles.runs(text)
             if len(runs):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batched, cut, free_name, rows_of
+from ledgerloom.llm.common import batched, cut, free_name, held, rows_of
 from ledgerloom.llm.components import components
 
 CHUNKS, SYMBOLS, LANE, BITS = 8, 5, 12, 11
@@ -125,7 +125,7 @@ def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
     kind = pa.schema([(name, pa.int64()) for name in names])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Sketcher(size)
+        own = held(("sketcher", size), lambda: Sketcher(size))
 
         def out() -> Iterator[tuple]:
             for doc, tag, text in rows_of(batches, "doc_id", "tag", "text"):
@@ -193,7 +193,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Sketcher(size)
+        own = held(("sketcher", size), lambda: Sketcher(size))
 
         def out() -> Iterator[tuple]:
             last, right = None, None

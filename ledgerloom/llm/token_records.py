@@ -26,7 +26,6 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -36,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batched, opened, publish, rows_of
+from ledgerloom.llm.common import batched, held, opened, publish, rows_of
 
 END_ID = 2
 SHARD_BYTES = 16 << 20
@@ -101,6 +100,7 @@ class Encoder:
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.type.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
         self.model, self.bytes_as_letters = self.tokenizer.model, _byte_letters()
 
     def whole(self, text: str) -> bytes:
@@ -147,9 +147,10 @@ class Encoder:
         space = self.bytes_as_letters[32] if spaced else ""
         return array(self.code, [token.id for token in self.model.tokenize(space + letters)]).tobytes()
 
-    @cache  # noqa: B019: signs are few, and so are encoders
     def _sign(self, sign: str) -> bytes:
-        return self.whole(sign)
+        if sign not in self.signs:
+            self.signs[sign] = self.whole(sign)
+        return self.signs[sign]
 
     def _known_or_learned(self, parts: list[str]) -> list[bytes]:
         found = list(map(self.known.get, parts))
@@ -177,10 +178,9 @@ class Encoder:
         return found
 
 
-@cache
 def encoder(path: str) -> Encoder:
     """One for each Python worker: what it learned serves the next tasks."""
-    return Encoder(path)
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def encoded(batches: Iterator[pa.RecordBatch], own: Encoder) -> Iterator[tuple[int | None, bytes]]:
