@@ -29,7 +29,7 @@ from ledgerloom.llm.common import cut, new_folder, remove, stored
 
 BLOCK = 1 << 15
 #: A text of so many symbols is sorted in one task.
-SMALL = 1 << 19
+SMALL = 1 << 17
 
 
 def partitions(df: DataFrame) -> int:
