@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cache, cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.model import ENTITIES
@@ -122,19 +122,21 @@ class Bank:
 def _bronze_steps(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     columns = ENTITIES["accounts"].columns
     text = [c for c in columns if c not in NUMERIC["accounts"]]
-    row = F.col("row_id")
+
+    def row() -> Column:
+        return F.col("row_id")
 
     def source() -> DataFrame:
         return b.source["accounts"]
 
     def holes() -> DataFrame:
-        return bronze.inject_nulls(source(), columns, row, seed=SEED)
+        return bronze.inject_nulls(source(), columns, row(), seed=SEED)
 
     return {
         "b_nulls": holes,
-        "b_duplicates": lambda: bronze.inject_duplicates(source(), row, seed=SEED),
+        "b_duplicates": lambda: bronze.inject_duplicates(source(), row(), seed=SEED),
         "b_blanks": lambda: bronze.nulls_to_blank(holes(), text),
-        "b_case_noise": lambda: bronze.inject_case_noise(source(), text, row, SEED),
+        "b_case_noise": lambda: bronze.inject_case_noise(source(), text, row(), SEED),
     }
 
 
