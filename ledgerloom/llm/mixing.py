@@ -6,9 +6,11 @@ slot ceil(j / w). Taking the released block with the earliest deadline meets all
 deadlines, so after every slot each source is less than one block away from its
 weight times the slots so far.
 
-Weights are rounded to whole blocks out of ``period`` slots, so the schedule repeats: one
-period is worked out on the driver, from the weights alone, and every block finds its
-slot by arithmetic and a join with that table of ``period`` rows. Within its
+Weights are taken exactly, as fractions, and never rounded: the schedule is worked out on
+the driver slot by slot, with the state of each source and nothing else in memory, and
+goes to a table in the shared folder, a row for each slot. Weights whose whole-numbered
+form adds up to less than the schedule's length repeat after so many slots, and only
+these are worked out. The driver's time grows with the number of blocks. Within its
 source, the order of the rows is a hash of their ids: a shuffle that every run repeats.
 
 No row is dropped. The schedule goes on until every block has had its slot; sources that
@@ -24,18 +26,24 @@ empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-
-from pyspark.sql import Column, DataFrame
+import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
+
+import pyarrow as pa
+from pyarrow import parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerloom.llm.common import cut, free_name
+from ledgerloom.llm.common import cut, free_name, new_folder, opened, remove
 
 BLOCK_ROWS = 16
-PERIOD = 1000
-MOST_SOURCES = 10_000
 FLATTEN = 0.7
 BUCKET_ROWS = 2000
+FLUSH = 1 << 20
 
 
 def whole_weights(weights: dict, period: int) -> dict:
@@ -59,43 +67,75 @@ def whole_weights(weights: dict, period: int) -> dict:
     return out
 
 
-def one_period(counts: dict) -> list[tuple[object, int, int]]:
-    """(source, its block, slot) of a period, blocks and slots from 0."""
-    period = sum(counts.values())
-    names = sorted(counts, key=lambda k: (k is not None, str(k)))
+def exact_weights(weights: dict) -> dict:
+    """Weights as the smallest whole numbers that are exactly in their proportions."""
+    if not weights or any(not 0 < w < math.inf for w in weights.values()):
+        raise ValueError("weights must be over 0")
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    out = {k: int(x * scale) for k, x in exact.items()}
+    shared = math.gcd(*out.values())
+    return {k: n // shared for k, n in out.items()}
+
+
+def turns(weights: list[int]) -> Iterator[tuple[int, int]]:
+    """(place of the source, its block) of one slot after the other, without an end."""
+    total, slot = sum(weights), 0
     # Heaps of (time, place of the source): blocks to be released, blocks to be chosen.
-    later = [(0, at) for at in range(len(names))]
+    later = [(0, at) for at in range(len(weights))]
     ready: list[tuple[int, int]] = []
-    done = [0] * len(names)
-    out = []
-    for slot in range(period):
+    done = [0] * len(weights)
+    while True:
         while later and later[0][0] <= slot:
             _, at = heapq.heappop(later)
-            heapq.heappush(ready, (-(-(done[at] + 1) * period // counts[names[at]]), at))
+            heapq.heappush(ready, (-(-(done[at] + 1) * total // weights[at]), at))
         _, at = heapq.heappop(ready)
-        out.append((names[at], done[at], slot))
+        yield at, done[at]
         done[at] += 1
-        if done[at] < counts[names[at]]:
-            heapq.heappush(later, (done[at] * period // counts[names[at]], at))
-    return out
+        heapq.heappush(later, (done[at] * total // weights[at], at))
+        slot += 1
 
 
-def _numbered(docs: DataFrame, names: dict[str, str], id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a text that stands for the source, and the place of each row in its
-    source, from 0, in hash order. Rows are ranked inside buckets of the hash, and buckets
-    by their counts."""
-    buckets = max(1, -(-docs.count() // BUCKET_ROWS))
-    row_id = F.col(id_col).cast("long")
-    draw = F.xxhash64(row_id, F.lit(11))
-    rows = docs.withColumn(names["source"], _named(F.col(source_col))).withColumn(names["bucket"], F.pmod(draw, F.lit(buckets)))
-    key = [names["source"], names["bucket"]]
-    counts = rows.groupBy(*key).agg(F.count("*").alias(names["before"]))
-    # A row for each source and bucket.
-    up_to = W.partitionBy(names["source"]).orderBy(names["bucket"]).rowsBetween(W.unboundedPreceding, -1)
-    before = counts.select(*key, F.coalesce(F.sum(names["before"]).over(up_to), F.lit(0)).alias(names["before"]))
-    inside = W.partitionBy(*key).orderBy(draw, row_id, F.xxhash64(F.col(text_col).cast("string")))
-    ranked = rows.withColumn(names["place"], F.row_number().over(inside) - 1).join(before, key)
-    return ranked.withColumn(names["place"], F.col(names["place"]) + F.col(names["before"])).drop(names["bucket"], names["before"])
+def one_period(counts: dict) -> list[tuple[object, int, int]]:
+    """(source, its block, slot) of a period, blocks and slots from 0."""
+    names = sorted(counts, key=lambda k: (k is not None, str(k)))
+    found = islice(turns([counts[k] for k in names]), sum(counts.values()))
+    return [(names[at], block, slot) for slot, (at, block) in enumerate(found)]
+
+
+def _stored_turns(folder: str, weights: list[int], blocks: list[int]) -> tuple[int, bool]:
+    """Write the slots (src, turn, slot) up to the last first showing of a block, or of one
+    whole period if that is shorter. Returns the length of the schedule, and whether it
+    was a period."""
+    kind = pa.schema([("src", pa.int32()), ("turn", pa.int64()), ("slot", pa.int64())])
+    total, left, slot = sum(weights), len(blocks), 0
+    # In a period: the slot of the block that stands for the source's last one.
+    last = [0] * len(blocks)
+    store, path = opened(folder)
+    store.create_dir(path)
+    with pq.ParquetWriter(f"{path}/turns.parquet", kind, filesystem=store) as file:
+        held = array("i"), array("q"), array("q")
+
+        def flush() -> None:
+            file.write_table(pa.table([pa.array(memoryview(c), f.type) for c, f in zip(held, kind, strict=True)], schema=kind))
+            for column in held:
+                del column[:]
+
+        for at, block in turns(weights):
+            for column, value in zip(held, (at, block, slot), strict=True):
+                column.append(value)
+            if len(held[0]) >= FLUSH:
+                flush()
+            left -= block == blocks[at] - 1
+            if block == (blocks[at] - 1) % weights[at]:
+                last[at] = slot
+            slot += 1
+            if not left or slot == total:
+                break
+        flush()
+    if not left:
+        return slot, False
+    return max((n - 1) // w * total + s + 1 for n, w, s in zip(blocks, weights, last, strict=True)), True
 
 
 def _named(source: Column) -> Column:
@@ -105,47 +145,71 @@ def _named(source: Column) -> Column:
 
 def mix(
     docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source",
-    text_col: str = "text", block_rows: int = BLOCK_ROWS, period: int = PERIOD, out: tuple[str, str, str] = ("slot", "place", "epoch"),
+    text_col: str = "text", block_rows: int = BLOCK_ROWS, period: int | None = None, out: tuple[str, str, str] = ("slot", "place", "epoch"),
 ) -> DataFrame:
     """``docs`` with three columns, which must be free: the slot of the block, the place in
     the block and the epoch of the source. Without ``weights``, sources weigh in with
-    their number of blocks to the power 0.7, so that small ones count for more."""
+    their number of blocks to the power 0.7, so that small ones count for more. With a
+    ``period``, weights are first rounded to whole blocks out of so many slots."""
     spark = docs.sparkSession
-    names = {k: free_name(docs, k) for k in ("source", "bucket", "before", "place", "blocks", "share", "nth")}
-    supply = docs.groupBy(_named(F.col(source_col)).alias("source")).agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(supply) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    blocks = {r.source: -(-r.n // block_rows) for r in supply}
+    names = {k: free_name(docs, k) for k in ("source", "bucket", "before", "place", "first", "slots", "block")}
+    supply = docs.groupBy(_named(F.col(source_col)).alias("source")).agg(F.count("*").alias("n")).collect()
+    blocks = {r.source: -(-r.n // block_rows) for r in sorted(supply, key=lambda r: r.source)}
     if weights is not None:
         weights = {"" if k is None else f"={k}": w for k, w in weights.items()}
         if lacking := sorted(k.removeprefix("=") for k in blocks if k not in weights):
             raise ValueError(f"no weight for {lacking[:5]}")
     if not blocks:
         return docs.select("*", *(F.lit(0).cast("long").alias(c) for c in out))
-    counts = whole_weights({k: weights[k] if weights else n**FLATTEN for k, n in blocks.items()}, period)
-    turns = one_period(counts)
-    period = len(turns)
-    slots = {(k, j): s for k, j, s in turns}
-    # The schedule ends with the last first showing of any block.
-    length = max((n - 1) // counts[k] * period + slots[k, (n - 1) % counts[k]] + 1 for k, n in blocks.items())
-    # How many blocks of each source have their slot before the end.
-    taken = {k: length // period * counts[k] + sum(slots[k, j] < length % period for j in range(counts[k])) for k in blocks}
-    src, place, blocks_in, share, nth = (names[k] for k in ("source", "place", "blocks", "share", "nth"))
-    shape = [(k, n, counts[k], taken[k]) for k, n in blocks.items()]
-    shape = spark.createDataFrame(shape, f"{src} string, {blocks_in} long, {share} long, {names['before']} long")
-    turn, slot = names["bucket"], free_name(docs, "slot")
-    table = spark.createDataFrame(turns, f"{src} string, {turn} long, {slot} long")
-
-    # Both tables are bounded: by the sources, and by the period.
-    rows = _numbered(docs, names, id_col, source_col, text_col).join(F.broadcast(shape), src)
-    block = F.floor(F.col(place) / block_rows)
-    last = F.ceil((F.col(names["before"]) - block) / F.col(blocks_in)) - 1
-    epochs = F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0).cast("long")))
-    rows = rows.withColumn(out[2], F.explode(epochs)).withColumn(nth, block + F.col(out[2]) * F.col(blocks_in))
-    rows = rows.withColumn(turn, F.col(nth) % F.col(share)).join(F.broadcast(table), [src, turn])
-    return rows.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
-        (F.floor(F.col(nth) / F.col(share)) * period + F.col(slot)).alias(out[0]),
-        (F.col(place) % block_rows).alias(out[1]),
-        out[2],
+    chosen = {k: weights[k] if weights else n**FLATTEN for k, n in blocks.items()}
+    whole = whole_weights(chosen, period) if period else exact_weights(chosen)
+
+    # Rows are ranked inside buckets of the hash, and buckets by their counts.
+    src, bucket, place, before = (names[k] for k in ("source", "bucket", "place", "before"))
+    key, buckets = [src, bucket], max(1, -(-sum(r.n for r in supply) // BUCKET_ROWS))
+    row_id = F.col(id_col).cast("long")
+    draw = F.xxhash64(row_id, F.lit(11))
+    rows = docs.withColumn(src, _named(F.col(source_col))).withColumn(bucket, F.pmod(draw, F.lit(buckets)))
+    inside = W.partitionBy(*key).orderBy(draw, row_id, F.xxhash64(F.col(text_col).cast("string")))
+    ranked = rows.withColumn(place, F.row_number().over(inside) - 1)
+    counts = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    rows = ranked.join(_bucket_slots(spark, counts, names, blocks, whole, block_rows), key)
+
+    # Place of the row in its source, from 0, and its block; a slot for each epoch.
+    nth = F.col(place) + F.col(before)
+    own = F.element_at(F.col(names["slots"]), (F.floor(nth / block_rows) - F.col(names["first"]) + 1).cast("int"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = rows.select(*columns, (nth % block_rows).alias(place), F.posexplode(own["slots"]).alias(src, names["block"]))
+    return rows.select(*columns, F.col(names["block"]).alias(out[0]), F.col(place).alias(out[1]), F.col(src).cast("long").alias(out[2]))
+
+
+def _bucket_slots(
+    spark: SparkSession, counts: DataFrame, names: dict[str, str], blocks: dict, whole: dict, block_rows: int
+) -> DataFrame:
+    """For each source and bucket: the rows of the source before it, its first block, and
+    of each of its blocks the slots, by epoch."""
+    src, bucket, before, first, slots, block = (names[k] for k in ("source", "bucket", "before", "first", "slots", "block"))
+    key, total = [src, bucket], sum(whole.values())
+    folder = new_folder(spark, "turns")
+    length, repeats = _stored_turns(folder, [whole[k] for k in blocks], list(blocks.values()))
+    table = spark.read.schema("src int, turn long, slot long").parquet(folder)
+    # At most so many blocks of a source have their slot before the end.
+    shape = [(k, at, n, whole[k] if repeats else length + 1, -(-length * whole[k] // total)) for at, (k, n) in enumerate(blocks.items())]
+    # Bounded by the sources, which the driver has anyway.
+    shape = F.broadcast(spark.createDataFrame(shape, f"{src} string, src int, stock long, share long, most long"))
+    up_to = W.partitionBy(src).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    spans = counts.select(*key, "n", F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias(before))
+    spans = spans.withColumn(first, F.floor(F.col(before) / block_rows))
+    showings = (
+        spans.withColumn(block, F.explode(F.sequence(first, F.floor((F.col(before) + F.col("n") - 1) / block_rows))))
+        .join(shape, src)
+        .withColumn("nth", F.explode(F.sequence(F.col(block), F.col("most") - 1, F.col("stock"))))
+        .withColumn("turn", F.col("nth") % F.col("share"))
+        .join(table, ["src", "turn"])
+        .withColumn("slot", F.floor(F.col("nth") / F.col("share")) * F.lit(total if repeats else 0) + F.col("slot"))
+        .where(F.col("slot") < length)
     )
+    by_block = showings.groupBy(*key, before, first, block).agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    out = cut(by_block.groupBy(*key, before, first).agg(F.sort_array(F.collect_list(F.struct(block, "slots"))).alias(slots)))
+    remove(folder)
+    return out

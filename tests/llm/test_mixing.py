@@ -64,3 +64,32 @@ def test_empty_table_and_lacking_weight(docs):
     assert mixing.mix(docs([]), out=("at", "nth", "turn")).count() == 0
     with pytest.raises(ValueError, match="small"):
         mixing.mix(docs(corpus()), {"big": 1, None: 1})
+
+
+@pytest.mark.parametrize("weights", [{"a": 1 / 3, "b": 2 / 3 - 1e-5, "c": 1e-5}, {"hot": 250_000**0.7, **{i: 25_000**0.7 for i in range(20)}}])
+def test_no_drift_from_unrounded_weights(weights):
+    whole = list(mixing.exact_weights(weights).values())
+    total, done = sum(whole), [0] * len(whole)
+    for slot, (at, block) in zip(range(1, 300_001), mixing.turns(whole)):
+        assert block == done[at]
+        done[at] += 1
+        if slot % 1000 < 3:
+            assert all(abs(n * total - slot * w) < total for n, w in zip(done, whole, strict=True))
+
+
+def test_mix_keeps_to_weights_that_no_period_holds(docs):
+    weights = {"big": 1 - 1 / 3000, "small": 1 / 3000}
+    rows = [(i, "x", None, "big") for i in range(4000)] + [(5000, "y", None, "small")]
+    found = mixing.mix(docs(rows), weights, block_rows=1, out=("at", "nth", "turn")).collect()
+    assert {r.doc_id for r in found} == {r[0] for r in rows}
+    done = 0
+    for slot, r in enumerate(sorted(found, key=lambda r: r["at"]), 1):
+        assert r["at"] == slot - 1
+        done += r.source == "small"
+        assert abs(done - slot * weights["small"]) < 1
+
+
+def test_many_sources(docs):
+    rows = [(i, "x", None, f"s{i}") for i in range(10_050)]
+    found = mixing.mix(docs(rows), out=("at", "nth", "turn")).select("doc_id", "at").collect()
+    assert sorted(r["at"] for r in found) == list(range(len(rows))) and len({r.doc_id for r in found}) == len(rows)
