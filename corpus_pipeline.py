@@ -48,7 +48,11 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens(spark, docs)
+    """The shards are in the order of ids; ``position`` is the place of a record in the mix,
+    which is the stored order of ``docs``. A reader that goes by it, and by the index of
+    the shards, gets every source at its weight."""
+    place = common.free_name(docs, "position")
+    return tokens(spark, common.stored_order(docs, place), place)
 
 
 STAGES = [

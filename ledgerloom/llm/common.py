@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CONF = "spark.checkpoint.dir"
 
@@ -71,6 +73,29 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_order(df: DataFrame, out: str) -> DataFrame:
+    """``df``, read from files, with a column ``out``: the place of each row, from 0, in the
+    order in which the files were written."""
+    meta = df.metadataColumn("_metadata")
+    file, start = free_name(df, "file"), free_name(df, "start")
+    rows = df.select("*", meta["file_path"].alias(file), meta["row_index"].alias(out))
+    counts = df.select(meta["file_path"].alias(file)).groupBy(file).count().collect()
+
+    def written(path: str) -> tuple:
+        # Spark's names have five digits, and more only where they don't suffice.
+        name = path.rsplit("/", 1)[-1]
+        part = re.match(r"part-(\d+)", name)
+        return int(part[1]) if part else -1, name
+
+    before, starts = 0, []
+    for row in sorted(counts, key=lambda r: written(r[file])):
+        starts.append((row[file], before))
+        before += row["count"]
+    # A row for each file.
+    starts = F.broadcast(df.sparkSession.createDataFrame(starts, f"{file} string, {start} long"))
+    return rows.join(starts, file).withColumn(out, F.col(out) + F.col(start)).drop(file, start)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

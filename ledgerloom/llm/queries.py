@@ -30,12 +30,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(BYTE_BPE)
 
 
-def tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def tokens(spark: SparkSession, docs: DataFrame, position_col: str | None = None) -> DataFrame:
     """Write the shards, read them back, drop them; the rows stay as a checkpoint."""
     common.small_batches(spark)
     folder, path = common.new_folder(spark, "tokens"), tokenizer_path()
-    manifest = token_records.write(docs, folder, path)
-    out = common.cut(token_records.read(spark, folder, manifest, token_records.width_of(path)))
+    manifest = token_records.write(docs, folder, path, position_col=position_col)
+    out = common.cut(token_records.read(spark, folder, manifest, token_records.width_of(path), position_col is not None))
     common.remove(folder)
     return out
 

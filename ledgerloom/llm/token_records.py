@@ -11,7 +11,9 @@ One record of a shard file, all numbers little-endian::
 The checksum is CRC-32, masked as ``rotate right by 15, plus 0xA282EAD8``: a checksum
 of data that itself holds checksums stays strong. ``shard-00000.bin`` has an index
 ``shard-00000.idx`` of 24-byte rows (int64 document id, uint64 offset, uint64 number
-of ids), so a shuffled reader can seek to any record.
+of ids), so a shuffled reader can seek to any record. Where the rows have a place in an
+order of their own, such as a mix, ``shard-00000.pos`` holds it as an int64 a record: who
+reads the records by it, with the index, gets that order.
 
 Defined results: a null or empty text is a record of the end id alone; a null document
 id sorts first and reads back as null; rows with one document id are ordered by
@@ -26,7 +28,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -196,25 +198,36 @@ def shard_name(shard: int, kind: str = "bin") -> str:
 
 def write(
     docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-    shard_bytes: int = SHARD_BYTES, end_id: int = END_ID,
+    shard_bytes: int = SHARD_BYTES, end_id: int = END_ID, position_col: str | None = None,
 ) -> list[tuple[int, int, int]]:
-    """Encode and write the shards, in ascending order of ids across them.
+    """Encode and write the shards, in ascending order of ids across them, and the
+    rows' places in ``position_col`` beside them if there is one.
     Returns the manifest: (shard, documents, ids), a row for each shard."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(text_col).cast("string").alias("text"),
+        *([F.col(position_col).cast("long").alias("position")] if position_col else []),
+    )
     size = rows.agg(F.sum(F.octet_length("text") + F.lit(64))).first()[0] or 0
     parts = max(1, -(-size // shard_bytes))
     tie = F.xxhash64("text")
     # The range partitions are the shards. The hash spreads rows of one id, and
     # keeps whole texts out of the sample of the range bounds.
-    dealt = rows.repartitionByRange(int(parts), "id", tie).sortWithinPartitions("id", tie, "text")
+    dealt = rows.repartitionByRange(int(parts), "id", tie).sortWithinPartitions("id", tie, "text", *rows.columns[2:])
     manifest = pa.schema([("shard", pa.int64()), ("documents", pa.int64()), ("ids", pa.int64())])
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, own = TaskContext.get().partitionId(), encoder(tokenizer)
-        end, index, total = np.array([end_id], own.type).tobytes(), bytearray(), [0, 0, 0]
+        end, index, total, places = np.array([end_id], own.type).tobytes(), bytearray(), [0, 0, 0], bytearray()
+
+        def placed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if position_col:
+                    places.extend(batch.column("position").to_numpy().astype("<i8").tobytes())
+                yield batch
 
         def records() -> Iterator[bytes]:
-            for doc, ids in encoded(batches, own):
+            for doc, ids in encoded(placed(), own):
                 ids += end
                 record = framed(struct.pack(_ID, doc is not None, doc or 0) + ids)
                 count = len(ids) // own.type.itemsize
@@ -226,19 +239,24 @@ def write(
 
         publish(folder, shard_name(shard), records())
         publish(folder, shard_name(shard, "idx"), iter([bytes(index)]))
+        if position_col:
+            publish(folder, shard_name(shard, "pos"), iter([bytes(places)]))
         yield from batched(iter([(shard, total[0], total[1])]), manifest)
 
     found = dealt.mapInArrow(save, "shard long, documents long, ids long").collect()
     return sorted((r.shard, r.documents, r.ids) for r in found if r.documents)
 
 
-def read(spark, folder: str, manifest: list[tuple[int, int, int]], width: int = 2) -> DataFrame:
-    """Read the shards back, a task for each: doc_id, start, n_tokens, ids_crc32, shard, offset."""
+def read(spark, folder: str, manifest: list[tuple[int, int, int]], width: int = 2, positions: bool = False) -> DataFrame:
+    """Read the shards back, a task for each: doc_id, start, n_tokens, ids_crc32, shard, offset,
+    and position if they were written with it."""
     starts, at = {}, 0
     for shard, _, ids in manifest:
         starts[shard], at = at, at + ids
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, shard long, offset long"
     names = ("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset")
+    if positions:
+        schema, names = f"{schema}, position long", (*names, "position")
     arrow = pa.schema([(n, pa.int64()) for n in names])
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,12 +264,15 @@ def read(spark, folder: str, manifest: list[tuple[int, int, int]], width: int =
 
         def rows() -> Iterator[tuple]:
             for (shard,) in rows_of(batches, "shard"):
-                start = starts[shard]
+                start, places = starts[shard], repeat(())
+                if positions:
+                    with store.open_input_file(f"{path}/{shard_name(shard, 'pos')}") as file:
+                        places = zip(np.frombuffer(file.read(), "<i8").tolist(), strict=True)
                 with store.open_input_stream(f"{path}/{shard_name(shard)}", buffer_size=1 << 20) as stream:
-                    for offset, payload in unframed(stream):
+                    for (offset, payload), place in zip(unframed(stream), places, strict=positions):
                         known, doc = struct.unpack_from(_ID, payload)
                         ids = np.frombuffer(payload, f"<u{width}", offset=struct.calcsize(_ID)).astype("<u4")
-                        yield doc if known else None, start, len(ids), zlib.crc32(ids.tobytes()), shard, offset
+                        yield doc if known else None, start, len(ids), zlib.crc32(ids.tobytes()), shard, offset, *place
                         start += len(ids)
 
         yield from batched(rows(), arrow)

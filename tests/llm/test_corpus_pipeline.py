@@ -52,6 +52,27 @@ def test_run_equals_its_stages(spark, tables):
     assert [r.start for r in starts] == [sum(r.n_tokens for r in starts[:i]) for i in range(len(starts))]
 
 
+def test_records_know_their_place_in_the_mix(spark, docs, tmp_path):
+    """Whole blocks of every source: read by position, no prefix is a block off the weights."""
+    sizes, rows = {"big": 640, "small": 64, "least": 16}, []
+    for name, n in sizes.items():
+        rows += [(len(rows) + i, f"{name} {i}", "xx", name) for i in range(n)]
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        corpus_pipeline.target_mix(spark, docs(rows), "").write.parquet(f"{tmp_path}/mixed")
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+    mixed = spark.read.parquet(f"{tmp_path}/mixed")
+    found = sorted(corpus_pipeline.token_records(spark, mixed, "").collect(), key=lambda r: r.position)
+    assert [r.position for r in found] == list(range(mixed.count()))
+    assert len(found) > len(rows)  # small sources repeat
+    weights = {name: (n // 16) ** 0.7 for name, n in sizes.items()}
+    done, total = Counter(), sum(weights.values())
+    for nth, r in enumerate(found, 1):
+        done[rows[r.doc_id][3]] += 1
+        assert all(abs(done[k] - nth * w / total) < 16 for k, w in weights.items())
+
+
 def test_stage_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near duplicates", "decontamination", "mix", "tokens"]
 
