@@ -17,12 +17,18 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no language is found for go: those without text or letters."""
+    """Documents without text or letters go, and those that are like no learned language:
+    their score is under the limit that labelled documents of as many runs give.
+    Where there is no language to learn from, all documents with letters stay."""
     common.small_batches(spark)
-    profiles = language.learn(docs.where(~language.held_out()))
+    labelled = docs.where(~language.held_out())
+    profiles = language.learn(labelled)
+    if not profiles.languages:
+        return docs.where(language.letters(F.col("text")) > 0)
+    limits = language.limits(labelled, profiles)
     name = common.free_name(docs, "found")
-    found = language.predict(docs, profiles, out=name)
-    return found.where(F.col(f"{name}.lang") != language.UNKNOWN).drop(name)
+    found = language.predict(docs, profiles, out=name, told=True)
+    return found.where(language.alike(F.col(name), limits)).drop(name)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

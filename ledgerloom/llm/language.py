@@ -17,6 +17,7 @@ language learned, every text is ``und``; ties go to the language first in order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batched, held, rows_of
+from ledgerloom.llm.common import batched, free_name, held, rows_of
 
 UNKNOWN = "und"
 DIMENSIONS = 256
@@ -36,6 +37,9 @@ MOST_LANGUAGES = 500
 #: order of the tasks.
 SHARE = 1_000_000
 SEED = 20
+#: Limits: steps of the score, and rows that a class of lengths must have.
+STEPS = 1000
+LEAST_ROWS = 20
 
 
 def _letter_codes() -> np.ndarray:
@@ -102,14 +106,17 @@ class Profiles:
             out += weight @ self.table[place]
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, int]:
+        """Language, score and how much the text tells: the logarithm to base 2 of the
+        number of its runs, where repeated ones count for less (sum squared by squares)."""
         runs, counts = self.runs(text)
         if not len(runs) or not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
+        told = int(math.log2(counts.sum() ** 2 / (counts * counts).sum()))
         own = self.bundle(runs, counts)
         near = self.prototypes @ (own / max(np.linalg.norm(own), 1e-9))
         best = int(np.argmax(near))
-        return self.languages[best], float(np.clip((1 + near[best]) / 2, 0, 1))
+        return self.languages[best], float(np.clip((1 + near[best]) / 2, 0, 1)), told
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
@@ -153,21 +160,63 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Pr
     return out
 
 
-def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: str = "found") -> DataFrame:
-    """``docs`` with a struct column ``out`` of lang and score."""
+def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: str = "found", told: bool = False) -> DataFrame:
+    """``docs`` with a struct column ``out`` of lang and score, and ``told`` if asked for: the
+    class of texts by the number of their runs that limits are made for."""
+    names = ["lang", "score", "told"][: 2 + told]
     model = docs.sparkSession.sparkContext.broadcast((profiles.languages, profiles.prototypes, profiles.common))
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double" + ", told int" * told)
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         languages, prototypes, common = model.value
         own = Profiles(languages, prototypes)
         own.prepare(common)
         for texts in batches:
-            yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame([own.predict(t)[: len(names)] for t in texts], columns=names)
 
     return docs.withColumn(out, guess(F.col(text_col).cast("string")))
 
 
+def letters(text: Column) -> Column:
+    """How many letters a text has."""
+    return F.length(F.regexp_replace(text.cast("string"), r"\P{L}+", ""))
+
+
+def limits(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> list[float | None]:
+    """The score under which a text is like no learned language, by class: texts of
+    ``2 ** n`` runs and more, up to twice as many, where repeated runs count for less. It is
+    the lowest score of a row whose language is found right, or three times the distance
+    of the quartiles of these rows below the lower one (Tukey's outer fence) if that is
+    less: no such row is under its limit. A class of fewer than ``LEAST_ROWS`` rows takes the
+    limit of the next shorter class, whose texts score lower; if there is none, it has
+    no limit."""
+    name, step = free_name(docs, "found"), free_name(docs, "step")
+    rows = predict(docs.where(F.col(lang_col).isNotNull()), profiles, text_col, name, told=True)
+    rows = rows.where((F.col(name)["lang"] != UNKNOWN) & (F.col(name)["lang"] == F.col(lang_col).cast("string")))
+    rows = rows.select(F.col(name)["told"].alias("told"), F.floor(F.col(name)["score"] * STEPS).alias(step))
+    # Bounded by the classes and the steps.
+    counts: dict[int, list[tuple[int, int]]] = {}
+    for r in rows.groupBy("told", step).count().collect():
+        counts.setdefault(r["told"], []).append((r[step], r["count"]))
+    out: list[float | None] = []
+    for own in range(max(counts, default=-1) + 1):
+        steps = sorted(counts.get(own, []))
+        total = np.cumsum([n for _, n in steps])
+        if not steps or total[-1] < LEAST_ROWS:
+            out.append(out[-1] if out else None)
+            continue
+        low, high = (steps[int(np.searchsorted(total, total[-1] * q))][0] for q in (0.25, 0.75))
+        out.append(min(steps[0][0], low - 3 * (high + 1 - low)) / STEPS)
+    return out
+
+
+def alike(found: Column, limits: list[float | None]) -> Column:
+    """Whether a prediction is one of a language, with a score that reaches the limit of its class."""
+    known = F.array(*(F.lit(x).cast("double") for x in limits or [None]))
+    limit = F.element_at(known, F.least(found["told"] + 1, F.lit(max(len(limits), 1))))
+    return (found["lang"] != UNKNOWN) & F.coalesce(found["score"] >= limit, F.lit(True))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold that is not learned from: a quarter of the ids, by their hash."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

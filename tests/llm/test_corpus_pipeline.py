@@ -1,9 +1,12 @@
+import random
+import zlib
 from collections import Counter
 
 import corpus_pipeline
 import pytest
 from ledgerloom.llm import token_records
 from ledgerloom.llm.queries import queries, tokenizer_path
+from tests.llm.test_language import written
 from tests.llm.test_near_duplicates import brute, edited
 
 
@@ -73,6 +76,26 @@ def test_records_know_their_place_in_the_mix(spark, docs, tmp_path):
         assert all(abs(done[k] - nth * w / total) < 16 for k, w in weights.items())
 
 
+def test_language_stage_rejects_what_no_language_is_like(spark, docs):
+    rows = [(i, written(lang := "abc"[i % 3] * 2, 5 + i % 60, i), lang, "s") for i in range(900)]
+    strange = {2000: ["жшщ", "ъыэ", "юфц", "лпй", "кг", "мяь"], 3000: ["zxk", "vqj", "jwq", "kkz", "xv", "wzq"]}
+    draw = random.Random(4)
+    alien = [(at + i, " ".join("".join(draw.choices(some, k=draw.randint(1, 4))) for _ in range(20 + i)), None, "s") for at, some in strange.items() for i in range(20)]
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, docs(rows + alien), "").collect()}
+    assert not kept & {r[0] for r in alien}
+    assert len(kept) >= 0.99 * len(rows)
+
+
+def test_language_stage_without_labels_keeps_what_has_letters(spark, docs):
+    """No label at all, and labels in the held-out fold only."""
+    rows = [(1, "some words", None, "s"), (2, "12 !", None, "s"), (3, None, None, "s"), (4, "é", None, "s")]
+    held = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for some in (rows, [*rows, (held, "more words", "xx", "s")]):
+        found = corpus_pipeline.known_language(spark, docs(some), "")
+        assert found.columns == docs(some).columns
+        assert {r.doc_id for r in found.collect()} == {1, 4} | {r[0] for r in some[4:]}
+
+
 def test_stage_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near duplicates", "decontamination", "mix", "tokens"]
 
