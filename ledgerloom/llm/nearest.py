@@ -9,7 +9,8 @@ exact inner products on the original vectors.
 The largest inner product is the nearest direction once every vector gets a component
 that lifts it to the largest norm, and queries a zero there; that is done where the norms
 differ. A bucket of many vectors is cut into parts of bounded size; a query visits all
-parts. Of equal vectors only the first ``k + 1`` ids are indexed: the others can be
+parts, and the queries of a bucket are dealt into parts of bounded size as well. Of equal
+vectors only the first ``k + 1`` ids are indexed: the others can be
 nobody's k nearest, as ties go to the smaller id.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
@@ -116,7 +117,7 @@ def _ranked(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFram
 
 
 def _met(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    cell = ["size", "tab", "axis", "part"]
+    cell = ["size", "tab", "axis", "part", "turn"]
     return index.groupBy(cell).cogroup(asked.groupBy(cell)).applyInPandas(
         lambda vectors, queries: _ranked(vectors, queries, k), "query_id long, vec_id long, score double"
     )
@@ -139,15 +140,22 @@ def search(
 
     ordered = W.partitionBy("vec").orderBy("id")
     plain = rows.select("id", "vec", F.size("vec").alias("size"))
-    index = cut(_hashed(plain.withColumn("nth", F.row_number().over(ordered)).where(F.col("nth") <= k + 1).drop("nth").distinct(), tables, 1, lift, top or 0.0))
+    index = cut(_hashed(plain.distinct().withColumn("nth", F.row_number().over(ordered)).where(F.col("nth") <= k + 1).drop("nth"), tables, 1, lift, top or 0.0))
     # Bounded by tables, vector lengths and their axes.
     cells = index.groupBy("size", "tab", "axis").agg(F.ceil(F.count("*") / F.lit(part)).cast("int").alias("parts"))
     cells = F.broadcast(cut(cells))
     index = index.join(cells, ["size", "tab", "axis"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
 
-    def asked(of: DataFrame, tables: int, probes: int | None) -> DataFrame:
+    def met(index: DataFrame, of: DataFrame, tables: int, probes: int | None) -> DataFrame:
+        """What the queries meet, ``part`` queries of a cell with a part of it at a time."""
         probed = _hashed(of, tables, probes, lift, 0.0).join(cells, ["size", "tab", "axis"])
-        return probed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        # A row for each cell, too.
+        many = probed.groupBy("size", "tab", "axis").agg(F.ceil(F.count("*") / F.lit(part)).cast("int").alias("turns"))
+        many = F.broadcast(cut(many))
+        asked = probed.join(many, ["size", "tab", "axis"]).withColumn("turn", F.pmod(F.xxhash64("id", F.lit(1)), F.col("turns")).cast("int"))
+        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "turns")
+        shown = index.join(many, ["size", "tab", "axis"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+        return _met(shown.drop("turns"), asked, k)
 
     want = rows.where("asks").select("id", "vec", F.size("vec").alias("size")).distinct()
     nearest = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -156,10 +164,10 @@ def search(
         # The same candidate from two tables has the same score, hence the same rank.
         return met.withColumn("rank", F.dense_rank().over(nearest)).where(F.col("rank") <= k).distinct()
 
-    found = cut(best(_met(index, asked(want, tables, probes), k)))
+    found = cut(best(met(index, want, tables, probes)))
     fed = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     hungry = cut(want.join(fed.withColumnRenamed("query_id", "id"), "id", "left_anti"))
     if hungry.limit(1).count():
-        more = best(_met(index.where("tab = 0"), asked(hungry, 1, None), k))
+        more = best(met(index.where("tab = 0"), hungry, 1, None))
         found = best(found.drop("rank").union(more.drop("rank")))
     return found.select("query_id", "rank", "vec_id", "score")

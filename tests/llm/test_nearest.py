@@ -57,6 +57,30 @@ def test_copies_ties_and_parts(table):
     assert got == {i: [(j, pytest.approx(s, abs=1e-12)) for j, s in near] for i, near in want.items()}
 
 
+@pytest.mark.parametrize("times", [2, 30])
+def test_rows_repeated_more_often_than_k(table, times):
+    """Repeated rows don't use up the places of other ids with the same vector."""
+    rows = [(i, v.tolist()) for i, v in enumerate(clusters(40, 8, 6))] + [(1000 + i, [1.0] + [0.0] * 7) for i in range(30)]
+    got = found(table(rows * times, "vec_id long, embedding array<float>"), 20, tables=2, probes=16)
+    want = brute(rows, 20, lambda i: i % 5 == 0)
+    assert got == {i: [(j, pytest.approx(s, abs=1e-12)) for j, s in near] for i, near in want.items()}
+
+
+def test_queries_of_a_cell_are_dealt_into_parts(table, monkeypatch):
+    sizes = table([], "a long").sparkSession.sparkContext.accumulator(0)
+    rows = [(i, v.tolist()) for i, v in enumerate(clusters(400, 8, 7))]
+    ranked = nearest._ranked
+
+    def watched(vectors, queries, k):
+        sizes.add(int(len(queries) > 40))  # 10 on average, dealt by a hash
+        return ranked(vectors, queries, k)
+
+    monkeypatch.setattr(nearest, "_ranked", watched)
+    got = found(table(rows, "vec_id long, embedding array<float>"), 5, tables=1, probes=16, part=10)
+    assert sizes.value == 0
+    assert got == {i: [(j, pytest.approx(s, abs=1e-12)) for j, s in near] for i, near in brute(rows, 5, lambda i: i % 5 == 0).items()}
+
+
 def test_vectors_that_take_no_part(table):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (5, [0.5, 0.5]), (1, None), (2, []), (3, [0.0, -0.0]), (10, [nan, 1.0]), (4, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 0.0]), (7, [1.0, 0.0]), (15, [1.0, 2.0, 3.0]), (8, [-0.0, 1.0]), (9, [0.0, 1.0]), (None, [1.0, 1.0])]
