@@ -56,7 +56,7 @@ def plain(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return found
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+        if all(len(low := part.lstrip("0")) <= 3 and int(low or "0") <= 255 for part in match[0].split(".")):
             found.append(("ip", *match.span()))
     for match in _CARD.finditer(text):
         digits = match[0].replace(" ", "").replace("-", "")
@@ -80,15 +80,15 @@ _AT = r"(?:\s*[\[({<]\s*(?:at|@|arroba)\s*[\])}>]\s*)"
 # A bare "at" is a sign only where a disguised dot follows its next word.
 _TOKENS = re.compile(
     rf"(?P<dot>(?<=[A-Za-z0-9]){_DOT}(?=[A-Za-z0-9]))"
-    rf"|(?P<at>(?<={_NAMED}){_AT}(?=[A-Za-z0-9])|(?<={_NAMED})\s+at\s+(?=[A-Za-z0-9-]+{_DOT}))"
-    rf"|(?P<plus>\bplus[ -](?=(?:{_SPELLED}|[0-9])\b))"
+    rf"|(?P<at>(?<={_NAMED}){_AT}(?=[A-Za-z0-9])|(?<={_NAMED})\s+at\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*{_DOT}))"
+    rf"|(?P<plus>\bplus[ -](?=(?:{_SPELLED})\b|[0-9]))"
     rf"|(?P<digits>\b(?:{_SPELLED})(?:[ -](?:{_SPELLED}))+\b)"
-    rf"|(?P<digit>(?<=[0-9][ .-])(?:{_SPELLED})\b|\b(?:{_SPELLED})(?=[ .-][0-9]))",
+    rf"|(?P<digit>\b(?:{_SPELLED})\b)",
     re.IGNORECASE,
 )
 _DIGIT_WORD = re.compile(_SPELLED, re.IGNORECASE)
-_HINT = re.compile(r"dot\b|[\[({<]\s*(?:at|@|arroba|dot|punkt|punto|point)\s*[\])}>]", re.IGNORECASE)
-_PAIR = re.compile(rf"\b(?:{_SPELLED})[ -](?:{_SPELLED}|[0-9])", re.IGNORECASE)
+_HINT = re.compile(r"dot\b|\bplus[ -][0-9]|[\[({<]\s*(?:at|@|arroba|dot|punkt|punto|point)\s*[\])}>]", re.IGNORECASE)
+_PAIR = re.compile(rf"\b(?:{_SPELLED})[ .-](?:{_SPELLED}|[0-9])|[0-9][ .-](?:{_SPELLED})\b", re.IGNORECASE)
 
 
 def _folded(text: str) -> str:
@@ -108,6 +108,29 @@ def _folded(text: str) -> str:
     return text.translate(change) if change else text
 
 
+def _beside_digits(folded: str, tokens: list[re.Match]) -> list[bool]:
+    """Which tokens are rewritten: all but single spelled digits with no digit, written
+    or spelled, beside them after a sign or a disguised dot."""
+
+    def char(place: int, step: int) -> str:
+        return folded[place : place + 1] if step > 0 else folded[max(0, place - 1) : place]
+
+    def digit(nth: int, step: int) -> bool:
+        """Whether a digit follows (step 1) or precedes (step -1) the token."""
+        near, far = (re.Match.start, re.Match.end)[::step]
+        place, nth = far(tokens[nth]), nth + step
+        if 0 <= nth < len(tokens) and near(tokens[nth]) == place and tokens[nth].lastgroup == "dot":
+            place, nth = far(tokens[nth]), nth + step
+        elif char(place, step) in (" ", ".", "-"):
+            place += step
+        else:
+            return False
+        spelled = 0 <= nth < len(tokens) and near(tokens[nth]) == place and tokens[nth].lastgroup in ("digits", "digit")
+        return spelled or bool(_DIGIT.match(char(place, step)))
+
+    return [token.lastgroup != "digit" or digit(nth, -1) or digit(nth, 1) for nth, token in enumerate(tokens)]
+
+
 def rewritten(text: str) -> tuple[str, list[int], list[int]] | None:
     """The text without disguises, and the source span of each of its characters;
     nothing if there is no disguise."""
@@ -116,13 +139,17 @@ def rewritten(text: str) -> tuple[str, list[int], list[int]] | None:
     if folded == text and not spelled:
         return None
     out, starts, ends, at = [], [], [], 0
+    tokens = list(_TOKENS.finditer(folded)) if spelled else []
+    chosen = _beside_digits(folded, tokens)
 
     def copy(upto: int) -> None:
         out.append(folded[at:upto])
         starts.extend(range(at, upto))
         ends.extend(range(at + 1, upto + 1))
 
-    for token in _TOKENS.finditer(folded) if spelled else ():
+    for token, change in zip(tokens, chosen, strict=True):
+        if not change:
+            continue
         copy(token.start())
         if token.lastgroup in ("digits", "digit"):
             for word in _DIGIT_WORD.finditer(folded, *token.span()):

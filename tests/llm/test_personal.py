@@ -58,6 +58,31 @@ def test_disguises_map_back_to_the_source(text, want):
     assert want[1] not in personal.redact(text)
 
 
+WHOLE = [
+    ("host 192 dot 168 dot one dot one up", ("ip", "192 dot 168 dot one dot one")),
+    ("host 10 dot zero dot zero dot one up", ("ip", "10 dot zero dot zero dot one")),
+    ("host one zero dot zero dot zero dot one up", ("ip", "one zero dot zero dot zero dot one")),
+    ("host one dot one dot one dot 1 up", ("ip", "one dot one dot one dot 1")),
+    ("host one dot one dot one dot one up", ("ip", "one dot one dot one dot one")),
+    ("host 192.168.one.one up", ("ip", "192.168.one.one")),
+    ("call plus 49 170 1234567 now", ("phone", "plus 49 170 1234567")),
+    ("call plus 1 555 123 4567 now", ("phone", "plus 1 555 123 4567")),
+    ("write bob at mail.example dot com now", ("email", "bob at mail.example dot com")),
+]
+
+
+@pytest.mark.parametrize(("text", "want"), WHOLE)
+def test_disguises_beside_disguises(text, want):
+    found = personal.disguised(text, personal.plain(text))
+    assert [(k, text[a:b]) for k, a, b in found] == [want]
+    assert want[1] not in personal.redact(text)
+
+
+def test_endless_zeros_are_an_address_part():
+    text = f"{'0' * 5000}1.2.3.{'0' * 5000}"
+    assert ("ip", 0, len(text)) in personal.plain(text)
+
+
 @pytest.mark.parametrize(
     "text",
     ["we met at home. dot the i", "look at example.org today", "the one two punch", "one at a time", "Привет, мир", "zwei at drei", "at dot com", "a dot b", "naïve café", "three four five"],
