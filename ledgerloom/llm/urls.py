@@ -8,7 +8,9 @@ alike. A template is rejected if its share of blocked urls, smoothed towards tha
 host and that towards all hosts, is over a limit.
 
 The tree is built by one grouped sum a level over distinct paths, so a hot host or a hot
-url is combined before the shuffle. Segments past ``DEPTH`` are one wildcard ``**``.
+url is combined before the shuffle. It goes as deep as paths share a node: past ``DEPTH``,
+paths that have ended or are alone in their node, whose branches would all be merged,
+are set aside.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, which
 only the templates judge; repeated rows get one verdict each; with no label at all
@@ -58,14 +60,29 @@ def _shaped(segment: Column) -> Column:
     return F.when(variable, F.concat(F.lit("*"), F.substr(segment, F.length(stem) + 1))).otherwise(segment)
 
 
+def _merged(part: Column) -> Column:
+    """The branch that a shaped segment is merged into. An extension tells templates apart
+    even there."""
+    return F.when(part.startswith("*"), part).otherwise(F.lit("*"))
+
+
 def templates(paths: DataFrame) -> DataFrame:
     """Of rows (host, path, labelled, blocked), one for each host and path: host, path,
     template."""
     parts = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = paths.withColumn("parts", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(parts))
     rows = cut(rows.withColumn("template", F.lit("")))
-    depth = min(rows.agg(F.max(F.size("parts"))).first()[0] or 0, DEPTH)
+    depth, aside = rows.agg(F.max(F.size("parts"))).first()[0] or 0, []
     for level in range(depth):
+        if level >= DEPTH:
+            alone = rows.groupBy("host", "template").agg((F.count("*") == 1).alias("alone"))
+            rows = cut(rows.join(alone, ["host", "template"]).withColumn("alone", F.col("alone") | (F.size("parts") <= level)))
+            rest = F.slice("parts", level + 1, F.greatest(F.size("parts") - level, F.lit(0)))
+            rest = F.array_join(F.transform(rest, lambda x: F.concat(F.lit("/"), _merged(_shaped(x)))), "")
+            aside.append(rows.where("alone").drop("alone").withColumn("template", F.concat("template", rest)))
+            rows = rows.where("not alone").drop("alone")
+            if rows.isEmpty():
+                break
         part = F.get("parts", F.lit(level))
         rows = rows.withColumn("part", F.when(part.isNotNull(), _shaped(part)))
         node = ["host", "template"]
@@ -77,13 +94,13 @@ def templates(paths: DataFrame) -> DataFrame:
         far = F.pow(F.col("bad") - F.col("seen") * share, 2) / (F.greatest("seen", F.lit(1)) * share * (1 - share))
         stays = children.join(pooled, node).where(far > DIFFERS).select(*node, "part", F.lit(True).alias("stays"))
         joined = rows.join(stays, [*node, "part"], "left")
-        # An extension tells templates apart even where their branches are merged.
-        wild = F.when(F.col("part").startswith("*"), F.col("part")).otherwise(F.lit("*"))
+        wild = _merged(F.col("part"))
         step = F.concat(F.col("template"), F.lit("/"), F.when(F.col("stays"), F.col("part")).otherwise(wild))
         rows = joined.withColumn("template", F.when(F.col("part").isNull(), F.col("template")).otherwise(step))
         rows = cut(rows.drop("part", "stays"))
-    more = F.when(F.size("parts") > DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return rows.withColumn("template", more).drop("parts")
+    for some in aside:
+        rows = rows.unionByName(some)
+    return rows.drop("parts")
 
 
 def judge(

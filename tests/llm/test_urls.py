@@ -55,3 +55,15 @@ def test_like_branches_merge(table):
 
 def test_empty_table(table):
     assert urls.judge(table([], "page_id long, url string"), URL_RULES).count() == 0
+
+
+def test_paths_that_part_deep_down(table):
+    """Good and bad pages of a host part at segment 10; one path is much longer."""
+    start = "https://deep.example/" + "/".join("abcdefghi")
+    rows = [(i, f"{start}/{'bad' if i % 2 else 'good'}/{'xyz'[i % 3]}{i}", i % 2) for i in range(80)]
+    rows.append((1000, f"{start}/good/" + "/".join(["q"] * 60) + "/a.html", 0))
+    pages = table(rows, "page_id long, url string, spam int")
+    found = {r.page_id: r for r in urls.judge(pages, [], labels=urls.F.col("spam")).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i].verdict == ("block" if bad else "allow") for i, _, bad in rows)
+    assert found[1000].template.endswith("/good/" + "/".join(["*"] * 61))
