@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common, contamination, language, mixing, near_duplicates, nearest, personal, repeats, token_records, urls, warc
+from ledgerloom.llm import (
+    common, contamination, exact_copies, language, mixing, near_duplicates, nearest, personal, repeats, token_records, urls, warc,
+)
 
 BYTE_BPE = "byte_bpe_50k.json"
 URL_RULES = [
@@ -88,10 +90,15 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies.report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_mixing, op3_token_records, op4_decontamination, op5_url_templates,
         op6_repeated_strings, op7_language_id, op8_warc, op9_personal_data, op10_nearest,
+        op11_exact_copies,
     )
     return {f.__name__: f for f in found}
 

@@ -1,0 +1,78 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from ledgerloom.llm import exact_copies
+
+
+def plain(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def brute(rows):
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault(plain(text), []).append(doc)
+    out = []
+    for text, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i or 0))
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out += [(i, ids[0], len(ids), nth == 0, sha) for nth, i in enumerate(ids)]
+    return sorted(out, key=repr)
+
+
+@pytest.fixture(scope="module")
+def corpus(prose, long_text):
+    draw = random.Random(3)
+    head = prose(40, 7)
+    rows = [(i, prose(draw.randint(1, 60), i % 150)) for i in range(300)]
+    rows += [(1000 + i, f"{head} {i % 40}") for i in range(200)]  # one beginning, forty texts
+    rows += [(2000 + draw.randrange(10**6), "the same text") for _ in range(600)]
+    rows += [(5, rows[5][1]), (5, rows[5][1]), (None, rows[7][1]), (None, "the same  text"), (None, "the same text")]
+    rows += [(9001, None), (9002, ""), (9003, " \t"), (9004, "\x0b"), (9005, "a b"), (9006, "a b"), (9007, "a\r\nb"), (9008, "中文 x"), (9009, "中文\tx")]
+    rows += [(9100, long_text), (9101, long_text.replace(" ", "\n", 3)), (9102, long_text + "."), (9103, "-"), (9104, "\U0001f600")]
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("parts", ["1", "4", "37"])
+def test_report_equals_brute_force(spark, docs, corpus, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = exact_copies.report(docs(corpus)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((tuple(r) for r in found), key=repr) == brute(corpus)
+
+
+def test_runs_over_many_ranges_are_one_group(spark, docs):
+    """More ranges than texts: most ranges hold nothing but copies of one text."""
+    rows = [(i, "copy of all") for i in range(500)] + [(600, "zz"), (601, "aa")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        found = exact_copies.report(docs(rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((tuple(r) for r in found), key=repr) == brute(rows)
+
+
+def test_one_row_of_each_group_stays_with_its_columns(docs, corpus):
+    frame = docs(corpus)
+    kept = exact_copies.keep_one(frame)
+    assert kept.columns == frame.columns
+    rows = kept.collect()
+    want = [(i, sha) for i, _, _, stays, sha in brute(corpus) if stays]
+    got = [(r.doc_id, hashlib.sha256(plain(r.text).encode()).hexdigest()) for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert all(r.node == "x" for r in rows)
+
+
+def test_empty_and_null_tables(docs):
+    assert exact_copies.report(docs([])).collect() == []
+    assert exact_copies.keep_one(docs([])).collect() == []
+    found = exact_copies.report(docs([(None, None), (None, None)])).collect()
+    assert sorted((r.keep_id, r.group_size, r.kept) for r in found) == [(None, 2, False), (None, 2, True)]
