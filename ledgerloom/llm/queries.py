@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    common, contamination, exact_copies, language, mixing, near_duplicates, nearest, personal, repeats, token_records, urls, warc,
+    common, contamination, exact_copies, hard_negatives, language, mixing, near_duplicates, nearest, personal, repeats, spelling,
+    token_records, urls, warc,
 )
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -94,11 +95,20 @@ def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.report(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_mixing, op3_token_records, op4_decontamination, op5_url_templates,
         op6_repeated_strings, op7_language_id, op8_warc, op9_personal_data, op10_nearest,
-        op11_exact_copies,
+        op11_exact_copies, op12_spelling_variants, op13_hard_negatives,
     )
     return {f.__name__: f for f in found}
 
