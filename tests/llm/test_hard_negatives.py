@@ -29,8 +29,9 @@ def brute(rows, every=5, positives=5, negatives=3):
 
 
 def mined(table, rows, every=5):
-    frame = table(rows, "vec_id long, label int, embedding array<float>")
-    return sorted(tuple(r) for r in hard_negatives.mine(frame, F.col("id") % every == 0, F.col("label")).collect())
+    rows = [(i, kind, vec and [x if x is None else float(x) for x in vec]) for i, kind, vec in rows]
+    frame = table(rows, "vec_id long, kind int, embedding array<float>")
+    return sorted(tuple(r) for r in hard_negatives.mine(frame, F.col("id") % every == 0, F.col("kind")).collect())
 
 
 def vectors(count, size, seed, labels=4, scale=1.0):

@@ -62,6 +62,7 @@ def corpus(prose, long_text):
     rows += [(200 + i, prose(300, i % 5)) for i in range(20)]
     rows += [(300, None), (301, ""), (302, "123 ?"), (303, long_text), (303, long_text), (None, long_text), (None, "LIBERTY liberty LiBerty")]
     rows += [(400 + i, "a" * 5000 + "b" * (i % 2)) for i in range(8)]
+    rows += [(500 + i, " ".join(["wander"] * 20 + ["wandern"] * 8 + ["wandernd"] * 3)) for i in range(4)]
     return rows
 
 
