@@ -1,29 +1,189 @@
-"""Stored datasets: by catalog name or by path, in any installed format."""
+"""Stored datasets: by catalog name or by path, in any installed format.
+
+An overwrite never touches what is stored. It writes a version folder of its own; when that
+is whole, a small pointer file with the next number is put beside the older ones, and
+readers go by the pointer with the largest number. So a job that fails leaves the old
+rows, a dataset may be overwritten from itself, and readers that have resolved a pointer
+go on with their version, as the last ``KEPT`` ones stay. Two writers that start from
+the same version get the same number: the second one fails.
+
+A catalog table is an external table whose location is the version folder; an overwrite
+moves the location. Formats that keep versions of their own (``delta`` and the like) are
+left to them.
+
+    <target>/_versions/00000007-<id>/part-...   the rows
+    <target>/_current/00000007                  which folder, its format, what it was made of
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources.files import Exists, Store, decoded, literal
+
+KEPT = 2
+OWN_VERSIONS = ("delta", "iceberg", "hudi")
+
+
+class Conflict(RuntimeError):
+    """Someone else overwrote the dataset meanwhile."""
+
+
+class Version(NamedTuple):
+    number: int
+    path: str
+    fmt: str
+    mark: str | None  # what the writer says the rows were made of
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
 
 
-def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(target) if _is_path(target) else spark.read.table(target)
+def _folder(spark: SparkSession, target: str) -> str:
+    """Where the versions of a dataset lie."""
+    if _is_path(target):
+        return target.rstrip("/")
+    *database, table = target.split(".")
+    place = spark.catalog.getDatabase(database[0] if database else spark.catalog.currentDatabase())
+    return f"{decoded(place.locationUri).rstrip('/')}/{table}.stored"
+
+
+def versions(spark: SparkSession, target: str) -> list[Version]:
+    """The versions at hand, the current one last."""
+    folder = _folder(spark, target)
+    files, found = Store(spark, folder), []
+    for name in files.names(f"{folder}/_current"):
+        if name.isdigit():
+            told = json.loads(files.text(f"{folder}/_current/{name}"))
+            found.append(Version(int(name), f"{folder}/_versions/{told['folder']}", told["format"], told.get("mark")))
+    return sorted(found)
+
+
+def current(spark: SparkSession, target: str) -> Version | None:
+    found = versions(spark, target)
+    return found[-1] if found else None
+
+
+def read_table(spark: SparkSession, target: str, fmt: str = "parquet", number: int | None = None) -> DataFrame:
+    """The current rows, or those of an older version. ``fmt`` is for paths that were not
+    written by :func:`store`, which remembers the format."""
+    if number is not None:
+        return _load(spark, next(v for v in versions(spark, target) if v.number == number))
+    if not _is_path(target):
+        _finish_move(spark, target)
+        return spark.read.table(target)
+    if fmt not in OWN_VERSIONS and (version := current(spark, target)):
+        return _load(spark, version)
+    return spark.read.format(fmt).load(target)
+
 
+def _load(spark: SparkSession, version: Version) -> DataFrame:
+    return spark.read.format(version.fmt).load(literal(version.path))
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+
+def store(df: DataFrame, target: str, fmt: str = "parquet", mark: str | None = None, kept: int = KEPT) -> DataFrame:
+    """Replace what is stored at a path, or under a name, and return the frame that reads it
+    back. ``mark`` is kept with the version; ``kept`` versions stay."""
+    spark = df.sparkSession
+    if fmt in OWN_VERSIONS or target.count(".") > 1 and not _is_path(target):
+        return _left_to_format(df, target, fmt)
+    version = _written(df, _folder(spark, target), fmt, mark, kept)
+    if _is_path(target):
+        return _load(spark, version)
+    _point(df, target, version)
+    return spark.read.table(target)
+
+
+def write_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     """Store as a catalog table, replacing what is there."""
-    df.write.format(fmt).mode(mode).saveAsTable(name)
+    store(df, name, fmt)
+
+
+def write_path(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Store as files under a path, replacing what is there."""
+    store(df, path, fmt)
+
+
+def _left_to_format(df: DataFrame, target: str, fmt: str) -> DataFrame:
+    if _is_path(target):
+        df.write.format(fmt).mode("overwrite").save(target)
+        return df.sparkSession.read.format(fmt).load(target)
+    df.writeTo(target).using(fmt).createOrReplace()
+    return df.sparkSession.read.table(target)
+
+
+def _written(df: DataFrame, folder: str, fmt: str, mark: str | None, kept: int) -> Version:
+    spark = df.sparkSession
+    files, before = Store(spark, folder), versions(spark, folder)
+    number = before[-1].number + 1 if before else 1
+    name = f"{number:08d}-{uuid.uuid4().hex}"
+    version = Version(number, f"{folder}/_versions/{name}", fmt, mark)
+    try:
+        df.write.format(fmt).save(version.path)
+        files.put_new(f"{folder}/_current/{number:08d}", json.dumps({"folder": name, "format": fmt, "mark": mark}))
+    except Exists as error:
+        files.remove(version.path)
+        raise Conflict(f"{folder} was overwritten meanwhile") from error
+    except BaseException:
+        files.remove(version.path)
+        raise
+    _prune(files, folder, [*before, version][-max(kept, 1) :])
+    return version
+
+
+def _prune(files: Store, folder: str, kept: list[Version]) -> None:
+    """Drop pointers and folders older than the ``kept`` ones, leavings of broken runs and
+    files from before there were versions."""
+    first, known = kept[0].number, {v.path.rsplit("/", 1)[1] for v in kept}
+    for name in files.names(f"{folder}/_current"):
+        if name.isdigit() and int(name) < first:
+            files.remove(f"{folder}/_current/{name}")
+    for name in files.names(f"{folder}/_versions"):
+        # A writer at work, even one that will find its number taken, has none below the current one.
+        if name not in known and int(name.split("-")[0]) < kept[-1].number:
+            files.remove(f"{folder}/_versions/{name}")
+    for name in files.names(folder):
+        if name not in ("_current", "_versions"):
+            files.remove(f"{folder}/{name}")
+
+
+def _next(name: str) -> str:
+    return f"{name}__next"
+
+
+def _point(df: DataFrame, name: str, version: Version) -> None:
+    """Let the catalog table read a version. Where its columns or its format change, a new
+    table takes its place; if that is broken off between the two steps, the next reader or
+    writer finishes it."""
+    spark = df.sparkSession
+    _finish_move(spark, name)
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=version.path, source=version.fmt, schema=df.schema)
+        return
+    if _layout(spark.read.table(name)) == _layout(df) and _provider(spark, name) == version.fmt:
+        place = version.path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {_next(name)}")
+    spark.catalog.createTable(_next(name), path=version.path, source=version.fmt, schema=df.schema)
+    spark.sql(f"DROP TABLE {name}")
+    _finish_move(spark, name)
+
+
+def _finish_move(spark: SparkSession, name: str) -> None:
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(_next(name)):
+        spark.sql(f"ALTER TABLE {_next(name)} RENAME TO {name}")
 
 
-def write_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Store as a directory of files, replacing what is there."""
-    df.write.format(fmt).mode(mode).save(path)
+def _layout(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def store(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
-    """Write by path or by name and return the frame that reads it back."""
-    (write_path if _is_path(target) else write_table)(df, target, fmt, mode)
-    return read_table(df.sparkSession, target, fmt)
+def _provider(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next((r.data_type.lower() for r in rows if r.col_name == "Provider"), "")
