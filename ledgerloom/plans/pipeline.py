@@ -2,11 +2,19 @@
 
 Every dataset is stored once and read back by those after it. A dataset is a
 function from the stored inputs to a frame; the functions run no jobs.
+
+Each stored version carries a mark: a digest of what its rows depend on, that is, the marks
+of its inputs and the options it uses. A run keeps what has the right mark already, so a
+run that was broken off goes on where it stopped, and a changed source or option builds
+anew only what depends on it. Datasets that don't wait for each other are built at once.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Collection, Mapping
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from functools import partial
 
@@ -16,8 +24,11 @@ from pyspark.sql import functions as F
 from ledgerloom.model import ENTITIES, RELATIONS, Entity
 from ledgerloom.operators import integrity, skew
 from ledgerloom.plans import bronze, master, risk, silver, star
-from ledgerloom.sources.raw import absent_columns, read_raw
-from ledgerloom.sources.tables import store
+from ledgerloom.sources.raw import absent_columns, read_raw, source_mark
+from ledgerloom.sources.tables import current, read_table, store
+
+#: Part of every mark: changed whenever the same inputs and options give other rows.
+RULES = 3
 
 Tables = Mapping[str, DataFrame]
 Lacking = Mapping[str, Collection[str]]
@@ -27,6 +38,7 @@ Lacking = Mapping[str, Collection[str]]
 class Dataset:
     inputs: tuple[str, ...]
     build: Callable[[Tables], DataFrame]
+    uses: tuple[str, ...] = ()  # the options its rows depend on, apart from those of its inputs
 
 
 @dataclass(frozen=True)
@@ -94,9 +106,9 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
     o, lacking = options, lacking or {}
     found: dict[str, Dataset] = {}
     for name, entity in ENTITIES.items():
-        found[f"bronze_{name}"] = Dataset((f"source_{name}",), partial(_bronze, entity, o))
+        found[f"bronze_{name}"] = Dataset((f"source_{name}",), partial(_bronze, entity, o), ("inject", "seed"))
     for name, entity in ENTITIES.items():
-        found[f"silver_{name}"] = Dataset((f"bronze_{name}",), partial(_silver, entity, o, lacking))
+        found[f"silver_{name}"] = Dataset((f"bronze_{name}",), partial(_silver, entity, o, lacking), ("require_fk", "exact"))
     silvers = tuple(f"silver_{name}" for name in ENTITIES)
     found["ri_report"] = Dataset(silvers, partial(_report, "silver", lacking))
 
@@ -110,12 +122,12 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
         parents = [p for child, _, p in RELATIONS if child == name]
         inputs = [f"{'kept' if ENTITIES[p].foreign_keys else 'silver'}_{p}" for p in parents]
         inputs += [f"hot_{name}_{fk}" for fk in ENTITIES[name].foreign_keys if o.split_hot_keys]
-        found[f"kept_{name}"] = Dataset((f"silver_{name}", *inputs), partial(_kept, ENTITIES[name], o, lacking))
+        found[f"kept_{name}"] = Dataset((f"silver_{name}", *inputs), partial(_kept, ENTITIES[name], o, lacking), ("enforce",))
     gold = tuple(f"{'kept' if e.foreign_keys else 'silver'}_{name}" for name, e in ENTITIES.items())
     found["ri_report_after"] = Dataset(gold, partial(_report, "kept", lacking))
 
     def on(source: str, plan, **extra) -> Dataset:
-        return Dataset((source,), lambda t: plan(t[source], **extra))
+        return Dataset((source,), lambda t: plan(t[source], **extra), tuple(extra))
 
     found["dim_customers"] = on("silver_customers", star.dim_customers)
     found["dim_branches"] = on("silver_branches", star.dim_branches)
@@ -135,7 +147,7 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
     ):
         found[plan.__name__] = on(fact, plan, scale=o.scale)
     found["kpi_account_type"] = Dataset(
-        (fact, "dim_accounts"), lambda t: star.kpi_account_type(t[fact], t["dim_accounts"], o.scale)
+        (fact, "dim_accounts"), lambda t: star.kpi_account_type(t[fact], t["dim_accounts"], o.scale), ("scale",)
     )
     found["kpi_high_value_txn"] = on(fact, star.kpi_high_value_txn, exact=o.exact)
 
@@ -146,14 +158,14 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
         "master_transaction_summary": master.transaction_summary,
         "monthly_trends": master.monthly_trends,
     }.items():
-        found[name] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain, o.scale))
+        found[name] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain, o.scale), ("grain", "scale"))
     for plan in (
         master.master_fact,
         master.customer_segmentation,
         master.top_customers,
         master.high_risk_customers,
     ):
-        found[plan.__name__] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain))
+        found[plan.__name__] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain), ("grain",))
     # As large as its rows: every combination of a customer's transactions and loans.
     found["master_table"] = Dataset(gold, lambda t: master.master_table(_gold_tables(t)))
     return found
@@ -165,25 +177,72 @@ def read_sources(spark: SparkSession, path: str, globs: Mapping[str, str] | None
 
 
 def run(
-    sources: Tables, target: str, options: Options = Options(), fmt: str = "parquet", only: set[str] | None = None
+    sources: Tables,
+    target: str,
+    options: Options = Options(),
+    fmt: str = "parquet",
+    only: set[str] | None = None,
+    resume: bool = True,
+    at_once: int = 4,
 ) -> dict[str, DataFrame]:
     """Build and store the datasets, or those in ``only`` and what they need.
 
     ``sources`` holds ``source_<entity>`` frames. ``target`` is a folder, or a
     database name to store catalog tables. Returns the stored frames. A foreign
     key that no file of a source has does not drop its rows.
+
+    With ``resume``, datasets that are stored with the right mark are kept. The mark of a source read by
+    :func:`read_sources` is that of its files; any other source is read through once for it.
+    Up to ``at_once`` datasets are built at the same time. If one fails, those at work are finished, and
+    the error is raised.
     """
-    lacking = {name: absent_columns(sources[f"source_{name}"]) for name in ENTITIES if f"source_{name}" in sources}
+    given = {name: f for name, f in sources.items() if name.startswith("source_")}
+    lacking = {name: absent_columns(given[f"source_{name}"]) for name in ENTITIES if f"source_{name}" in given}
     plan = datasets(options, lacking)
     wanted = _closure(plan, only or set(plan))
-    tables = dict(sources)
+    roots = {i for name in wanted for i in plan[name].inputs if i not in plan}
+    marks = {name: source_mark(sources[name]) for name in roots} if resume else {}
     for name, dataset in plan.items():
-        if name in wanted:
-            place = f"{target.rstrip('/')}/{name}" if "/" in target else f"{target}.{name}"
-            tables[name] = store(dataset.build(tables), place, fmt)
+        if resume and name in wanted:
+            marks[name] = _mark(name, dataset, options, lacking, fmt, marks)
+
+    def made(name: str, inputs: Tables) -> DataFrame:
+        place = f"{target.rstrip('/')}/{name}" if "/" in target else f"{target}.{name}"
+        spark = next(iter(inputs.values())).sparkSession
+        if resume and (held := current(spark, place)) and held.mark == marks[name]:
+            return read_table(spark, place, fmt)
+        return store(plan[name].build(inputs), place, fmt, marks.get(name))
+
+    tables = dict(sources)
+    waiting = [name for name in plan if name in wanted]
+    with ThreadPoolExecutor(at_once) as pool:
+        working: dict = {}
+        while waiting or working:
+            for name in [n for n in waiting if all(i in tables for i in plan[n].inputs)]:
+                waiting.remove(name)
+                working[pool.submit(made, name, dict(tables))] = name
+            if not working:
+                raise KeyError(f"no source for {waiting[0]}")
+            for done in wait(working, return_when=FIRST_COMPLETED).done:
+                name = working.pop(done)
+                if done.exception():
+                    pool.shutdown(cancel_futures=True)
+                tables[name] = done.result()
     return {name: tables[name] for name in wanted}
 
 
+def _mark(name: str, dataset: Dataset, options: Options, lacking: Lacking, fmt: str, marks: Mapping[str, str]) -> str:
+    told = {
+        "rules": RULES,
+        "dataset": name,
+        "format": fmt,
+        "options": {o: getattr(options, o) for o in dataset.uses},
+        "lacking": sorted((e, sorted(c)) for e, c in lacking.items() if c),
+        "inputs": [marks[i] for i in dataset.inputs],
+    }
+    return hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()
+
+
 def _closure(plan: Mapping[str, Dataset], names: set[str]) -> set[str]:
     needed: set[str] = set()
     waiting = [n for n in names]

@@ -8,7 +8,7 @@ from ledgerloom.operators.dedup import latest_by
 from ledgerloom.operators.quantile import quantile
 from ledgerloom.plans import master, pipeline, star
 from ledgerloom.sources.raw import read_raw
-from ledgerloom.sources.tables import read_table, store, write_table
+from ledgerloom.sources.tables import current, read_table, store, write_table
 
 FILES = {
     "Bank_Customer_1.csv": "customer_id,first_name,last_name,email,phone,city\nc1,ann,lee,a@x,555-0001,york\nc2,,poe,,,\n",
@@ -79,6 +79,63 @@ def test_run_only_what_is_asked(spark, folder, tmp_path):
     assert set(got) == {"bronze_customers", "silver_customers", "dim_customers"}
 
 
+@pytest.fixture(params=["folder", "database"])
+def place(request, spark, tmp_path):
+    if request.param == "folder":
+        yield f"{tmp_path}/lake"
+        return
+    spark.sql(f"CREATE DATABASE lake LOCATION '{tmp_path}/lake'")
+    yield "lake"
+    spark.sql("DROP DATABASE lake CASCADE")
+
+
+def numbers(spark, place, names):
+    """The version at hand of each dataset."""
+    found = {n: current(spark, f"{place}/{n}" if "/" in place else f"{place}.{n}") for n in names}
+    return {n: v.number for n, v in found.items() if v}
+
+
+WANTED = {"kpi_total_business", "dim_branches", "master_loan_analysis"}
+
+
+def test_a_broken_run_goes_on_where_it_stopped(spark, folder, place, rows, monkeypatch):
+    options = pipeline.Options(exact=True, scale=2)
+    with monkeypatch.context() as patch:
+        patch.setattr(star, "fact_transactions", lambda *_: spark.range(3).selectExpr("raise_error('lost') AS x"))
+        with pytest.raises(Exception, match="lost"):
+            pipeline.run(pipeline.read_sources(spark, folder), place, options, only=WANTED)
+    names = set(pipeline.datasets(options))
+    before = numbers(spark, place, names)
+    assert "silver_accounts" in before and "fact_transactions" not in before
+    got = pipeline.run(pipeline.read_sources(spark, folder), place, options, only=WANTED)
+    assert rows(got["kpi_total_business"]) == [(3, 60.0, 20.0)]
+    after = numbers(spark, place, names)
+    assert before.items() <= after.items() and set(after.values()) == {1}
+
+
+def test_only_what_depends_on_a_change_is_built_anew(spark, tmp_path, rows):
+    for name, content in FILES.items():
+        (tmp_path / name).write_text(content)
+    place, options = f"{tmp_path}/lake", pipeline.Options(exact=True, scale=2)
+
+    def run(options):
+        got = pipeline.run(pipeline.read_sources(spark, str(tmp_path)), place, options, only=WANTED)
+        return got, numbers(spark, place, got)
+
+    _, first = run(options)
+    assert run(options)[1] == first
+    (tmp_path / "Bank_Loan_1.csv").write_text(FILES["Bank_Loan_1.csv"] + "l2,c1,b1,7000\n")
+    got, second = run(options)
+    assert rows(got["master_loan_analysis"]) == [(None, 2, 6000.0)]
+    changed = {n for n in first if second[n] != first[n]}
+    assert {"bronze_loans", "kept_loans"} <= changed and not changed & {"fact_transactions", "kpi_total_business", "silver_accounts"}
+    _, third = run(pipeline.Options(exact=True, scale=3))
+    assert {n for n in third if third[n] != second[n]} == {"kpi_total_business", "master_loan_analysis"}
+    run(pipeline.Options(exact=False, scale=3))
+    plain = pipeline.run(pipeline.read_sources(spark, str(tmp_path)), place, options, only=WANTED, resume=False)
+    assert min(numbers(spark, place, plain).values()) > min(third.values())
+
+
 def test_injected_dirt_survives_the_pipeline(spark, folder, tmp_path):
     options = pipeline.Options(inject=True, seed=4, enforce=False, require_fk=False)
     got = pipeline.run(pipeline.read_sources(spark, folder), f"{tmp_path}/lake", options, only={"kpi_total_business"})

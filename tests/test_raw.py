@@ -2,7 +2,7 @@ import pytest
 
 from ledgerloom.model import ACCOUNTS, BRANCHES, LOANS
 from ledgerloom.plans import pipeline
-from ledgerloom.sources.raw import absent_columns, conform, read_raw
+from ledgerloom.sources.raw import absent_columns, conform, read_raw, source_mark, unknown_columns
 
 
 @pytest.fixture()
@@ -46,6 +46,61 @@ def test_two_columns_of_one_name_are_an_error(spark):
         conform(spark.createDataFrame([("1", "2")], "balance string, opening_balance string"), ACCOUNTS)
 
 
+ODD_NAMES = ["Bank_Branch 2024", "Bank_Branch[1]", "Bank_Branch%20x", "Bank_Branch{a,b}", "Bank_Branch#1?", "Bank_Branch-ä+é", "Bank_Branch\\d"]
+
+
+@pytest.mark.parametrize("folder", ["plain", "with a space", "in [1] %41 {x}"])
+def test_files_and_folders_of_any_name(spark, tmp_path, rows, folder):
+    (tmp_path / folder).mkdir()
+    for i, name in enumerate(ODD_NAMES):
+        header = "branch_id,state" if i % 2 else "STATE,BRANCH_ID"
+        (tmp_path / folder / f"{name}.csv").write_text(f"{header}\n" + (f"b{i},s{i}\n" if i % 2 else f"s{i},b{i}\n"))
+    # A folder is given as a pattern, like any path of a Spark reader; its files are not.
+    pattern = f"{tmp_path}/{folder.replace('[', '?').replace(']', '?').replace('{', '?').replace('}', '?')}"
+    got = read_raw(spark, BRANCHES, pattern)
+    assert rows(got, "branch_id", "branch_state") == [(f"b{i}", f"s{i}") for i in range(len(ODD_NAMES))]
+
+
+def test_headers_are_trimmed_and_quoted(spark, write, rows):
+    folder = write(
+        Bank_Branch_1=" branch_id ,\tBranch_Name, state \nb1,Elm,ohio\n",
+        Bank_Branch_2='\ufeff"branch_id","state","note, \'odd\'"\nb2,iowa,x\n',
+        Bank_Branch_3="\n  \nstate,branch_id\nutah,b3\n",
+        Bank_Branch_4="branch_id,,x,x\r\nb4,1,2,3\r\n",
+    )
+    with pytest.warns(UserWarning, match="note, 'odd'"):
+        got = read_raw(spark, BRANCHES, folder)
+    assert rows(got, "branch_id", "branch_name", "branch_state") == [
+        ("b1", "Elm", "ohio"), ("b2", None, "iowa"), ("b3", None, "utah"), ("b4", None, None)
+    ]
+    assert absent_columns(got) == {"city"} and unknown_columns(got) == {"note, 'odd'", "x"}
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_files(spark, tmp_path):
+    def jobs(count):
+        (tmp_path / str(count)).mkdir()
+        for i in range(count):
+            (tmp_path / str(count) / f"Bank_Branch_{i}.csv").write_text(f"branch_id,state,x{i % 3}\nb{i},s\n")
+        spark.sparkContext.setJobGroup(f"read-{count}", "headers")
+        with pytest.warns(UserWarning):
+            read_raw(spark, BRANCHES, f"{tmp_path}/{count}")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"read-{count}"))
+
+    few = jobs(3)
+    assert few <= 2 and jobs(60) == few
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_mark_of_a_source_follows_its_files_or_rows(spark, write):
+    folder = write(Bank_Branch_1="branch_id,state\nb1,ohio\n")
+    one = source_mark(read_raw(spark, BRANCHES, folder))
+    assert one == source_mark(read_raw(spark, BRANCHES, folder))
+    write(Bank_Branch_2="branch_id,state\nb2,ohio\n")
+    assert one != source_mark(read_raw(spark, BRANCHES, folder))
+    rows = spark.range(20).selectExpr("cast(id AS string) AS branch_id", "id % 3 AS n")
+    assert source_mark(rows) == source_mark(rows.repartition(4)) != source_mark(rows.where("id < 19"))
+
+
 FILES = {
     "Bank_Customer_1": "customer_id,first_name\nc1,ann\n",
     "Bank_Branch_1": "branch_id,branch_name,state\nb1,Elm,ohio\n",
