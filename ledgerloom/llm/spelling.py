@@ -3,17 +3,18 @@
 A word's letters fall into ``LEVELS`` groups, by the last five bits of their code points.
 One edit (a letter put in, left out or replaced) raises the count of at most one group by
 one and lowers that of at most one other by one. A trie arranges the words by the counts of
-one group after the other; a depth-first search for the neighbours of a word follows its own
-counts and may be once one above (the surplus) and once one below (the deficit). The words of
-the leaves it reaches are verified letter by letter.
+one group after the other. A depth-first search takes the asking words down the trie
+together: into a child go those whose own count is that of the child, and those that are one
+below it (the surplus) or one above it (the deficit) and have not spent that yet. Each node is
+visited once for all of them. The words of the leaves are verified letter by letter.
 
 The trie is cut for Spark at its top, where the groups are taken together into ``TOP``
 coarser ones whose counts obey the same budget. A word asks its own subtrie and those within
 the budget whose counts come later in order, so that each pair is met once. A subtrie of many
 words is cut into parts, and the words that ask it are dealt into turns, so that a task
-holds ``PART`` words at a time and reads the asking ones row by row. At the full depth a leaf
-can hold very many anagrams; there the edits of the word that lead to the leaf's counts are
-looked up instead of comparing all its words.
+holds ``PART`` words and ``TURN`` asking ones at a time. At the full depth a leaf can hold very
+many anagrams; there the edits of a word that lead to the leaf's counts are looked up
+instead of comparing all its words.
 
 Defined results: null texts have no words, a null id counts as empty text in the draw; equal
 rows count as often as they come. Words have no bound of length. An empty corpus gives no
@@ -25,7 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import batched, cut, rows_of
 
-LEVELS, TOP = 32, 6
-LEAF = 8
-PART, TURN = 4000, 20_000
+LEVELS, TOP = 32, 3
+WIDTH = 32  # words up to this length are compared many at a time
+LEAF, PAIRS = 8, 1024  # a node of so few words, or of so few pairs with asking words, is a leaf
+PART, TURN = 20_000, 20_000
 MOST_COUNTED = 200_000  # words a task counts before it hands them on
 PIECE = 1 << 20
 
@@ -94,11 +96,12 @@ def word_counts(
     return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vector(word: str) -> list[int]:
-    counts = [0] * LEVELS
-    for letter in word:
-        counts[ord(letter) % LEVELS] += 1
-    return counts
+def vectors(words: list[str]) -> np.ndarray:
+    """How many letters of each group every word has."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32) % LEVELS
+    places = np.repeat(np.arange(len(words)) * LEVELS, sizes) + letters
+    return np.bincount(places, minlength=len(words) * LEVELS).reshape(-1, LEVELS).astype(np.int32)
 
 
 def subtrie(word: str) -> tuple[int, ...]:
@@ -133,66 +136,101 @@ def one_apart(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
-class _Anagrams:
-    """A leaf at the full depth with many words: edits are looked up."""
+def spelled(words: list[str]) -> np.ndarray:
+    """The code points of each word up to ``WIDTH``, filled up with zeros."""
+    data = "".join(w[:WIDTH].ljust(WIDTH, "\0") for w in words).encode("utf-32-le")
+    return np.frombuffer(data, np.uint32).reshape(-1, WIDTH)
 
-    def __init__(self, words: Iterable[tuple[str, int]]):
-        self.words = dict(words)
-        self.letters: dict[int, set[str]] = defaultdict(set)
-        for word in self.words:
-            for letter in word:
-                self.letters[ord(letter) % LEVELS].add(letter)
-
-    def near(self, word: str, up: int, down: int) -> list[tuple[str, int]]:
-        """``up`` and ``down`` are the groups of which the leaf has one more and one less, -1 for none."""
-        found = set()
-        if up >= 0 and down < 0:
-            found = {word[:i] + x + word[i:] for i in range(len(word) + 1) for x in self.letters[up]}
-        else:
-            for i, own in enumerate(word):
-                group = ord(own) % LEVELS
-                if down in (-1, group):
-                    put = [""] if up < 0 <= down else self.letters[group if down < 0 else up]
-                    found.update(word[:i] + x + word[i + 1 :] for x in put if x != own)
-        return [(w, self.words[w]) for w in found if w in self.words]
+
+def all_one_apart(a: np.ndarray, b: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """:func:`one_apart` for the rows of two matrices of code points; ``more`` says how many
+    letters ``b`` has more than ``a``: -1, 0 or 1."""
+    differ = a != b
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH)
+    out = (more == 0) & (differ.sum(axis=1) == 1)
+    for sign, short, long in ((1, a, b), (-1, b, a)):
+        rows = np.flatnonzero(more == sign)
+        if len(rows):
+            # What follows the first difference agrees, moved by one.
+            moved = short[rows, :-1] != long[rows, 1:]
+            last = np.where(moved.any(axis=1), WIDTH - 2 - moved[:, ::-1].argmax(axis=1), -1)
+            out[rows] = last < first[rows]
+    return out
 
 
 class Trie:
-    def __init__(self, words: list[tuple[str, int]]):
-        vectors = np.array([vector(w) for w, _ in words])
-        # The groups that tell most come first.
-        self.order = [int(g) for g in np.argsort(-vectors.var(axis=0), kind="stable")]
-        self.root = self._grown(list(zip(words, vectors[:, self.order].tolist(), strict=True)), 0)
-
-    def _grown(self, items: list[tuple], level: int):
-        if len(items) <= LEAF:
-            return [word for word, _ in items]
-        if level == LEVELS:
-            return _Anagrams(word for word, _ in items)
-        children = defaultdict(list)
-        for item in items:
-            children[item[1][level]].append(item)
-        return {count: self._grown(own, level + 1) for count, own in children.items()}
-
-    def near(self, word: str) -> Iterator[tuple[str, int]]:
-        """The words one edit away, with what they were given with."""
-        counts = vector(word)
-        waiting = [(self.root, 0, -1, -1)]
+    """Words in order of their counts, the groups that tell most first: a node is a range of
+    rows that agree in the groups so far."""
+
+    def __init__(self, words: list[str]):
+        counts = vectors(words)
+        self.order = np.argsort(-counts.var(axis=0), kind="stable")
+        counts = counts[:, self.order]
+        rows = np.lexsort(counts.T[::-1])
+        self.words, self.counts = [words[i] for i in rows], counts[rows]
+        self.rows, self.odd, self.size = rows, _odd(self.counts), self.counts.sum(axis=1)
+        self.spelled = spelled(self.words)
+
+    def near(self, asking: list[str]) -> Iterator[tuple[int, int]]:
+        """(asking word, word) by their places: all pairs that are one edit apart."""
+        counts = vectors(asking)[:, self.order]
+        odd, size, letters = _odd(counts), counts.sum(axis=1), spelled(asking)
+        none = np.zeros(len(asking), bool)
+        waiting = [(0, len(self.words), 0, np.arange(len(asking)), none, none)]
         while waiting:
-            node, level, up, down = waiting.pop()
-            if isinstance(node, list):
-                yield from (own for own in node if one_apart(word, own[0]))
-            elif isinstance(node, _Anagrams):
-                yield from node.near(word, up, down)
+            low, high, level, who, up, down = waiting.pop()
+            if level == LEVELS and high - low > 4 * LEAF:
+                yield from self._anagrams(low, high, who, asking, counts)
+                continue
+            if level == LEVELS or high - low <= LEAF or (high - low) * len(who) <= PAIRS:
+                # The groups that are left are compared by whether their counts are odd, then in full.
+                close = np.bitwise_count(odd[who][:, None] ^ self.odd[low:high]) <= 2
+                close &= abs(size[who][:, None] - self.size[low:high]) <= 1
+                left, right = np.nonzero(close)
+                left, right = who[left], right + low
+                fits = np.abs(counts[left] - self.counts[right]).sum(axis=1) <= 2
+                left, right = left[fits], right[fits]
+                more = self.size[right] - size[left]
+                short = (self.size[right] <= WIDTH) & (size[left] <= WIDTH)
+                found = short.copy()
+                found[short] = all_one_apart(letters[left[short]], self.spelled[right[short]], more[short])
+                for at in np.flatnonzero(~short):
+                    found[at] = one_apart(asking[left[at]], self.words[right[at]])
+                yield from zip(left[found].tolist(), self.rows[right[found]].tolist(), strict=True)
+                continue
+            column, own = self.counts[low:high, level], counts[who, level]
+            starts = [0, *(np.flatnonzero(np.diff(column)) + 1).tolist(), high - low]
+            for start, end in zip(starts, starts[1:], strict=False):
+                more = column[start] - own
+                go = np.flatnonzero((more == 0) | ((more == 1) & ~up) | ((more == -1) & ~down))
+                if len(go):
+                    waiting.append((low + start, low + end, level + 1, who[go], up[go] | (more[go] == 1), down[go] | (more[go] == -1)))
+
+    def _anagrams(self, low: int, high: int, who: np.ndarray, asking: list[str], counts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """A leaf at the full depth with many words: edits are looked up."""
+        place = {self.words[j]: int(self.rows[j]) for j in range(low, high)}
+        letters: dict[int, set[str]] = defaultdict(set)
+        for word in place:
+            for letter in word:
+                letters[ord(letter) % LEVELS].add(letter)
+        for i in who.tolist():
+            word, more = asking[i], self.counts[low] - counts[i]
+            up, down = (self.order[np.flatnonzero(more == x)].tolist() for x in (1, -1))
+            found = set()
+            if up and not down:
+                found = {word[:at] + x + word[at:] for at in range(len(word) + 1) for x in letters[up[0]]}
             else:
-                group = self.order[level]
-                count = counts[group]
-                if (child := node.get(count)) is not None:
-                    waiting.append((child, level + 1, up, down))
-                if up < 0 and (child := node.get(count + 1)) is not None:
-                    waiting.append((child, level + 1, group, down))
-                if down < 0 and (child := node.get(count - 1)) is not None:
-                    waiting.append((child, level + 1, up, group))
+                for at, own in enumerate(word):
+                    group = ord(own) % LEVELS
+                    if not down or down[0] == group:
+                        put = letters[up[0] if up else group] if up or not down else [""]
+                        found.update(word[:at] + x + word[at + 1 :] for x in put if x != own)
+            yield from ((i, place[w]) for w in found if w in place)
+
+
+def _odd(counts: np.ndarray) -> np.ndarray:
+    """A bit for each group that has an odd number of letters."""
+    return ((counts & 1).astype(np.uint64) << np.arange(LEVELS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
 def _dealt(words: DataFrame) -> DataFrame:
@@ -235,20 +273,27 @@ def near_words(words: DataFrame) -> DataFrame:
     kind = pa.schema([("word", pa.string()), ("n", pa.int64()), ("near", pa.string()), ("near_n", pa.int64())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def met(held: list[tuple], asking: list[tuple]) -> Iterator[tuple]:
+            if not held or not asking:
+                return
+            for i, j in Trie([word for word, _ in held]).near([word for word, _, _ in asking]):
+                (word, n, home), (other, other_n) = asking[i], held[j]
+                # Within its own subtrie a pair is met from both sides.
+                if not home or word < other:
+                    yield word, n, other, other_n
+                    yield other, other_n, word, n
+
         def out() -> Iterator[tuple]:
-            at, held, trie = None, [], None
+            at, held, asking = None, [], []
             for shard, part, turn, asks, home, word, n in rows_of(batches, *cell, "asks", "home", "word", "n"):
                 if (shard, part, turn) != at:
-                    at, held, trie = (shard, part, turn), [], None
-                if not asks:
+                    yield from met(held, asking)
+                    at, held, asking = (shard, part, turn), [], []
+                if asks:
+                    asking.append((word, n, home))
+                else:
                     held.append((word, n))
-                elif held:
-                    trie = trie or Trie(held)
-                    for other, other_n in trie.near(word):
-                        # Within its own subtrie a pair is met from both sides.
-                        if not home or word < other:
-                            yield word, n, other, other_n
-                            yield other, other_n, word, n
+            yield from met(held, asking)
 
         yield from batched(out(), kind)
 

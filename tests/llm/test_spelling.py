@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import spelling
@@ -92,12 +93,10 @@ def test_leaves_of_very_many_anagrams():
     """All orders of few letters lie in few leaves; edits of one group ('a' and 'á') do, too."""
     draw = random.Random(4)
     words = {"".join(draw.choice("aaáábbc") for _ in range(8)) for _ in range(4000)}
-    counts = dict.fromkeys(words, 1)
-    trie = spelling.Trie(list(counts.items()))
-    for word in sorted(words)[:300]:
-        near = [w for w, _ in trie.near(word)]
-        assert len(near) == len(set(near))
-        assert set(near) == edits(word, "aábc") & words
+    listed, asking = list(words), sorted(words)[:300] + ["aaáábbcc", "abc", "zzzzz"]
+    near = [(asking[i], listed[j]) for i, j in spelling.Trie(listed).near(asking)]
+    assert len(near) == len(set(near))
+    assert set(near) == {(a, b) for a in asking for b in edits(a, "aábc") & words}
 
 
 def test_each_pair_is_asked_once():
@@ -112,6 +111,12 @@ def test_one_apart():
     for a in ("abc", "abca", "é"):
         for b in edits(a, "abcé"):
             assert spelling.one_apart(a, b) and spelling.one_apart(b, a)
+    words = ["a" * 31, "a" * 32, "a" * 31 + "b", "b" + "a" * 31, "abc", "abca", "abcé", "ab", "bc", "acb", "ba", "a", ""]
+    for a in words:
+        for b in words:
+            if abs(len(a) - len(b)) <= 1:
+                many = spelling.all_one_apart(spelling.spelled([a]), spelling.spelled([b]), np.array([len(b) - len(a)]))
+                assert many[0] == spelling.one_apart(a, b) == (b in edits(a, "abcé")), (a, b)
     assert not any(spelling.one_apart(a, b) for a, b in [("abc", "abc"), ("abc", "acb"), ("abc", "abcde"), ("ab", "ba"), ("abcd", "bcde")])
 
 
