@@ -2,9 +2,11 @@
 
 Plain identifiers are found in the text as it is. A transducer then rewrites what
 disguises them (look-alike letters, wide and foreign digits, spelled digits, at and
-dot in words or brackets) and keeps, for every character that it emits, the
-span of source characters it came from. What is found in the rewritten text and covers
-a disguise is mapped back and added, unless it overlaps a plain span of its kind.
+dot in words or brackets or between spaces, character entities, characters without width)
+and keeps, for every character that it emits, the span of source characters it came from.
+What is found in the rewritten text and covers a disguise is mapped back and added, unless
+it lies within a plain span of its kind: where only a part of an identifier is
+plain, both the plain span and the whole one are given.
 
 Defined results: null and empty texts have no spans; offsets count code points, the end
 is exclusive; repeated rows are judged one by one; an empty table gives no rows.
@@ -13,6 +15,7 @@ is exclusive; repeated rows are judged one by one; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import html
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -74,20 +77,31 @@ _LOOKALIKES = dict(zip("аеорсухіјѕԁɡһԛԝᴠοανικρτυχАВ
 _SIGNS = {"＠": "@", "．": ".", "﹒": ".", "。": ".", "﹫": "@", "‐": "-", "‑": "-", "–": "-", "＋": "+", "﹢": "+", " ": " "}
 _DIGIT_WORDS = {word: str(value) for value, word in enumerate("zero one two three four five six seven eight nine".split())}
 _SPELLED = "|".join(_DIGIT_WORDS)
+#: Number words that make a larger number of a digit beside them.
+_COUNTED = frozenset(
+    "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty "
+    "ninety hundred thousand million".split()
+)
+_NO_WIDTH = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|commat|period|plus|lowbar|hyphen|nbsp);"
 _NAMED = r"[A-Za-z0-9._%+-]"
-_DOT = r"(?:\s*[\[({<]\s*(?:dot|punkt|punto|point)\s*[\])}>]\s*|\s+dot\s+)"
+_DOT = r"(?:\s*[\[({<]\s*(?:dot|punkt|punto|point)\s*[\])}>]\s*|\s+dot\s+|-dot-)"
 _AT = r"(?:\s*[\[({<]\s*(?:at|@|arroba)\s*[\])}>]\s*)"
 # A bare "at" is a sign only where a disguised dot follows its next word.
 _TOKENS = re.compile(
     rf"(?P<dot>(?<=[A-Za-z0-9]){_DOT}(?=[A-Za-z0-9]))"
     rf"|(?P<at>(?<={_NAMED}){_AT}(?=[A-Za-z0-9])|(?<={_NAMED})\s+at\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*{_DOT}))"
+    rf"|(?P<dashed>(?<=[A-Za-z0-9])-at-(?=[A-Za-z0-9]+-dot-))"
+    rf"|(?P<apart>(?<={_NAMED})\s+@\s+[A-Za-z0-9-]+(?:\s+\.\s+(?-i:[a-z0-9-]+))*\s+\.\s+(?-i:[a-z]{{2,10}})\b|(?<={_NAMED})(?:\s+@\s*|@\s+)(?=[A-Za-z0-9-]+\.[A-Za-z0-9]))"
+    rf"|(?P<entity>{_ENTITY})|(?P<none>[{_NO_WIDTH}]+)"
     rf"|(?P<plus>\bplus[ -](?=(?:{_SPELLED})\b|[0-9]))"
     rf"|(?P<digits>\b(?:{_SPELLED})(?:[ -](?:{_SPELLED}))+\b)"
     rf"|(?P<digit>\b(?:{_SPELLED})\b)",
     re.IGNORECASE,
 )
 _DIGIT_WORD = re.compile(_SPELLED, re.IGNORECASE)
-_HINT = re.compile(r"dot\b|\bplus[ -][0-9]|[\[({<]\s*(?:at|@|arroba|dot|punkt|punto|point)\s*[\])}>]", re.IGNORECASE)
+_HINT = re.compile(rf"{_ENTITY}|[{_NO_WIDTH}]|\s@|@\s|" + r"dot\b|\bplus[ -][0-9]|[\[({<]\s*(?:at|@|arroba|dot|punkt|punto|point)\s*[\])}>]", re.IGNORECASE)
+_WORD_BEFORE, _WORD_AFTER = re.compile(r"([A-Za-z]+)[ -]\Z"), re.compile(r"[ -]([A-Za-z]+)")
 _PAIR = re.compile(rf"\b(?:{_SPELLED})[ .-](?:{_SPELLED}|[0-9])|[0-9][ .-](?:{_SPELLED})\b", re.IGNORECASE)
 
 
@@ -128,7 +142,18 @@ def _beside_digits(folded: str, tokens: list[re.Match]) -> list[bool]:
         spelled = 0 <= nth < len(tokens) and near(tokens[nth]) == place and tokens[nth].lastgroup in ("digits", "digit")
         return spelled or bool(_DIGIT.match(char(place, step)))
 
-    return [token.lastgroup != "digit" or digit(nth, -1) or digit(nth, 1) for nth, token in enumerate(tokens)]
+    def counted(token: re.Match) -> bool:
+        """Whether the spelled digits are part of a number such as 'ninety two'."""
+        before = _WORD_BEFORE.search(folded, max(0, token.start() - 10), token.start())
+        after = _WORD_AFTER.match(folded, token.end())
+        return any(m is not None and m[1].lower() in _COUNTED for m in (before, after))
+
+    def changed(nth: int, token: re.Match) -> bool:
+        if token.lastgroup not in ("digit", "digits"):
+            return True
+        return not counted(token) and (token.lastgroup == "digits" or digit(nth, -1) or digit(nth, 1))
+
+    return [changed(nth, token) for nth, token in enumerate(tokens)]
 
 
 def rewritten(text: str) -> tuple[str, list[int], list[int]] | None:
@@ -156,17 +181,23 @@ def rewritten(text: str) -> tuple[str, list[int], list[int]] | None:
                 out.append(_DIGIT_WORDS[word[0].lower()])
                 starts.append(word.start())
                 ends.append(word.end())
-        else:
-            out.append({"dot": ".", "at": "@", "plus": "+"}[token.lastgroup])
-            starts.append(token.start())
-            ends.append(token.end())
+        elif token.lastgroup == "apart":
+            for place in (place for place in range(*token.span()) if not folded[place].isspace()):
+                out.append(folded[place])
+                starts.append(place)
+                ends.append(place + 1)
+        elif token.lastgroup != "none":
+            sign = {"dot": ".", "at": "@", "dashed": "@", "plus": "+"}.get(token.lastgroup) or _folded(html.unescape(token[0]))
+            out.append(sign)
+            starts.extend([token.start()] * len(sign))
+            ends.extend([token.end()] * len(sign))
         at = token.end()
     copy(len(folded))
     return "".join(out), starts, ends
 
 
 def disguised(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Identifiers that the rewritten text has and the text as it is has not."""
+    """Identifiers that the rewritten text has and the text as it is has not, or not whole."""
     if (found := rewritten(text)) is None:
         return []
     clear, starts, ends = found
@@ -175,7 +206,7 @@ def disguised(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, i
         first, last = starts[start], ends[end - 1]
         if text[first:last] == clear[start:end]:
             continue
-        if not any(k == kind and a < last and first < b for k, a, b in known):
+        if not any(k == kind and a <= first and last <= b for k, a, b in known):
             out.append((kind, first, last))
     return out
 

@@ -78,6 +78,54 @@ def test_disguises_beside_disguises(text, want):
     assert want[1] not in personal.redact(text)
 
 
+HALF_PLAIN = [
+    ("аlice@example.com", "lice@example.com", ("email", "аlice@example.com")),
+    ("user@example.cоm", "user@example.c", ("email", "user@example.cоm")),
+    ("at 192.168.1.1０ now", "192.168.1.1", ("ip", "192.168.1.1０")),
+    ("tel +1 555 123 456７ now", "+1 555 123 456", ("phone", "+1 555 123 456７")),
+    ("bob@mail.example dot com!", "bob@mail.example", ("email", "bob@mail.example dot com")),
+    ("b\u200bob@exam\u00adple.com", "ob@exam", ("email", "b\u200bob@exam\u00adple.com")),
+]
+
+
+@pytest.mark.parametrize(("text", "base", "want"), HALF_PLAIN)
+def test_half_plain_identifiers_are_given_whole(text, base, want):
+    known = personal.plain(text)
+    assert all(base in text[a:b] or text[a:b] in base for _, a, b in known)
+    found = personal.disguised(text, known)
+    assert [(k, text[a:b]) for k, a, b in found] == [want]
+    covered = personal.redact(text)
+    at = text.index(want[1])
+    assert set(covered[at : at + len(want[1])]) == {"*"} and covered[:at] + text[at : at + len(want[1])] + covered[at + len(want[1]) :] == text
+
+
+MORE = [
+    ("bob&#64;example.com", ("email", "bob&#64;example.com")),
+    ("bob&#x40;example&period;com", ("email", "bob&#x40;example&period;com")),
+    ("to bob @ example . com, please", ("email", "bob @ example . com")),
+    ("to bob @ example.com please", ("email", "bob @ example.com")),
+    ("bob-at-gmail-dot-com", ("email", "bob-at-gmail-dot-com")),
+    ("bob\u2060@\ufeffexample.com", ("email", "bob\u2060@\ufeffexample.com")),
+]
+
+
+@pytest.mark.parametrize(("text", "want"), MORE)
+def test_entities_spaces_dashes_and_characters_without_width(text, want):
+    found = personal.disguised(text, personal.plain(text))
+    assert [(k, text[a:b]) for k, a, b in found] == [want]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "one hundred ninety two dot 168 dot 1 dot 1", "twenty one dot two dot three dot four", "one hundred dot 1 dot 1 dot 1",
+        "write to a@b.com . Thanks", "we met @ home . Then we left", "R&D &amp; more", "a polka-dot-dress at-large", "price @ 5 . 3",
+    ],
+)
+def test_number_words_and_signs_in_prose(text):
+    assert personal.disguised(text, personal.plain(text)) == []
+
+
 def test_endless_zeros_are_an_address_part():
     text = f"{'0' * 5000}1.2.3.{'0' * 5000}"
     assert ("ip", 0, len(text)) in personal.plain(text)
