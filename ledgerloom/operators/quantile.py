@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import sketches
+
 _SKETCH = 10_000  # rank error of the sketches: 1/10000 of the rows
 ERROR = 1 / _SKETCH
 _GRID = 512  # points of the second sketch; a power of two for the search below
@@ -72,19 +74,27 @@ def _exact_quantile(values: DataFrame, p: float) -> DataFrame:
     return distinct.agg(F.expr("min(CASE WHEN upto >= nth THEN x END) AS quantile"))
 
 
-def median(df: DataFrame, column: str, type: str = "double", exact: bool = False) -> Column:
-    """The median as a scalar for use in another plan; 0 when there is none."""
-    middle = quantile(df, column, 0.5, exact).scalar()
+def median(
+    df: DataFrame, column: str, type: str = "double", exact: bool = False, sketch: DataFrame | None = None
+) -> Column:
+    """The median as a scalar for use in another plan; 0 when there is none. A stored
+    ``sketch`` saves the pass over ``df``."""
+    middle = quantile(df, column, 0.5, exact).scalar() if exact or sketch is None else sketches.value(sketch, 0.5)
     return F.coalesce(middle.cast(type), F.lit(0).cast(type))
 
 
 def impute_median(
-    df: DataFrame, column: str, source: DataFrame | None = None, type: str = "double", exact: bool = False
+    df: DataFrame,
+    column: str,
+    source: DataFrame | None = None,
+    type: str = "double",
+    exact: bool = False,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Replace NULLs of ``column`` by the median taken over ``source``.
 
     ``source`` defaults to the frame itself; cleaners pass the rows as loaded,
     before keyless rows and duplicates are dropped.
     """
-    filled = F.coalesce(F.col(column), median(source if source is not None else df, column, type, exact))
+    filled = F.coalesce(F.col(column), median(source if source is not None else df, column, type, exact, sketch))
     return df.withColumn(column, filled)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
+from ledgerloom.operators import sums
 from ledgerloom.operators.skew import outer_join_many
 from ledgerloom.plans.star import FACT
 
@@ -221,9 +222,8 @@ def transaction_summary(t: Tables, grain: str = EXACT, scale: int | None = None)
     the NULL type. In the exact form every weight is 1 and no sums per customer are
     needed; of the customers it reads the keys only."""
     if not _repeats(grain):
-        return _linked_moves(t).groupBy("transaction_type").agg(
-            m.total("transaction_amount", "total_amount", scale), m.rows("transaction_count")
-        )
+        columns = {"total_amount": sums.TOTAL, "transaction_count": sums.ROWS}
+        return sums.grouped(_linked_moves(t), ["transaction_type"], "transaction_amount", columns, scale)
     return _move_sums(t, grain, scale, F.col("transaction_type")).groupBy("transaction_type").agg(
         _times("amount", "wl", scale).cast("double").alias("total_amount"),
         F.expr("sum(coalesce(n, 1) * wl) AS transaction_count"),
@@ -233,9 +233,8 @@ def transaction_summary(t: Tables, grain: str = EXACT, scale: int | None = None)
 def monthly_trends(t: Tables, grain: str = EXACT, scale: int | None = None) -> DataFrame:
     months = [F.expr("year(transaction_date) AS year"), F.expr("month(transaction_date) AS month")]
     if not _repeats(grain):
-        return _linked_moves(t).groupBy(*months).agg(
-            m.total("transaction_amount", "monthly_revenue", scale), m.known("transaction_id", "transactions")
-        )
+        columns = {"monthly_revenue": sums.TOTAL, "transactions": sums.known("transaction_id")}
+        return sums.grouped(_linked_moves(t), months, "transaction_amount", columns, scale)
     return _move_sums(t, grain, scale, *months).groupBy("year", "month").agg(
         _times("amount", "wl", scale).cast("double").alias("monthly_revenue"),
         F.expr("sum(coalesce(txns, 0) * wl) AS transactions"),

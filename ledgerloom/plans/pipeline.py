@@ -25,7 +25,7 @@ from ledgerloom.model import ENTITIES, RELATIONS, Entity
 from ledgerloom.operators import integrity, skew
 from ledgerloom.plans import bronze, master, risk, silver, star
 from ledgerloom.sources.raw import absent_columns, read_raw, source_mark
-from ledgerloom.sources.tables import current, read_table, store
+from ledgerloom.sources.tables import Buckets, current, read_table, store
 
 #: Part of every mark: changed whenever the same inputs and options give other rows.
 RULES = 3
@@ -57,6 +57,16 @@ class Options:
     scale: int | None = None
     grain: str = master.EXACT
     split_hot_keys: bool = False
+    buckets: int = 0
+
+
+#: The key that the other side of a table's joins has, too.
+_BUCKET_KEYS = {"accounts": "account_id", "transactions": "account_id", "customers": "customer_id", "loans": "customer_id"}
+
+
+def bucket_key(dataset: str) -> str | None:
+    layer, _, entity = dataset.partition("_")
+    return _BUCKET_KEYS.get(entity) if layer in ("silver", "marked", "kept", "dim", "fact") else None
 
 
 def _bronze(entity: Entity, o: Options, t: Tables) -> DataFrame:
@@ -77,14 +87,14 @@ def _hot(entity: Entity, fk: str, t: Tables) -> DataFrame:
     return skew.hot_keys(t[f"silver_{entity.name}"], fk, probe=100, by=(entity.key,))
 
 
-def _kept(entity: Entity, o: Options, lacking: Lacking, t: Tables) -> DataFrame:
-    child = t[f"silver_{entity.name}"]
-    if not o.enforce:
-        return child
-    prefix = {p: "kept" if ENTITIES[p].foreign_keys else "silver" for p in entity.parents.values()}
-    parents = {p: t[f"{prefix[p]}_{p}"] for p in prefix}
+def _marked(entity: Entity, lacking: Lacking, t: Tables) -> DataFrame:
+    parents = {p: t[f"{'marked' if ENTITIES[p].foreign_keys else 'silver'}_{p}"] for p in entity.parents.values()}
     hot = {fk: t.get(f"hot_{entity.name}_{fk}") for fk in entity.foreign_keys}
-    return integrity.enforce_entity(child, entity, parents, hot, lacking.get(entity.name, ()))
+    return integrity.marked(t[f"silver_{entity.name}"], entity, parents, hot, lacking.get(entity.name, ()))
+
+
+def _kept(name: str, o: Options, t: Tables) -> DataFrame:
+    return integrity.unbroken(t[f"marked_{name}"]) if o.enforce else t[f"silver_{name}"]
 
 
 def _fact(t: Tables) -> DataFrame:
@@ -95,9 +105,17 @@ def _gold_tables(t: Tables) -> dict[str, DataFrame]:
     return {name: t[f"{'kept' if e.foreign_keys else 'silver'}_{name}"] for name, e in ENTITIES.items()}
 
 
-def _report(layer: str, lacking: Lacking, t: Tables) -> DataFrame:
-    named = {n: t[f"{layer if e.foreign_keys else 'silver'}_{n}"] for n, e in ENTITIES.items()}
-    return integrity.ri_report(named, [r for r in RELATIONS if r[1] not in lacking.get(r[0], ())])
+def _rules(lacking: Lacking) -> list[tuple[str, str, str]]:
+    return [r for r in RELATIONS if r[1] not in lacking.get(r[0], ())]
+
+
+def _report(lacking: Lacking, t: Tables) -> DataFrame:
+    return integrity.marked_report({child: t[f"marked_{child}"] for child, _, _ in RELATIONS}, _rules(lacking))
+
+
+def _report_after(lacking: Lacking, t: Tables) -> DataFrame:
+    """Counted anew from the stored tables, not taken from the marks."""
+    return integrity.ri_report(_gold_tables(t), _rules(lacking))
 
 
 def datasets(options: Options = Options(), lacking: Lacking | None = None) -> dict[str, Dataset]:
@@ -109,9 +127,6 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
         found[f"bronze_{name}"] = Dataset((f"source_{name}",), partial(_bronze, entity, o), ("inject", "seed"))
     for name, entity in ENTITIES.items():
         found[f"silver_{name}"] = Dataset((f"bronze_{name}",), partial(_silver, entity, o, lacking), ("require_fk", "exact"))
-    silvers = tuple(f"silver_{name}" for name in ENTITIES)
-    found["ri_report"] = Dataset(silvers, partial(_report, "silver", lacking))
-
     children = [name for name, entity in ENTITIES.items() if entity.foreign_keys]
     if o.split_hot_keys:
         # Stored, so that the two sides of a join are dealt by the same keys.
@@ -120,11 +135,14 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
                 found[f"hot_{name}_{fk}"] = Dataset((f"silver_{name}",), partial(_hot, ENTITIES[name], fk))
     for name in children:
         parents = [p for child, _, p in RELATIONS if child == name]
-        inputs = [f"{'kept' if ENTITIES[p].foreign_keys else 'silver'}_{p}" for p in parents]
+        inputs = [f"{'marked' if ENTITIES[p].foreign_keys else 'silver'}_{p}" for p in parents]
         inputs += [f"hot_{name}_{fk}" for fk in ENTITIES[name].foreign_keys if o.split_hot_keys]
-        found[f"kept_{name}"] = Dataset((f"silver_{name}", *inputs), partial(_kept, ENTITIES[name], o, lacking), ("enforce",))
+        found[f"marked_{name}"] = Dataset((f"silver_{name}", *inputs), partial(_marked, ENTITIES[name], lacking))
+        source = f"{'marked' if o.enforce else 'silver'}_{name}"
+        found[f"kept_{name}"] = Dataset((source,), partial(_kept, name, o), ("enforce",))
+    found["ri_report"] = Dataset(tuple(f"marked_{name}" for name in children), partial(_report, lacking))
     gold = tuple(f"{'kept' if e.foreign_keys else 'silver'}_{name}" for name, e in ENTITIES.items())
-    found["ri_report_after"] = Dataset(gold, partial(_report, "kept", lacking))
+    found["ri_report_after"] = Dataset(gold, partial(_report_after, lacking))
 
     def on(source: str, plan, **extra) -> Dataset:
         return Dataset((source,), lambda t: plan(t[source], **extra), tuple(extra))
@@ -211,7 +229,9 @@ def run(
         spark = next(iter(inputs.values())).sparkSession
         if resume and (held := current(spark, place)) and held.mark == marks[name]:
             return read_table(spark, place, fmt)
-        return store(plan[name].build(inputs), place, fmt, marks.get(name))
+        key = bucket_key(name) if options.buckets and "/" not in target else None
+        buckets = Buckets(options.buckets, key) if key else None
+        return store(plan[name].build(inputs), place, fmt, marks.get(name), buckets=buckets)
 
     tables = dict(sources)
     waiting = [name for name in plan if name in wanted]
@@ -235,7 +255,7 @@ def _mark(name: str, dataset: Dataset, options: Options, lacking: Lacking, fmt:
     told = {
         "rules": RULES,
         "dataset": name,
-        "format": fmt,
+        "stored": [fmt, options.buckets],
         "options": {o: getattr(options, o) for o in dataset.uses},
         "lacking": sorted((e, sorted(c)) for e, c in lacking.items() if c),
         "inputs": [marks[i] for i in dataset.inputs],

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import measures as m
+from ledgerloom.operators import sums
 from ledgerloom.operators.ranks import percent_ranks
 
 HIGH, MEDIUM = 0.9, 0.6
@@ -20,16 +20,13 @@ MEASURES = ["transaction_count", "total_amount", "avg_amount"]
 
 
 def customer_sums(fact: DataFrame, scale: int | None = None) -> DataFrame:
-    return fact.groupBy("customer_id").agg(
-        m.rows("transaction_count"),
-        m.total("transaction_amount", "total_amount", scale),
-        m.mean("transaction_amount", "avg_amount", scale),
-    )
+    columns = {"transaction_count": sums.ROWS, "total_amount": sums.TOTAL, "avg_amount": sums.MEAN}
+    return sums.grouped(fact, ["customer_id"], "transaction_amount", columns, scale)
 
 
-def score(sums: DataFrame) -> DataFrame:
-    """Rank and band customers. Several branches of the plan read ``sums``."""
-    ranks = percent_ranks(sums, "customer_id", MEASURES)
+def score(measured: DataFrame) -> DataFrame:
+    """Rank and band customers. Several branches of the plan read ``measured``."""
+    ranks = percent_ranks(measured, "customer_id", MEASURES)
     mean = f"({' + '.join(f'{m}_rank' for m in MEASURES)}) / {len(MEASURES)} AS risk_score"
     scored = ranks.selectExpr("customer_id", *MEASURES, mean)
     band = f"CASE WHEN risk_score >= {HIGH}D THEN 'High' WHEN risk_score >= {MEDIUM}D THEN 'Medium' ELSE 'Low' END"

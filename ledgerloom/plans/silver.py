@@ -9,12 +9,14 @@ so a plan that does not use the amount never computes it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import ident, placeholders, read_field
 from ledgerloom.model import ACCOUNTS, AUDIT_COLUMN, BRANCHES, CUSTOMERS, LOANS, TRANSACTIONS, Entity
+from ledgerloom.operators import sketches
 from ledgerloom.operators.dedup import latest_by
 from ledgerloom.operators.quantile import median
 
@@ -36,14 +38,16 @@ def clean(
     optional_fks: Sequence[str] = (),
     exact: bool = False,
     prefer: Sequence[str] = (),
-    audit: bool = True,
+    audit: bool | Column = True,
+    sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Clean a raw table that has the entity's columns as text.
 
     ``require_fk`` drops rows without foreign keys, apart from ``optional_fks``
     (columns the source does not have). ``prefer`` names extra raw columns, such
     as a load order, of which the lowest wins among duplicates. ``exact`` uses
-    the exact median instead of the sketch.
+    the exact median instead of a sketch, ``sketch`` the stored ones of :func:`amount_sketches`.
+    ``audit`` adds the time of loading, or the time given.
     """
     typed = raw.select(*[read_field(f) for f in entity.fields], *prefer)
     rows = require_key(typed, entity.key)
@@ -51,8 +55,18 @@ def clean(
         rows = require_fks(rows, [k for k in entity.foreign_keys if k not in optional_fks])
     rows = latest_by(rows, entity.key, entity.columns, entity.latest, prefer, placeholders(entity.fields))
     for f in entity.amounts:
-        rows = rows.withColumn(f.name, F.coalesce(F.col(f.name), median(typed, f.name, f.type, exact)))
-    return rows.withColumn(AUDIT_COLUMN, F.current_timestamp()) if audit else rows
+        own = sketch.where(F.col("amount") == f.name) if sketch is not None else None
+        rows = rows.withColumn(f.name, F.coalesce(F.col(f.name), median(typed, f.name, f.type, exact, own)))
+    if audit is False:
+        return rows
+    return rows.withColumn(AUDIT_COLUMN, F.current_timestamp() if audit is True else audit)
+
+
+def amount_sketches(raw: DataFrame, entity: Entity) -> DataFrame:
+    """Sketches of the amounts of a raw table, over all rows that can be read, as its
+    medians ask for. To be stored, and merged with those of other loads."""
+    typed = raw.select(*[read_field(f) for f in entity.amounts])
+    return reduce(DataFrame.unionByName, (sketches.sketch(typed, f.name, F.lit(f.name).alias("amount")) for f in entity.amounts))
 
 
 def idents(raw: DataFrame, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
 from ledgerloom.functions.text import sentinel_day
+from ledgerloom.operators import sketches, sums
 from ledgerloom.operators.quantile import quantile
 from ledgerloom.operators.skew import parent_join
 
@@ -58,28 +59,31 @@ def _ranked(df: DataFrame, order: bool, k: int | None, by: Column, *ties: str) -
 
 
 def kpi_total_business(fact: DataFrame, scale: int | None = None) -> DataFrame:
-    return fact.agg(
-        m.known("transaction_id", "total_transactions"),
-        m.total(AMOUNT, "total_revenue", scale),
-        m.mean(AMOUNT, "avg_transaction_value", scale),
-    )
+    columns = {
+        "total_transactions": sums.known("transaction_id"),
+        "total_revenue": sums.TOTAL,
+        "avg_transaction_value": sums.MEAN,
+    }
+    return sums.grouped(fact, [], AMOUNT, columns, scale)
 
 
 def kpi_transaction_type(fact: DataFrame, scale: int | None = None) -> DataFrame:
-    return fact.groupBy("transaction_type").agg(m.rows("txn_count"), m.total(AMOUNT, "total_amount", scale))
+    columns = {"txn_count": sums.ROWS, "total_amount": sums.TOTAL}
+    return sums.grouped(fact, ["transaction_type"], AMOUNT, columns, scale)
 
 
 def kpi_top_customers(
     fact: DataFrame, order: bool = False, k: int | None = None, scale: int | None = None
 ) -> DataFrame:
-    spent = fact.groupBy("customer_id").agg(m.total(AMOUNT, "total_spent", scale), m.rows("txn_count"))
+    spent = sums.grouped(fact, ["customer_id"], AMOUNT, {"total_spent": sums.TOTAL, "txn_count": sums.ROWS}, scale)
     return _ranked(spent, order, k, F.desc("total_spent"), "customer_id")
 
 
 def kpi_branch_performance(
     fact: DataFrame, order: bool = False, k: int | None = None, scale: int | None = None
 ) -> DataFrame:
-    earned = fact.groupBy("branch_id").agg(m.rows("total_transactions"), m.total(AMOUNT, "branch_revenue", scale))
+    columns = {"total_transactions": sums.ROWS, "branch_revenue": sums.TOTAL}
+    earned = sums.grouped(fact, ["branch_id"], AMOUNT, columns, scale)
     return _ranked(earned, order, k, F.desc("branch_revenue"), "branch_id")
 
 
@@ -90,16 +94,20 @@ def kpi_monthly_trend(
     unless ``exclude_sentinel`` is set."""
     dated = fact.filter(F.col("transaction_date") != sentinel_day()) if exclude_sentinel else fact
     month = F.date_format("transaction_date", "yyyy-MM").alias("month")
-    trend = dated.groupBy(month).agg(m.total(AMOUNT, "monthly_revenue", scale), m.rows("txn_count"))
+    trend = sums.grouped(dated, [month], AMOUNT, {"monthly_revenue": sums.TOTAL, "txn_count": sums.ROWS}, scale)
     return _ranked(trend, order, None, F.asc("month"))
 
 
 def kpi_account_type(fact: DataFrame, accounts: DataFrame, scale: int | None = None) -> DataFrame:
-    """The fact is summed per account before the join, so the join moves one
-    row per account and an account with very many transactions is one row."""
+    """The fact is summed per account before the join, so the join moves few
+    rows per account and an account with very many transactions is one of them."""
+    types = accounts.select("account_id", "account_type")
+    if scale is None:
+        columns = {"total_amount": sums.TOTAL, "txn_count": sums.ROWS}
+        partial = sums.units(fact, ["account_id"], AMOUNT, columns).join(types, "account_id")
+        return sums.finished(partial, ["account_type"], columns)
     per_account = fact.groupBy("account_id").agg(m.partial(AMOUNT, "amount", scale), m.rows("txns"))
-    typed = per_account.join(accounts.select("account_id", "account_type"), "account_id")
-    return typed.groupBy("account_type").agg(
+    return per_account.join(types, "account_id").groupBy("account_type").agg(
         m.again("amount", scale).cast("double").alias("total_amount"), F.sum("txns").alias("txn_count")
     )
 
@@ -107,14 +115,18 @@ def kpi_account_type(fact: DataFrame, accounts: DataFrame, scale: int | None = N
 def kpi_customer_branch(
     fact: DataFrame, order: bool = False, k: int | None = None, scale: int | None = None
 ) -> DataFrame:
-    pairs = fact.groupBy("customer_id", "branch_id").agg(m.total(AMOUNT, "total_amount", scale))
+    pairs = sums.grouped(fact, ["customer_id", "branch_id"], AMOUNT, {"total_amount": sums.TOTAL}, scale)
     return _ranked(pairs, order, k, F.desc("total_amount"), "customer_id", "branch_id")
 
 
-def kpi_high_value_txn(fact: DataFrame, q: float = 0.9, exact: bool = False) -> DataFrame:
+def kpi_high_value_txn(
+    fact: DataFrame, q: float = 0.9, exact: bool = False, sketch: DataFrame | None = None
+) -> DataFrame:
     """Transactions at or above the ``q`` quantile of all amounts.
 
-    ``fact`` should be a stored table: the quantile reads its amount column in
-    passes of its own.
+    With a stored ``sketch`` of the amounts (:mod:`ledgerloom.operators.sketches`) the fact is read
+    once. Without one ``fact`` should be a stored table: the quantile reads its amount
+    column in passes of its own.
     """
-    return fact.filter(F.col(AMOUNT) >= quantile(fact, AMOUNT, q, exact).scalar())
+    limit = quantile(fact, AMOUNT, q, exact).scalar() if exact or sketch is None else sketches.value(sketch, q)
+    return fact.filter(F.col(AMOUNT) >= limit)

@@ -9,7 +9,8 @@ the same version get the same number: the second one fails.
 
 A catalog table is an external table whose location is the version folder; an overwrite
 moves the location. Formats that keep versions of their own (``delta`` and the like) are
-left to them.
+left to them. A catalog table may be stored in buckets of a key: joins and aggregates on
+the key then need no shuffle, as long as both sides have the same number of buckets.
 
     <target>/_versions/00000007-<id>/part-...   the rows
     <target>/_current/00000007                  which folder, its format, what it was made of
@@ -86,16 +87,30 @@ def _load(spark: SparkSession, version: Version) -> DataFrame:
     return spark.read.format(version.fmt).load(literal(version.path))
 
 
-def store(df: DataFrame, target: str, fmt: str = "parquet", mark: str | None = None, kept: int = KEPT) -> DataFrame:
+class Buckets(NamedTuple):
+    number: int
+    key: str
+
+
+def store(
+    df: DataFrame,
+    target: str,
+    fmt: str = "parquet",
+    mark: str | None = None,
+    kept: int = KEPT,
+    buckets: Buckets | None = None,
+) -> DataFrame:
     """Replace what is stored at a path, or under a name, and return the frame that reads it
-    back. ``mark`` is kept with the version; ``kept`` versions stay."""
+    back. ``mark`` is kept with the version; ``kept`` versions stay. ``buckets`` are for names only; a key
+    with a large part of the rows makes one large bucket."""
     spark = df.sparkSession
     if fmt in OWN_VERSIONS or target.count(".") > 1 and not _is_path(target):
         return _left_to_format(df, target, fmt)
-    version = _written(df, _folder(spark, target), fmt, mark, kept)
     if _is_path(target):
-        return _load(spark, version)
-    _point(df, target, version)
+        return _load(spark, _written(df, _folder(spark, target), fmt, mark, kept))
+    _finish_move(spark, target)
+    spark.sql(f"DROP TABLE IF EXISTS {_next(target)}")
+    _point(df, target, _written(df, _folder(spark, target), fmt, mark, kept, buckets, _next(target)), buckets)
     return spark.read.table(target)
 
 
@@ -117,14 +132,22 @@ def _left_to_format(df: DataFrame, target: str, fmt: str) -> DataFrame:
     return df.sparkSession.read.table(target)
 
 
-def _written(df: DataFrame, folder: str, fmt: str, mark: str | None, kept: int) -> Version:
+def _written(
+    df: DataFrame, folder: str, fmt: str, mark: str | None, kept: int, buckets: Buckets | None = None, table: str = ""
+) -> Version:
+    """A new version of the rows; with ``buckets`` it is registered as ``table``, too."""
     spark = df.sparkSession
     files, before = Store(spark, folder), versions(spark, folder)
     number = before[-1].number + 1 if before else 1
     name = f"{number:08d}-{uuid.uuid4().hex}"
     version = Version(number, f"{folder}/_versions/{name}", fmt, mark)
     try:
-        df.write.format(fmt).save(version.path)
+        if buckets:
+            # Dealt out like the buckets, so that each is one file.
+            writer = df.repartition(*buckets).write.format(fmt).bucketBy(*buckets).sortBy(buckets.key)
+            writer.option("path", version.path).saveAsTable(table)
+        else:
+            df.write.format(fmt).save(version.path)
         files.put_new(f"{folder}/_current/{number:08d}", json.dumps({"folder": name, "format": fmt, "mark": mark}))
     except Exists as error:
         files.remove(version.path)
@@ -156,22 +179,19 @@ def _next(name: str) -> str:
     return f"{name}__next"
 
 
-def _point(df: DataFrame, name: str, version: Version) -> None:
-    """Let the catalog table read a version. Where its columns or its format change, a new
+def _point(df: DataFrame, name: str, version: Version, buckets: Buckets | None) -> None:
+    """Let the catalog table read a version. Where its columns, its format or its buckets change, a new
     table takes its place; if that is broken off between the two steps, the next reader or
     writer finishes it."""
     spark = df.sparkSession
-    _finish_move(spark, name)
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=version.path, source=version.fmt, schema=df.schema)
-        return
-    if _layout(spark.read.table(name)) == _layout(df) and _provider(spark, name) == version.fmt:
+    if spark.catalog.tableExists(name) and _layout(spark, name) == _wanted(df, version.fmt, buckets):
         place = version.path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        spark.sql(f"DROP TABLE IF EXISTS {_next(name)}")
         return
-    spark.sql(f"DROP TABLE IF EXISTS {_next(name)}")
-    spark.catalog.createTable(_next(name), path=version.path, source=version.fmt, schema=df.schema)
-    spark.sql(f"DROP TABLE {name}")
+    if not buckets:
+        spark.catalog.createTable(_next(name), path=version.path, source=version.fmt, schema=df.schema)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     _finish_move(spark, name)
 
 
@@ -180,10 +200,15 @@ def _finish_move(spark: SparkSession, name: str) -> None:
         spark.sql(f"ALTER TABLE {_next(name)} RENAME TO {name}")
 
 
-def _layout(df: DataFrame) -> list[tuple[str, str]]:
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def _provider(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    return next((r.data_type.lower() for r in rows if r.col_name == "Provider"), "")
+def _wanted(df: DataFrame, fmt: str, buckets: Buckets | None) -> tuple:
+    return _columns(df), fmt, str(buckets.number if buckets else 0), f"[`{buckets.key}`]" if buckets else "[]"
+
+
+def _layout(spark: SparkSession, name: str) -> tuple:
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    buckets = told.get("Num Buckets", "0"), told.get("Bucket Columns", "[]")
+    return _columns(spark.read.table(name)), told.get("Provider", "").lower(), *buckets

@@ -196,11 +196,13 @@ def exchanges(df):
 
 
 def test_exact_master_sums_take_one_shuffle_for_the_groups(gold):
-    """Two semi joins and one aggregate; none per account, customer and month."""
+    """Two semi joins and one aggregate; none per account, customer and month. Sums of doubles
+    take one more, of a few rows for each group."""
     tables = {n: gold[f"{'kept' if e.foreign_keys else 'silver'}_{n}"] for n, e in ENTITIES.items()}
     for plan in (master.monthly_trends, master.transaction_summary):
-        exact, joined = plan(tables, master.EXACT), plan(tables, master.JOINED)
+        exact, doubles, joined = plan(tables, master.EXACT, 2), plan(tables, master.EXACT), plan(tables, master.JOINED, 2)
         assert physical(exact).count("HashAggregate") == 2
+        assert exchanges(doubles) == exchanges(exact) + 1
         assert exchanges(exact) < exchanges(joined)
 
 
@@ -209,3 +211,29 @@ def test_report_reads_each_child_once(gold):
     plan = physical(integrity.ri_report(tables))
     assert plan.count("struct<loan_id") == 0
     assert sum("customer_id:string,branch_id:string" in line for line in plan.splitlines() if "ReadSchema" in line) == 2
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, folder, tmp_path, rows, gold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql(f"CREATE DATABASE vault LOCATION '{tmp_path}/vault'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        options = pipeline.Options(exact=True, scale=2, buckets=3)
+        got = pipeline.run(pipeline.read_sources(spark, folder), "vault", options)
+        for name in ("fact_transactions", "kept_transactions", "kept_loans", "kpi_account_type", "ri_report", "kpi_customer_branch"):
+            columns = [c for c in got[name].columns if c != "_silver_loaded_at"]
+            assert rows(got[name], *columns) == rows(gold[name], *columns), name
+        plans = pipeline.datasets(options)
+        for name in ("marked_transactions", "fact_transactions"):
+            plan = physical(plans[name].build(got))
+            assert "SortMergeJoin" in plan and "Exchange" not in plan, name
+        # Above the join there is one, by account type.
+        plan = physical(plans["kpi_account_type"].build(got))
+        assert "Exchange" not in plan[plan.index("SortMergeJoin") :]
+        # A second run stores into the same tables.
+        again = pipeline.run(pipeline.read_sources(spark, folder), "vault", options, only={"fact_transactions"}, resume=False)
+        assert rows(again["fact_transactions"]) == rows(gold["fact_transactions"])
+        assert "Exchange" not in physical(plans["fact_transactions"].build(again))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE vault CASCADE")

@@ -1,0 +1,89 @@
+"""Stored sketches: merged in any way, and ranks that hold."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.model import LOANS
+from ledgerloom.operators import sketches
+from ledgerloom.operators.quantile import impute_median
+from ledgerloom.plans import silver, star
+from tests.test_quantile import random_values
+
+
+def finite(values):
+    return sorted(v for v in values if v is not None and math.isfinite(v))
+
+
+@pytest.mark.parametrize("kind", ["uniform", "wide", "heavy", "few", "holes", "clusters", "scales", "one"])
+def test_ranks_are_proven(spark, kind):
+    values = random_values(kind, 3000)
+    known = finite(values)
+    frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    stored = sketches.sketch(frame, "v").cache()
+    for p in (0.0, 0.01, 0.5, 0.9, 1.0):
+        got = sketches.certified(stored, p).first()
+        rank = max(1, math.ceil(p * len(known)))
+        assert got.n == len(known) and got.rank_low <= rank <= got.rank_high
+        assert got.rank_high == sum(v <= got.quantile for v in known)
+        # The cell is no wider than its leading digits tell.
+        least = known[got.rank_low - 1]
+        assert abs(got.quantile - least) <= abs(got.quantile) * 2.0**-sketches.DIGITS * 2
+        assert least <= known[rank - 1] <= got.quantile
+    stored.unpersist()
+
+
+def test_sketches_do_not_depend_on_the_rows_order(spark, rows):
+    values = [(v, i % 5) for i, v in enumerate(random_values("wide", 2000))]
+    frame = spark.createDataFrame(values, "v double, run int")
+    whole = rows(sketches.sketch(frame.repartition(7), "v"))
+    by_run = sketches.sketch(frame.repartition(3), "v", "run")
+    assert rows(sketches.merged(by_run)) == whole == rows(sketches.merged(sketches.merged(by_run, "run")))
+    first, rest = by_run.where("run < 2").drop("run"), by_run.where("run >= 2").drop("run")
+    assert rows(sketches.merged(sketches.merged(first).unionByName(rest))) == whole
+
+
+@pytest.mark.parametrize("e", [-1074, -1022, -1, 0, 1, 52, 1023])
+def test_cells_begin_at_powers_of_two(spark, e):
+    at = 2.0**e
+    values = {math.nextafter(at, 0), at, math.nextafter(at, math.inf), -at} - {0.0}
+    cells = sketches.sketch(spark.createDataFrame([(v,) for v in values], "v double"), "v").collect()
+    of = {v: (c.power, c.digits) for c in cells for v in values if c.least <= v <= c.most}
+    below = math.nextafter(at, 0)
+    assert below == 0 or of[below] < of[at]
+    assert of[-at] == (-of[at][0], -of[at][1])
+
+
+def test_no_values(spark):
+    none = spark.createDataFrame([(None,), (math.nan,), (math.inf,)], "v double")
+    assert sketches.sketch(none, "v").count() == 0
+    assert tuple(sketches.certified(sketches.sketch(none, "v"), 0.5).first()) == (None, None, None, 0)
+
+
+def test_big_integers_are_not_rounded(spark):
+    big = 2**60 + 1
+    frame = spark.createDataFrame([(big,)] * 3 + [(None,)], "v bigint")
+    filled = impute_median(frame, "v", type="bigint", sketch=sketches.sketch(frame, "v"))
+    assert {r.v for r in filled.collect()} == {big}
+
+
+def test_stored_sketches_serve_the_kpi_and_the_cleaner(spark, rows):
+    draw = random.Random(7)
+    amounts = [round(draw.uniform(1, 10**5), 2) for _ in range(1000)]
+    fact = spark.createDataFrame([(i, a) for i, a in enumerate(amounts)], "transaction_id int, transaction_amount double")
+    stored = sketches.sketch(fact, "transaction_amount", F.expr("transaction_id % 3 AS day"))
+    kept = [r.transaction_amount for r in star.kpi_high_value_txn(fact, sketch=stored).collect()]
+    limit = sketches.certified(stored, 0.9).first()
+    assert sorted(kept) == sorted(a for a in amounts if a >= limit.quantile)
+    assert abs(len(kept) - 100) <= limit.rank_high - limit.rank_low + 1
+
+    raw = spark.createDataFrame(
+        [(f"l{i}", f"c{i}", "b1", str(a) if i % 4 else "", "car", "x") for i, a in enumerate(amounts)], ", ".join(f"{c} string" for c in LOANS.columns)
+    )
+    sketch = silver.amount_sketches(raw, LOANS)
+    cleaned = silver.clean(raw, LOANS, audit=F.lit("2024-01-02").cast("timestamp"), sketch=sketch)
+    filled = {r.loan_amount for r in cleaned.collect() if int(r.loan_id[1:]) % 4 == 0}
+    assert filled == {sketches.certified(sketch, 0.5).first().quantile}
+    assert {str(r._silver_loaded_at) for r in cleaned.collect()} == {"2024-01-02 00:00:00"}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.sources import tables
-from ledgerloom.sources.tables import Conflict, current, read_table, store, versions, write_table
+from ledgerloom.sources.tables import Buckets, Conflict, current, read_table, store, versions, write_table
 
 
 @pytest.fixture()
@@ -119,3 +119,12 @@ def test_a_move_that_broke_off_is_finished(spark, books, five, rows):
 def test_an_empty_dataset_keeps_its_columns(spark, target, five):
     got = store(five.limit(0), target)
     assert got.columns == ["id", "v"] and got.count() == 0
+
+
+def test_buckets_come_and_go(spark, books, five, rows):
+    for buckets in (None, Buckets(3, "id"), Buckets(3, "id"), Buckets(2, "id"), None):
+        got = store(five, "books.kept", buckets=buckets)
+        assert rows(got) == rows(five)
+        plan = got.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" not in plan) == bool(buckets)
+    assert [t.name for t in spark.catalog.listTables("books")] == ["kept"]

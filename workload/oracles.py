@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-from workload.queries import SEED
+from ledgerloom.operators.quantile import ERROR
+from workload.queries import LOADED, SEED
 from workload.raw import CLEAN, RAW
 
 
@@ -157,6 +158,33 @@ def _avg(expr: str) -> str:
     return f"cast(sum(cast({expr} AS DECIMAL(18,2))) AS DOUBLE) / nullif(count({expr}), 0)"
 
 
+def _exact_sum(expr: str) -> str:
+    """The sum of doubles as whole multiples of 2^-60, rounded to a double once (by way of text)."""
+    return f"cast(cast(sum(cast({expr} * pow(2, 60) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 60)"
+
+
+def _exact_mean(expr: str) -> str:
+    return f"{_exact_sum(expr)} / nullif(count({expr}), 0)"
+
+
+def _by_cells(select: str, column: str, source: str, p: float) -> str:
+    """``select`` from the cell (equal leading binary digits) that has the quantile: its least and largest value."""
+    return f"""
+SELECT * FROM (WITH measured AS (SELECT {column} AS x FROM {source} WHERE {column} IS NOT NULL),
+binary_ AS (SELECT x, floor(log2(abs(x))) + CASE WHEN abs(x) >= pow(2, floor(log2(abs(x))) + 1) THEN 1
+                                          WHEN abs(x) < pow(2, floor(log2(abs(x)))) THEN -1 ELSE 0 END AS e FROM measured),
+cells AS (SELECT min(x) AS least, max(x) AS most, count(*) AS n FROM binary_
+          GROUP BY sign(x), e, floor(abs(x) * pow(2, 12 - e))),
+ranked AS (SELECT *, sum(n) OVER (ORDER BY least) AS upto, sum(n) OVER () AS total FROM cells),
+certified AS (SELECT most AS quantile, least FROM ranked WHERE upto >= ceil({p} * total) ORDER BY upto LIMIT 1)
+{select}) by_cells"""
+
+
+def _ranked(source: str, column: str, p: float, sign: int) -> str:
+    """The value one rank error beside a quantile."""
+    return f"(SELECT quantile_disc({column}, {p + sign * ERROR!r}) FROM {source})"
+
+
 _PARTS: dict[str, str] = {}
 for _n in RAW:
     _PARTS[f"raw_{_n}"] = RAW[_n]
@@ -282,7 +310,9 @@ def _report(suffix: str, prefix: str) -> str:
     return " UNION ALL ".join(rows)
 
 
-_MONEY_KPIS = {
+def _money_kpis(_sum, _avg) -> dict[str, str]:
+    """The KPIs, by how amounts are summed."""
+    return {
     "kpi_total_business": f"""
 SELECT count(transaction_id) AS total_transactions, {_sum('transaction_amount')} AS total_revenue,
        {_avg('transaction_amount')} AS avg_transaction_value FROM fact""",
@@ -314,7 +344,11 @@ FROM (SELECT customer_id, transaction_count, total_amount, avg_amount,
       FROM (SELECT customer_id, count(*) AS transaction_count, {_sum('transaction_amount')} AS total_amount,
                    {_avg('transaction_amount')} AS avg_amount
             FROM fact GROUP BY customer_id) per_customer) scored""",
-}
+    }
+
+
+_MONEY_KPIS = _money_kpis(_sum, _avg)
+_NO_DOUBLES = ("kpi_high_value_txn", "customer_risk_score")
 
 _FACT_COLUMNS = (
     "transaction_id, account_id, customer_id, branch_id, transaction_amount, transaction_type, transaction_date"
@@ -413,9 +447,39 @@ SELECT account_id, customer_id, branch_id, account_type, opening_balance, accoun
     finals["kpi_branch_performance_ordered"] = _MONEY_KPIS["kpi_branch_performance"]
     finals["kpi_monthly_trend_ordered"] = f"""
 SELECT * FROM ({_MONEY_KPIS['kpi_monthly_trend']}) q WHERE month <> '1900-01' ORDER BY month"""
-    # The sketch may be off by a rank error: what is checked is that it is within it.
-    finals["kpi_high_value_txn_sketch"] = "SELECT count(*) AS fact_rows, true AS within_error FROM fact"
-    finals["impute_median_sketch"] = "SELECT count(*) AS loan_rows, true AS within_error FROM raw_loans"
+    finals["kpi_high_value_txn_sketch"] = f"""
+SELECT * FROM fact WHERE transaction_amount >= ({_by_cells('SELECT quantile FROM certified', 'transaction_amount', 'fact', 0.9)})"""
+    finals["kpi_high_value_txn_certificate"] = _by_cells("""
+SELECT c.quantile, (SELECT count(*) FROM measured WHERE x < c.least) + 1 AS rank_low,
+       (SELECT count(*) FROM measured WHERE x <= c.quantile) AS rank_high, (SELECT count(x) FROM measured) AS n
+FROM certified c""", "transaction_amount", "fact", 0.9)
+    loans = "(SELECT customer_id, loan_type, try_cast(loan_amount AS DOUBLE) AS loan_amount FROM raw_loans) loans"
+    finals["impute_median_sketch"] = f"""
+SELECT * REPLACE (coalesce(loan_amount, ({_by_cells('SELECT quantile FROM certified', 'loan_amount', loans, 0.5)}), 0) AS loan_amount)
+FROM {loans}"""
+    finals["kpi_high_value_txn_default"] = f"""
+SELECT transaction_id, transaction_amount,
+       CASE WHEN transaction_amount < {_ranked('fact', 'transaction_amount', 0.9, -1)} THEN 'out'
+            WHEN transaction_amount < {_ranked('fact', 'transaction_amount', 0.9, 1)} THEN 'either' ELSE 'in' END AS place
+FROM fact"""
+    finals["impute_median_default"] = """
+SELECT loan_id, try_cast(loan_amount AS DOUBLE) AS loan_amount,
+       CASE WHEN try_cast(loan_amount AS DOUBLE) IS NULL THEN true END AS within_error FROM raw_loans"""
+    finals["s_branches_loaded"] = f"SELECT *, TIMESTAMP '{LOADED}' AS _silver_loaded_at FROM silver_branches"
+    finals |= {f"{name}_doubles": sql for name, sql in _money_kpis(_exact_sum, _exact_mean).items() if name not in _NO_DOUBLES}
+    finals["customer_sums_doubles"] = f"""
+SELECT customer_id, count(*) AS transaction_count, {_exact_sum('transaction_amount')} AS total_amount,
+       {_exact_mean('transaction_amount')} AS avg_amount FROM fact GROUP BY customer_id"""
+    finals["master_transaction_summary_doubles"] = f"""
+SELECT transaction_type, {_exact_sum('transaction_amount')} AS total_amount, count(*) AS transaction_count
+FROM fact GROUP BY transaction_type"""
+    finals["monthly_trends_doubles"] = f"""
+SELECT cast(year(transaction_date) AS INTEGER) AS year, cast(month(transaction_date) AS INTEGER) AS month,
+       {_exact_sum('transaction_amount')} AS monthly_revenue, count(transaction_id) AS transactions
+FROM fact GROUP BY 1, 2"""
+    finals["run_dim_accounts"] = finals["dim_accounts"]
+    finals["run_kept_loans"] = finals["ri_loans_clean"]
+    finals["run_ri_report_after"] = finals["ri_report_after"]
     return {**finals, **_MONEY_KPIS, **_MASTER}
 
 

@@ -6,15 +6,16 @@ and quantiles are exact too: results do not depend on partitioning.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.model import ENTITIES
-from ledgerloom.operators import integrity, quantile, skew
-from ledgerloom.plans import bronze, master, risk, silver, star
+from ledgerloom.model import AUDIT_COLUMN, ENTITIES
+from ledgerloom.operators import integrity, quantile, sketches, skew
+from ledgerloom.plans import bronze, master, pipeline, risk, silver, star
 from ledgerloom.session import configure
 from ledgerloom.sources.raw import read_raw
 from ledgerloom.sources.scratch import scratch_dir, stage
@@ -22,6 +23,7 @@ from workload.raw import CLEAN, NUMERIC, PREFER, RAW, driver_table, frame
 
 SCALE = 2
 SEED = 11
+LOADED = "2024-05-06 07:08:09"  # the clock of the rows that carry a time of loading
 
 
 class Tables(Mapping):
@@ -53,6 +55,7 @@ class Bank:
 
     def __init__(self, spark: SparkSession, sf_dir: str, exact: bool = True):
         self.exact = exact
+        self._runs: dict[str, DataFrame] | None = None
         self.driver = cache(lambda table: driver_table(spark, sf_dir, table))
         self.raw = Tables(lambda name: frame(spark, self.driver, RAW[name]))
         self.source = Tables(lambda name: frame(spark, self.driver, CLEAN[name]))
@@ -63,6 +66,7 @@ class Bank:
         # join drops orphaned transactions, so they need not be dropped before.
         self.linked = Tables(lambda name: (self.silver if name == "transactions" else self.kept)[name])
         self.keyed = Tables(lambda name: self.linked[name] if ENTITIES[name].foreign_keys else self.parents[name])
+        self.marked = Tables(self._mark)
         # The same as stored tables, for plans that read a table more than once.
         self.stored = Tables(lambda name: stage(self.linked[name], name))
 
@@ -81,6 +85,11 @@ class Bank:
         parents = {p: self.kept[p] if ENTITIES[p].foreign_keys else self.parents[p] for p in entity.parents.values()}
         return integrity.enforce_entity(self.silver[name], entity, parents)
 
+    def _mark(self, name: str) -> DataFrame:
+        entity = ENTITIES[name]
+        parents = {p: self.marked[p] if ENTITIES[p].foreign_keys else self.parents[p].distinct() for p in entity.parents.values()}
+        return stage(integrity.marked(self.silver[name], entity, parents), f"marked_{name}")
+
     @cached_property
     def fact(self) -> DataFrame:
         return star.fact_transactions(self.linked["transactions"], self.linked["accounts"])
@@ -97,8 +106,22 @@ class Bank:
         return stage(self.fact, "fact")
 
     @cached_property
-    def loan_amounts(self) -> DataFrame:
-        return self.raw["loans"].select(F.col("loan_amount").try_cast("double").alias("loan_amount"))
+    def loan_rows(self) -> DataFrame:
+        return self.raw["loans"].select("customer_id", "loan_type", F.col("loan_amount").try_cast("double").alias("loan_amount"))
+
+    @cached_property
+    def fact_sketches(self) -> DataFrame:
+        """Sketches of the amounts, one for each transaction type, as a stored table."""
+        return stage(sketches.sketch(self.stored_fact, "transaction_amount", "transaction_type"), "fact_sketches")
+
+    def run(self, name: str) -> DataFrame:
+        """A dataset by way of a pipeline run over the raw tables."""
+        if self._runs is None:
+            sources = {f"source_{n}": self.raw[n].select(e.columns) for n, e in ENTITIES.items()}
+            target = f"{scratch_dir(self.raw['accounts'].sparkSession)}/run-{uuid.uuid4().hex}"
+            options = pipeline.Options(exact=self.exact, scale=SCALE)
+            self._runs = pipeline.run(sources, target, options, only={"dim_accounts", "kept_loans", "ri_report_after"}, resume=False)
+        return self._runs[name].drop(AUDIT_COLUMN)
 
     @cached_property
     def stored_sums(self) -> DataFrame:
@@ -106,13 +129,14 @@ class Bank:
 
     @cached_property
     def from_csv(self) -> DataFrame:
-        """Accounts read back from CSV files whose headers differ in order, case and names."""
+        """Accounts read back from CSV files whose headers differ in order, case, names and
+        padding, from folders with names of all sorts."""
         raw, path = self.raw["accounts"], f"{scratch_dir(self.raw['accounts'].sparkSession)}/csv"
         columns = ENTITIES["accounts"].columns
         odd = F.pmod(F.xxhash64(*columns), F.lit(2)) == 1
-        other = [F.col(c).alias({"opening_balance": "BALANCE"}.get(c, c.upper())) for c in reversed(columns)]
-        raw.where(odd).select(*columns).write.option("header", True).csv(f"{path}/odd", mode="overwrite")
-        raw.where(~odd | odd.isNull()).select(*other).write.option("header", True).csv(f"{path}/even", mode="overwrite")
+        other = [F.col(c).alias({"opening_balance": "BALANCE", "account_type": " Account_Type "}.get(c, c.upper())) for c in reversed(columns)]
+        raw.where(odd).select(*columns).write.option("header", True).csv(f"{path}/odd 100%20 [1]", mode="overwrite")
+        raw.where(~odd | odd.isNull()).select(*other).write.option("header", True).csv(f"{path}/even {{2}}", mode="overwrite")
         return read_raw(raw.sparkSession, ENTITIES["accounts"], f"{path}/*", glob="*.csv")
 
     def dirty(self, name: str) -> DataFrame:
@@ -153,13 +177,14 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
         exact=b.exact,
     )
 
-    plans["ri_report"] = lambda: integrity.ri_report(b.parents)
+    # Marked once, in a stored table of each child; these are projections of it.
+    plans["ri_report"] = lambda: integrity.marked_report(b.marked)
     plans["ri_report_after"] = lambda: integrity.ri_report(
         {name: b.kept[name] if ENTITIES[name].foreign_keys else b.parents[name] for name in ENTITIES}
     )
-    plans["ri_orphans"] = lambda: integrity.orphans(b.silver["transactions"], b.silver["accounts"], "account_id")
+    plans["ri_orphans"] = lambda: integrity.marked_orphans(b.marked["transactions"], ENTITIES["transactions"], "account_id")
     for name in ("accounts", "loans", "transactions"):
-        plans[f"ri_{name}_clean"] = lambda name=name: b.kept[name]
+        plans[f"ri_{name}_clean"] = lambda name=name: integrity.unbroken(b.marked[name])
 
     plans["dim_customers"] = lambda: star.dim_customers(b.kept["customers"])
     plans["dim_branches"] = lambda: star.dim_branches(b.kept["branches"])
@@ -181,12 +206,36 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     plans["kpi_customer_branch_10"] = lambda: star.kpi_customer_branch(b.fact, k=10, scale=SCALE)
     plans["kpi_branch_performance_ordered"] = lambda: star.kpi_branch_performance(b.fact, order=True, scale=SCALE)
     plans["kpi_monthly_trend_ordered"] = lambda: star.kpi_monthly_trend(b.fact, True, exclude_sentinel=True, scale=SCALE)
-    plans["kpi_high_value_txn_sketch"] = lambda: _within_error(
-        b.stored_fact, "transaction_amount", 0.9, quantile.quantile(b.stored_fact, "transaction_amount", 0.9), "fact_rows"
+    plans["kpi_high_value_txn_sketch"] = lambda: star.kpi_high_value_txn(b.stored_fact, sketch=b.fact_sketches)
+    plans["kpi_high_value_txn_certificate"] = lambda: sketches.certified(b.fact_sketches, 0.9)
+    plans["impute_median_sketch"] = lambda: quantile.impute_median(
+        b.loan_rows, "loan_amount", sketch=stage(sketches.sketch(b.loan_rows, "loan_amount"), "loan_sketch")
+    )
+    plans["kpi_high_value_txn_default"] = lambda: _placed(
+        b.stored_fact, star.kpi_high_value_txn(b.stored_fact), "transaction_id", "transaction_amount", 0.9
+    )
+    plans["impute_median_default"] = lambda: _imputed(
+        b.raw["loans"].select("loan_id", F.col("loan_amount").try_cast("double").alias("loan_amount")), "loan_amount"
     )
-    plans["impute_median_sketch"] = lambda: _within_error(
-        b.loan_amounts, "loan_amount", 0.5, quantile.quantile(b.loan_amounts, "loan_amount", 0.5), "loan_rows"
+    plans["s_branches_loaded"] = lambda: silver.clean(
+        b.raw["branches"], ENTITIES["branches"], prefer=PREFER["branches"], audit=F.expr(f"TIMESTAMP '{LOADED}'")
     )
+    doubles = {
+        "kpi_total_business": star.kpi_total_business,
+        "kpi_transaction_type": star.kpi_transaction_type,
+        "kpi_top_customers": star.kpi_top_customers,
+        "kpi_branch_performance": star.kpi_branch_performance,
+        "kpi_monthly_trend": star.kpi_monthly_trend,
+        "kpi_customer_branch": star.kpi_customer_branch,
+        "customer_sums": risk.customer_sums,
+    }
+    for name, plan in doubles.items():
+        plans[f"{name}_doubles"] = lambda plan=plan: plan(b.fact)
+    plans["kpi_account_type_doubles"] = lambda: star.kpi_account_type(b.fact, b.kept["accounts"])
+    plans["master_transaction_summary_doubles"] = lambda: master.transaction_summary(b.keyed)
+    plans["monthly_trends_doubles"] = lambda: master.monthly_trends(b.keyed)
+    for name in ("dim_accounts", "kept_loans", "ri_report_after"):
+        plans[f"run_{name}"] = lambda name=name: b.run(name)
 
     plans["master_table"] = lambda: master.master_table(b.stored)
     summed = {
@@ -215,17 +264,26 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     return plans
 
 
-def _within_error(df: DataFrame, column: str, p: float, found: DataFrame, rows: str) -> DataFrame:
-    """One row: how many rows there are, and whether the sketch's quantile is within its
-    rank error, ties on either side counted in its favour."""
-    at = F.col("at")
-    counted = df.withColumn("at", found.scalar()).agg(
-        F.count(F.lit(1)).alias(rows),
-        F.avg((F.col(column) < at).cast("int")).alias("lower"),
-        F.avg((F.col(column) <= at).cast("int")).alias("upper"),
-    )
-    within = (F.col("lower") <= p + quantile.ERROR) & (F.col("upper") >= p - quantile.ERROR)
-    return counted.select(rows, within.alias("within_error"))
+def _near(df: DataFrame, column: str, p: float) -> tuple[Column, Column]:
+    """The values a rank error below and above the quantile."""
+    off = (max(0.0, p - quantile.ERROR), min(1.0, p + quantile.ERROR))
+    return tuple(quantile.quantile(df, column, q, exact=True).scalar() for q in off)
+
+
+def _placed(df: DataFrame, kept: DataFrame, key: str, column: str, p: float) -> DataFrame:
+    """All rows with whether the plan ``kept`` them; 'either' where the rank error of the sketch leaves it open."""
+    low, high = _near(df, column, p)
+    open_ = (F.col(column) >= F.col("low")) & (F.col(column) < F.col("high"))
+    marked = df.join(kept.select(key, F.lit(True).alias("has")), key, "left").withColumns({"low": low, "high": high})
+    return marked.select(key, column, F.when(open_, "either").when(F.col("has"), "in").otherwise("out").alias("place"))
+
+
+def _imputed(df: DataFrame, column: str) -> DataFrame:
+    """The imputed column; of the rows that had no value, whether theirs is within the rank error."""
+    low, high = _near(df, column, 0.5)
+    filled = quantile.impute_median(df.withColumn("given", F.col(column)), column).withColumns({"low": low, "high": high})
+    within = F.when(F.col("given").isNull(), F.col(column).between(F.col("low"), F.col("high")))
+    return filled.select("loan_id", F.col("given").alias(column), within.alias("within_error"))
 
 
 _banks: dict[tuple, Bank] = {}
