@@ -64,7 +64,7 @@ def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.report(_table(spark, sf_dir, "documents")).drop("spans")
+    return repeats.report(_table(spark, sf_dir, "documents"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

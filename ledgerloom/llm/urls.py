@@ -1,16 +1,17 @@
 """URL filter: rules first, then a tree of path templates learned from labelled urls.
 
-For every host the paths form a tree of segments. Level by level, segments that look
-like an id (a digit in the stem, or very long) become wildcards, and the children of a node
-whose share of blocked urls is statistically like that of all its children are merged
-into one wildcard branch; children that differ stay as they are. Urls without a label count as
+For every host the paths form a tree of segments. Segments that look like an id (a digit
+in the stem, or very long) become wildcards, and the children of a node whose share of
+blocked urls is statistically like that of all its children are merged into one wildcard
+branch; children that differ stay as they are. Urls without a label count as
 alike. A template is rejected if its share of blocked urls, smoothed towards that of its
 host and that towards all hosts, is over a limit.
 
-The tree is built by one grouped sum a level over distinct paths, so a hot host or a hot
-url is combined before the shuffle. It goes as deep as paths share a node: past ``DEPTH``,
-paths that have ended or are alone in their node, whose branches would all be merged,
-are set aside.
+The tree is built over distinct paths, by grouped sums that are combined before the shuffle, so a
+hot host or a hot url is no large group. An only child never differs from its
+parent, so runs of only children are merged at one go: a round takes every node to the next
+place where paths part, and past it. The number of rounds is that of the places where
+paths part one below the other, not the depth of the paths.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, which
 only the templates judge; repeated rows get one verdict each; with no label at all
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut, free_name
 
-DEPTH = 8
 LONG = 25
 #: Chi-square with one degree of freedom, 5 %.
 DIFFERS = 3.84
@@ -66,41 +66,58 @@ def _merged(part: Column) -> Column:
     return F.when(part.startswith("*"), part).otherwise(F.lit("*"))
 
 
+def _text(parts: Column) -> Column:
+    """A run of segments as it is in a template, all of them merged."""
+    return F.array_join(F.transform(parts, lambda x: F.concat(F.lit("/"), _merged(x))), "")
+
+
 def templates(paths: DataFrame) -> DataFrame:
     """Of rows (host, path, labelled, blocked), one for each host and path: host, path,
     template."""
-    parts = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
+    parts = F.transform(F.split(F.regexp_replace("path", "^/", ""), "/", -1), _shaped)
     rows = paths.withColumn("parts", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(parts))
-    rows = cut(rows.withColumn("template", F.lit("")))
-    depth, aside = rows.agg(F.max(F.size("parts"))).first()[0] or 0, []
-    for level in range(depth):
-        if level >= DEPTH:
-            alone = rows.groupBy("host", "template").agg((F.count("*") == 1).alias("alone"))
-            rows = cut(rows.join(alone, ["host", "template"]).withColumn("alone", F.col("alone") | (F.size("parts") <= level)))
-            rest = F.slice("parts", level + 1, F.greatest(F.size("parts") - level, F.lit(0)))
-            rest = F.array_join(F.transform(rest, lambda x: F.concat(F.lit("/"), _merged(_shaped(x)))), "")
-            aside.append(rows.where("alone").drop("alone").withColumn("template", F.concat("template", rest)))
-            rows = rows.where("not alone").drop("alone")
-            if rows.isEmpty():
-                break
-        part = F.get("parts", F.lit(level))
-        rows = rows.withColumn("part", F.when(part.isNotNull(), _shaped(part)))
-        node = ["host", "template"]
-        children = rows.where("part is not null").groupBy(*node, "part").agg(
-            F.sum("labelled").alias("seen"), F.sum("blocked").alias("bad")
-        )
-        pooled = children.groupBy(*node).agg(F.sum("seen").alias("all_seen"), F.sum("bad").alias("all_bad"))
-        share = (F.col("all_bad") + 0.5) / (F.col("all_seen") + 1)
-        far = F.pow(F.col("bad") - F.col("seen") * share, 2) / (F.greatest("seen", F.lit(1)) * share * (1 - share))
-        stays = children.join(pooled, node).where(far > DIFFERS).select(*node, "part", F.lit(True).alias("stays"))
-        joined = rows.join(stays, [*node, "part"], "left")
-        wild = _merged(F.col("part"))
-        step = F.concat(F.col("template"), F.lit("/"), F.when(F.col("stays"), F.col("part")).otherwise(wild))
-        rows = joined.withColumn("template", F.when(F.col("part").isNull(), F.col("template")).otherwise(step))
-        rows = cut(rows.drop("part", "stays"))
-    for some in aside:
-        rows = rows.unionByName(some)
-    return rows.drop("parts")
+    rows, done, node = cut(rows.withColumn("template", F.lit(""))), [], ["host", "template"]
+    while True:
+        done.append(rows.where(F.size("parts") == 0))
+        rows = rows.where(F.size("parts") > 0)
+        if rows.isEmpty():
+            break
+        rows = cut(_parted(_jumped(rows, node), node))
+    out = done[0]
+    for some in done[1:]:
+        out = out.unionByName(some)
+    return out.drop("parts")
+
+
+def _jumped(rows: DataFrame, node: list[str]) -> DataFrame:
+    """Every node taken to the first segment in which two of its paths differ; where one
+    path is the beginning of another they agree. The last path in order differs from each
+    other one no later than any two of them do."""
+    rows = rows.join(rows.groupBy(*node).agg(F.max("parts").alias("last")), node)
+    differ = F.array_position(F.zip_with("parts", "last", lambda a, b: a != b), F.lit(True))
+    rows = rows.withColumn("same", F.when(differ > 0, differ - 1).cast("int"))
+    rows = rows.join(rows.groupBy(*node).agg(F.min("same").alias("run")), node)
+    run = F.least(F.coalesce("run", F.size("parts")), F.size("parts"))
+    begun = F.concat("template", _text(F.slice("parts", F.lit(1), run)))
+    rest = F.slice("parts", run + 1, F.greatest(F.size("parts") - run, F.lit(0)))
+    return rows.withColumns({"template": begun, "parts": rest}).drop("last", "same", "run")
+
+
+def _parted(rows: DataFrame, node: list[str]) -> DataFrame:
+    """Every node taken past its next segment."""
+    rows = rows.withColumn("part", F.get("parts", F.lit(0)))
+    children = rows.where("part is not null").groupBy(*node, "part").agg(
+        F.sum("labelled").alias("seen"), F.sum("blocked").alias("bad")
+    )
+    pooled = children.groupBy(*node).agg(F.sum("seen").alias("all_seen"), F.sum("bad").alias("all_bad"))
+    share = (F.col("all_bad") + 0.5) / (F.col("all_seen") + 1)
+    far = F.pow(F.col("bad") - F.col("seen") * share, 2) / (F.greatest("seen", F.lit(1)) * share * (1 - share))
+    stays = children.join(pooled, node).where(far > DIFFERS).select(*node, "part", F.lit(True).alias("stays"))
+    rows = rows.join(stays, [*node, "part"], "left")
+    step = F.concat("template", F.lit("/"), F.when(F.col("stays"), F.col("part")).otherwise(_merged(F.col("part"))))
+    rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
+    moved = {"template": F.when(F.col("part").isNull(), F.col("template")).otherwise(step), "parts": rest}
+    return rows.withColumns(moved).drop("part", "stays")
 
 
 def judge(

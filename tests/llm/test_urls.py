@@ -1,3 +1,4 @@
+import random
 import re
 
 from ledgerloom.llm import urls
@@ -67,3 +68,66 @@ def test_paths_that_part_deep_down(table):
     assert len(found) == len(rows)
     assert all(found[i].verdict == ("block" if bad else "allow") for i, _, bad in rows)
     assert found[1000].template.endswith("/good/" + "/".join(["*"] * 61))
+
+
+def brute_templates(paths):
+    """{(host, path): template} of {(host, path): (labelled, blocked)}, level by level."""
+
+    def shaped(segment):
+        stem = segment.split(".", 1)[0]
+        return "*" + segment[len(stem) :] if re.search("[0-9]", stem) or len(stem) >= urls.LONG else segment
+
+    def merged(part):
+        return part if part.startswith("*") else "*"
+
+    out = {}
+    live = {key: ("", [shaped(s) for s in key[1].removeprefix("/").split("/")] if key[1] else []) for key in paths}
+    while live:
+        nodes = {}
+        for key, (template, rest) in live.items():
+            if not rest:
+                out[key] = template
+            else:
+                nodes.setdefault((key[0], template), []).append(key)
+        moved = {}
+        for (_, template), keys in nodes.items():
+            sums = {}
+            for key in keys:
+                seen, bad = sums.get(live[key][1][0], (0, 0))
+                sums[live[key][1][0]] = seen + paths[key][0], bad + paths[key][1]
+            seen, bad = (sum(x) for x in zip(*sums.values()))
+            share = (bad + 0.5) / (seen + 1)
+            for key in keys:
+                part, *rest = live[key][1]
+                own, own_bad = sums[part]
+                far = (own_bad - own * share) ** 2 / (max(own, 1) * share * (1 - share))
+                moved[key] = f"{template}/{part if far > urls.DIFFERS else merged(part)}", rest
+        live = moved
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    draw = random.Random(6)
+    words = ["a", "bad", "c7", "d.html", "e12.html", "f" * 30, "", "good", "*"]
+    paths = {}
+    for _ in range(1500):
+        host = draw.choice(["h.net", "h.org", "k.org"])
+        path = "".join("/" + draw.choice(words[: draw.randint(1, 9)]) for _ in range(draw.randint(0, 6)))
+        bad = "bad" in path
+        n = draw.randint(0, 9)
+        paths[host, path] = n, sum(draw.random() < (0.9 if bad else 0.1) for _ in range(n))
+    trap = "/trap" + "/a" * 50
+    for i in range(0, 100, 2):
+        paths["h.net", trap[: 5 + i]] = 1, i % 4 // 2
+    frame = spark.createDataFrame([(h, p, n, bad) for (h, p), (n, bad) in paths.items()], "host string, path string, labelled long, blocked long")
+    found = {(r.host, r.path): r.template for r in urls.templates(frame).collect()}
+    want = brute_templates(paths)
+    assert found == want and len(set(want.values())) > 30
+
+
+def test_rounds_do_not_grow_with_the_depth(table, monkeypatch):
+    rounds, parted = [], urls._parted
+    monkeypatch.setattr(urls, "_parted", lambda *x: rounds.append(1) or parted(*x))
+    rows = [(i, f"http://a.net{'/same' * 2000}/{i}", i % 2) for i in range(6)] + [(100 + i, f"http://b.net{'/trap' * (40 * i)}", 0) for i in range(30)]
+    found = urls.judge(table(rows, "page_id long, url string, spam int"), [], labels=urls.F.col("spam")).collect()
+    assert {r.template.count("/") for r in found if r.page_id < 6} == {2001} and sum(rounds) <= 3
