@@ -47,10 +47,17 @@ def test_recall(table, scale):
         assert near == sorted(near, key=lambda x: (-x[1], x[0]))
 
 
-def test_copies_ties_and_parts(table):
+@pytest.fixture()
+def all_found(monkeypatch):
+    """A probe that finds every neighbour of every query."""
+    monkeypatch.setattr(nearest, "WANTED", 1.0)
+    monkeypatch.setattr(nearest, "FITTED", 10_000)
+
+
+def test_copies_ties_and_parts(table, all_found):
     """A third of all vectors is one vector, in parts of a few rows: ties go to small ids."""
     rows = [(i, v.tolist()) for i, v in enumerate(clusters(200, 8, 4))] + [(1000 + i, [1.0] + [0.0] * 7) for i in range(100)]
-    got = found(table(rows, "vec_id long, embedding array<float>"), 7, tables=2, probes=16, part=10)
+    got = found(table(rows, "vec_id long, embedding array<float>"), 7, part=10)
     want = brute(rows, 7, lambda i: i % 5 == 0)
     for i in range(1000, 1100, 5):
         assert [j for j, _ in got[i]] == [j for j, _ in want[i]]
@@ -58,29 +65,70 @@ def test_copies_ties_and_parts(table):
 
 
 @pytest.mark.parametrize("times", [2, 30])
-def test_rows_repeated_more_often_than_k(table, times):
+def test_rows_repeated_more_often_than_k(table, times, all_found):
     """Repeated rows don't use up the places of other ids with the same vector."""
     rows = [(i, v.tolist()) for i, v in enumerate(clusters(40, 8, 6))] + [(1000 + i, [1.0] + [0.0] * 7) for i in range(30)]
-    got = found(table(rows * times, "vec_id long, embedding array<float>"), 20, tables=2, probes=16)
+    got = found(table(rows * times, "vec_id long, embedding array<float>"), 20)
     want = brute(rows, 20, lambda i: i % 5 == 0)
     assert got == {i: [(j, pytest.approx(s, abs=1e-12)) for j, s in near] for i, near in want.items()}
 
 
-def test_queries_of_a_cell_are_dealt_into_parts(table, monkeypatch):
+def test_queries_of_a_cell_are_dealt_into_parts(table, monkeypatch, all_found):
     sizes = table([], "a long").sparkSession.sparkContext.accumulator(0)
     rows = [(i, v.tolist()) for i, v in enumerate(clusters(400, 8, 7))]
     ranked = nearest._ranked
 
-    def watched(vectors, queries, k):
+    def watched(vectors, queries, *options):
         sizes.add(int(len(queries) > 40))  # 10 on average, dealt by a hash
-        return ranked(vectors, queries, k)
+        return ranked(vectors, queries, *options)
 
     monkeypatch.setattr(nearest, "_ranked", watched)
-    got = found(table(rows, "vec_id long, embedding array<float>"), 5, tables=1, probes=16, part=10)
+    got = found(table(rows, "vec_id long, embedding array<float>"), 5, part=10)
     assert sizes.value == 0
     assert got == {i: [(j, pytest.approx(s, abs=1e-12)) for j, s in near] for i, near in brute(rows, 5, lambda i: i % 5 == 0).items()}
 
 
+def work(rows, every=5, k=20):
+    """Of all pairs, the share that the fitted probe compares, and how many of the nearest it finds."""
+    own = np.array(rows, float)
+    asks = np.arange(0, len(own), every)
+    turn = nearest.Rotations(own.shape[1], False)
+    keys, signed = turn.keys(own, 0.0), turn.signed(own[asks])
+    score = own[asks] @ own.T
+    score[np.arange(len(asks)), asks] = -np.inf
+    near = np.argsort(-score, axis=1)[:, :k]
+    ranks = [nearest.places(signed[t]) for t in range(nearest.MOST_TABLES)]
+    some = slice(0, nearest.FITTED)
+    losses = np.take_along_axis(nearest.joint(signed, keys), near, axis=1)[some].ravel()
+    placed = np.stack([np.take_along_axis(r, keys[near, t], axis=1)[some].ravel() for t, r in enumerate(ranks)], axis=1)
+    probe = nearest.fitted(losses, placed, 2 * turn.size)
+    met = np.zeros(score.shape, bool)
+    for table in range(probe.tables):
+        met |= ranks[table][:, keys[:, table]] < probe.buckets
+    met &= nearest.joint(signed, keys) >= probe.bound
+    return met.mean(), np.take_along_axis(met, near, axis=1).mean(), probe
+
+
+def test_the_share_of_comparisons_falls_with_the_table():
+    """Directions without any order, the hardest case."""
+    shares = []
+    for n in (1000, 4000, 16000):
+        rows = np.random.default_rng(n).normal(size=(n, 32))
+        share, recall, _ = work(rows / np.linalg.norm(rows, axis=1, keepdims=True), every=n // 200)
+        assert recall >= 0.93
+        shares.append(share)
+    assert shares[0] < 0.5 and shares[2] < 0.5 * shares[0]
+
+
+def test_near_neighbours_need_few_buckets():
+    draw = np.random.default_rng(2)
+    middles = draw.normal(size=(300, 32))
+    rows = middles[draw.integers(0, 300, 9000)] + 0.1 * draw.normal(size=(9000, 32))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    share, recall, probe = work(rows, every=45)
+    assert recall >= 0.93 and share < 0.02 and probe.tables * probe.buckets <= 16
+
+
 def test_vectors_that_take_no_part(table):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (5, [0.5, 0.5]), (1, None), (2, []), (3, [0.0, -0.0]), (10, [nan, 1.0]), (4, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 0.0]), (7, [1.0, 0.0]), (15, [1.0, 2.0, 3.0]), (8, [-0.0, 1.0]), (9, [0.0, 1.0]), (None, [1.0, 1.0])]
@@ -89,9 +137,10 @@ def test_vectors_that_take_no_part(table):
     assert got == {i: near for i, near in brute(unique, 20, lambda i: i % 5 == 0).items() if near}
 
 
-def test_hungry_queries_search_everything(table):
+def test_hungry_queries_search_everything(table, monkeypatch):
+    monkeypatch.setattr(nearest, "fitted", lambda *_: nearest.Probe(1, 1, 0.9))
     rows = [(i, v.tolist()) for i, v in enumerate(clusters(60, 16, 5))]
-    got = found(table(rows, "vec_id long, embedding array<float>"), 20, tables=1, probes=1)
+    got = found(table(rows, "vec_id long, embedding array<float>"), 20)
     assert {i: [j for j, _ in n] for i, n in got.items()} == {i: [j for j, _ in n] for i, n in brute(rows, 20, lambda i: i % 5 == 0).items()}
 
 
