@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.model import DAY_FORMAT, MISSING_TOKENS, SENTINEL_DAY, Amount, AsIs, Day, Ident, Label
@@ -48,18 +48,17 @@ def money(c: str, type: str = "double") -> Column:
     """
     text = f"trim({_blank_to_null(c)})"
     bare = f"regexp_replace({text}, '[^0-9.-]', '')"
-    return _finite(f"try_cast(CASE WHEN {text} RLIKE '{_WELL_FORMED}' THEN {text} ELSE {bare} END AS {type})", type)
+    return F.expr(f"try_cast(CASE WHEN {text} RLIKE '{_WELL_FORMED}' THEN {text} ELSE {bare} END AS {type})")
 
 
 def plain_number(c: str, type: str = "double") -> Column:
-    return _finite(f"try_cast({_blank_to_null(c)} AS {type})", type)
+    return F.expr(f"try_cast({_blank_to_null(c)} AS {type})")
 
 
-def _finite(number: str, type: str) -> Column:
-    """Text such as ``NaN`` or ``Infinity`` is no amount: NULL. (NaN sorts above infinity.)"""
-    if type not in ("double", "float"):
-        return F.expr(number)
-    return F.expr(f"transform(array({number}), x -> CASE WHEN abs(x) < double('Infinity') THEN x END)[0]")
+def finite(c: str) -> Column:
+    """Text such as ``NaN`` or ``1e999`` is no amount: NULL. (NaN sorts above infinity.) For a column
+    that has been read already, in a projection of its own: then the text is read once."""
+    return F.expr(f"CASE WHEN abs({c}) < double('Infinity') THEN {c} END").alias(c)
 
 
 def sentinel_day() -> Column:
@@ -79,8 +78,15 @@ def placeholders(fields: Sequence) -> dict[str, Column]:
 _READINGS = {"digits": digits, "money": money, "plain": plain_number}
 
 
+def read_fields(raw: DataFrame, fields: Sequence, others: Sequence[str] = ()) -> DataFrame:
+    """The typed values of raw text columns, before any median imputation."""
+    typed = raw.select(*[read_field(f) for f in fields], *others)
+    doubles = {f.name for f in fields if isinstance(f, Amount) and f.type in ("double", "float")}
+    return typed.select(*(finite(c) if c in doubles else c for c in typed.columns))
+
+
 def read_field(f) -> Column:
-    """The typed value of a raw text column, before any median imputation."""
+    """The typed value of one column; of a double it may be infinite or NaN."""
     match f:
         case Ident():
             value = ident(f.name)

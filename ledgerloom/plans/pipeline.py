@@ -25,7 +25,7 @@ from ledgerloom.model import ENTITIES, RELATIONS, Entity
 from ledgerloom.operators import integrity, skew
 from ledgerloom.plans import bronze, master, risk, silver, star
 from ledgerloom.sources.raw import absent_columns, read_raw, source_mark
-from ledgerloom.sources.tables import Buckets, current, read_table, store
+from ledgerloom.sources.tables import Buckets, current, head, read_table, store
 
 #: Part of every mark: changed whenever the same inputs and options give other rows.
 RULES = 3
@@ -64,6 +64,15 @@ class Options:
 _BUCKET_KEYS = {"accounts": "account_id", "transactions": "account_id", "customers": "customer_id", "loans": "customer_id"}
 
 
+#: Datasets that are stored in the order in which they are read.
+ORDERS = {
+    "kpi_top_customers": ("-total_spent", "customer_id"),
+    "kpi_branch_performance": ("-branch_revenue", "branch_id"),
+    "kpi_customer_branch": ("-total_amount", "customer_id", "branch_id"),
+    "kpi_monthly_trend": ("month",),
+}
+
+
 def bucket_key(dataset: str) -> str | None:
     layer, _, entity = dataset.partition("_")
     return _BUCKET_KEYS.get(entity) if layer in ("silver", "marked", "kept", "dim", "fact") else None
@@ -231,7 +240,7 @@ def run(
             return read_table(spark, place, fmt)
         key = bucket_key(name) if options.buckets and "/" not in target else None
         buckets = Buckets(options.buckets, key) if key else None
-        return store(plan[name].build(inputs), place, fmt, marks.get(name), buckets=buckets)
+        return store(plan[name].build(inputs), place, fmt, marks.get(name), buckets=buckets, order=ORDERS.get(name, ()))
 
     tables = dict(sources)
     waiting = [name for name in plan if name in wanted]
@@ -263,6 +272,11 @@ def _mark(name: str, dataset: Dataset, options: Options, lacking: Lacking, fmt:
     return hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()
 
 
+def top(spark: SparkSession, target: str, name: str, k: int) -> DataFrame:
+    """The first ``k`` rows of one of the ``ORDERS``, from the first files of the stored dataset."""
+    return head(spark, f"{target.rstrip('/')}/{name}" if "/" in target else f"{target}.{name}", k)
+
+
 def _closure(plan: Mapping[str, Dataset], names: set[str]) -> set[str]:
     needed: set[str] = set()
     waiting = [n for n in names]

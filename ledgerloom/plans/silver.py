@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import ident, placeholders, read_field
+from ledgerloom.functions.text import ident, placeholders, read_fields
 from ledgerloom.model import ACCOUNTS, AUDIT_COLUMN, BRANCHES, CUSTOMERS, LOANS, TRANSACTIONS, Entity
 from ledgerloom.operators import sketches
 from ledgerloom.operators.dedup import latest_by
@@ -49,7 +49,7 @@ def clean(
     the exact median instead of a sketch, ``sketch`` the stored ones of :func:`amount_sketches`.
     ``audit`` adds the time of loading, or the time given.
     """
-    typed = raw.select(*[read_field(f) for f in entity.fields], *prefer)
+    typed = read_fields(raw, entity.fields, prefer)
     rows = require_key(typed, entity.key)
     if require_fk:
         rows = require_fks(rows, [k for k in entity.foreign_keys if k not in optional_fks])
@@ -65,7 +65,7 @@ def clean(
 def amount_sketches(raw: DataFrame, entity: Entity) -> DataFrame:
     """Sketches of the amounts of a raw table, over all rows that can be read, as its
     medians ask for. To be stored, and merged with those of other loads."""
-    typed = raw.select(*[read_field(f) for f in entity.amounts])
+    typed = read_fields(raw, entity.amounts)
     return reduce(DataFrame.unionByName, (sketches.sketch(typed, f.name, F.lit(f.name).alias("amount")) for f in entity.amounts))
 
 

@@ -12,6 +12,9 @@ moves the location. Formats that keep versions of their own (``delta`` and the l
 left to them. A catalog table may be stored in buckets of a key: joins and aggregates on
 the key then need no shuffle, as long as both sides have the same number of buckets.
 
+A dataset may be stored in global order: its files are the parts of that order, and the
+pointer has the number of rows of each, so that the first rows are read from the first files.
+
     <target>/_versions/00000007-<id>/part-...   the rows
     <target>/_current/00000007                  which folder, its format, what it was made of
 """
@@ -19,10 +22,13 @@ the key then need no shuffle, as long as both sides have the same number of buck
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.sources.files import Exists, Store, decoded, literal
 
@@ -39,6 +45,8 @@ class Version(NamedTuple):
     path: str
     fmt: str
     mark: str | None  # what the writer says the rows were made of
+    order: tuple[str, ...] = ()
+    parts: tuple[tuple[str, int], ...] = ()  # file and rows, in that order
 
 
 def _is_path(target: str) -> bool:
@@ -61,7 +69,8 @@ def versions(spark: SparkSession, target: str) -> list[Version]:
     for name in files.names(f"{folder}/_current"):
         if name.isdigit():
             told = json.loads(files.text(f"{folder}/_current/{name}"))
-            found.append(Version(int(name), f"{folder}/_versions/{told['folder']}", told["format"], told.get("mark")))
+            place, parts = f"{folder}/_versions/{told['folder']}", tuple(map(tuple, told.get("parts", ())))
+            found.append(Version(int(name), place, told["format"], told.get("mark"), tuple(told.get("order", ())), parts))
     return sorted(found)
 
 
@@ -87,6 +96,27 @@ def _load(spark: SparkSession, version: Version) -> DataFrame:
     return spark.read.format(version.fmt).load(literal(version.path))
 
 
+def _ordering(order: Sequence[str]) -> list[Column]:
+    """``-name`` is descending. NULL is last."""
+    return [F.col(f"`{c[1:]}`").desc_nulls_last() if c.startswith("-") else F.col(f"`{c}`").asc_nulls_last() for c in order]
+
+
+def head(spark: SparkSession, target: str, k: int) -> DataFrame:
+    """The first ``k`` rows of a dataset that is stored in order, from as many files as that takes."""
+    version = current(spark, target)
+    if version is None or not version.order:
+        raise ValueError(f"{target} is not stored in order")
+    files, rows = [], 0
+    for name, n in version.parts:
+        files.append(literal(f"{version.path}/{name}"))
+        rows += n
+        if rows >= k:
+            break
+    schema = _load(spark, version).schema
+    found = spark.read.format(version.fmt).schema(schema).load(files) if files else spark.createDataFrame([], schema)
+    return found.orderBy(*_ordering(version.order)).limit(k)
+
+
 class Buckets(NamedTuple):
     number: int
     key: str
@@ -99,18 +129,20 @@ def store(
     mark: str | None = None,
     kept: int = KEPT,
     buckets: Buckets | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Replace what is stored at a path, or under a name, and return the frame that reads it
     back. ``mark`` is kept with the version; ``kept`` versions stay. ``buckets`` are for names only; a key
-    with a large part of the rows makes one large bucket."""
+    with a large part of the rows makes one large bucket. ``order`` has the columns of a global order,
+    ``-name`` for a descending one, for :func:`head`."""
     spark = df.sparkSession
     if fmt in OWN_VERSIONS or target.count(".") > 1 and not _is_path(target):
         return _left_to_format(df, target, fmt)
     if _is_path(target):
-        return _load(spark, _written(df, _folder(spark, target), fmt, mark, kept))
+        return _load(spark, _written(df, _folder(spark, target), fmt, mark, kept, order=order))
     _finish_move(spark, target)
     spark.sql(f"DROP TABLE IF EXISTS {_next(target)}")
-    _point(df, target, _written(df, _folder(spark, target), fmt, mark, kept, buckets, _next(target)), buckets)
+    _point(df, target, _written(df, _folder(spark, target), fmt, mark, kept, buckets, _next(target), order), buckets)
     return spark.read.table(target)
 
 
@@ -133,22 +165,26 @@ def _left_to_format(df: DataFrame, target: str, fmt: str) -> DataFrame:
 
 
 def _written(
-    df: DataFrame, folder: str, fmt: str, mark: str | None, kept: int, buckets: Buckets | None = None, table: str = ""
-) -> Version:
+    df: DataFrame, folder: str, fmt: str, mark: str | None, kept: int, buckets: Buckets | None = None, table: str = "",
+    order: Sequence[str] = (),
+) -> Version:
     """A new version of the rows; with ``buckets`` it is registered as ``table``, too."""
     spark = df.sparkSession
     files, before = Store(spark, folder), versions(spark, folder)
     number = before[-1].number + 1 if before else 1
     name = f"{number:08d}-{uuid.uuid4().hex}"
-    version = Version(number, f"{folder}/_versions/{name}", fmt, mark)
+    version = Version(number, f"{folder}/_versions/{name}", fmt, mark, tuple(order))
     try:
         if buckets:
             # Dealt out like the buckets, so that each is one file.
             writer = df.repartition(*buckets).write.format(fmt).bucketBy(*buckets).sortBy(buckets.key)
             writer.option("path", version.path).saveAsTable(table)
         else:
-            df.write.format(fmt).save(version.path)
-        files.put_new(f"{folder}/_current/{number:08d}", json.dumps({"folder": name, "format": fmt, "mark": mark}))
+            (df.orderBy(*_ordering(order)) if order else df).write.format(fmt).save(version.path)
+        told = {"folder": name, "format": fmt, "mark": mark}
+        if order:
+            told |= {"order": list(order), "parts": _parts(_load(spark, version))}
+        files.put_new(f"{folder}/_current/{number:08d}", json.dumps(told))
     except Exists as error:
         files.remove(version.path)
         raise Conflict(f"{folder} was overwritten meanwhile") from error
@@ -159,6 +195,12 @@ def _written(
     return version
 
 
+def _parts(stored: DataFrame) -> list[tuple[str, int]]:
+    """The files of a sort and their rows, in order: Spark numbers them."""
+    counts = stored.groupBy(stored.metadataColumn("_metadata")["file_name"].alias("name")).count().collect()
+    return sorted(((r["name"], r["count"]) for r in counts), key=lambda r: (int(re.match(r"part-(\d+)", r[0])[1]), r[0]))
+
+
 def _prune(files: Store, folder: str, kept: list[Version]) -> None:
     """Drop pointers and folders older than the ``kept`` ones, leavings of broken runs and
     files from before there were versions."""

@@ -191,6 +191,15 @@ def test_ordering_and_limits_are_options(gold):
     ]
 
 
+def test_top_rows_of_a_run_are_read_from_its_first_files(spark, folder, tmp_path):
+    options = pipeline.Options(exact=True, scale=2)
+    pipeline.run(pipeline.read_sources(spark, folder), f"{tmp_path}/lake", options, only=set(pipeline.ORDERS))
+    got = pipeline.top(spark, f"{tmp_path}/lake", "kpi_top_customers", 1)
+    assert [(r.customer_id, r.total_spent) for r in got.collect()] == [("C1", 50.0)]
+    assert len(got.inputFiles()) == 1 and "TakeOrderedAndProject" in physical(got)
+    assert [r.month for r in pipeline.top(spark, f"{tmp_path}/lake", "kpi_monthly_trend", 2).collect()] == ["1900-01", "2024-01"]
+
+
 def exchanges(df):
     return physical(df).count("Exchange hashpartitioning")
 

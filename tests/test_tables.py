@@ -128,3 +128,24 @@ def test_buckets_come_and_go(spark, books, five, rows):
         plan = got.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
         assert ("Exchange" not in plan) == bool(buckets)
     assert [t.name for t in spark.catalog.listTables("books")] == ["kept"]
+
+
+def test_the_first_rows_come_from_the_first_file(spark, target):
+    frame = spark.range(2000).selectExpr("id", "CASE WHEN id % 7 = 3 THEN NULL ELSE (id * 37) % 500 END AS n").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store(frame, target, order=("-n", "id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = current(spark, target).parts
+    assert len(parts) > 2 and sum(n for _, n in parts) == 2000
+    want = sorted(((r.id, r.n) for r in frame.collect()), key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    for k, files in ((5, 1), (parts[0][1], 1), (parts[0][1] + 1, 2), (3000, len(parts))):
+        got = tables.head(spark, target, k)
+        assert [tuple(r) for r in got.collect()] == want[:k]
+        assert len(got.inputFiles()) == files
+    store(frame.limit(0), target, order=("-n", "id"))
+    assert tables.head(spark, target, 3).collect() == []
+    store(frame, target)
+    with pytest.raises(ValueError, match="not stored in order"):
+        tables.head(spark, target, 3)

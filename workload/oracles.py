@@ -444,6 +444,8 @@ SELECT account_id, customer_id, branch_id, account_type, opening_balance, accoun
     # Ordered and limited forms of the KPIs. Ties go by the key.
     finals["kpi_top_customers_10"] = f"{_MONEY_KPIS['kpi_top_customers']}, customer_id LIMIT 10"
     finals["kpi_customer_branch_10"] = f"{_MONEY_KPIS['kpi_customer_branch']}, customer_id, branch_id LIMIT 10"
+    finals["kpi_top_customers_stored_10"] = finals["kpi_top_customers_10"]
+    finals["kpi_customer_branch_stored_10"] = finals["kpi_customer_branch_10"]
     finals["kpi_branch_performance_ordered"] = _MONEY_KPIS["kpi_branch_performance"]
     finals["kpi_monthly_trend_ordered"] = f"""
 SELECT * FROM ({_MONEY_KPIS['kpi_monthly_trend']}) q WHERE month <> '1900-01' ORDER BY month"""

@@ -19,6 +19,7 @@ from ledgerloom.plans import bronze, master, pipeline, risk, silver, star
 from ledgerloom.session import configure
 from ledgerloom.sources.raw import read_raw
 from ledgerloom.sources.scratch import scratch_dir, stage
+from ledgerloom.sources.tables import head, store
 from workload.raw import CLEAN, NUMERIC, PREFER, RAW, driver_table, frame
 
 SCALE = 2
@@ -114,6 +115,13 @@ class Bank:
         """Sketches of the amounts, one for each transaction type, as a stored table."""
         return stage(sketches.sketch(self.stored_fact, "transaction_amount", "transaction_type"), "fact_sketches")
 
+    def stored_top(self, name: str, plan: Callable[..., DataFrame], k: int) -> DataFrame:
+        """The first rows of a KPI that is stored in order."""
+        spark = self.fact.sparkSession
+        path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        store(plan(self.fact, scale=SCALE), path, order=pipeline.ORDERS[name])
+        return head(spark, path, k)
+
     def run(self, name: str) -> DataFrame:
         """A dataset by way of a pipeline run over the raw tables."""
         if self._runs is None:
@@ -203,6 +211,8 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     plans["customer_risk_score"] = lambda: risk.score(b.stored_sums)
     plans["csv_accounts"] = lambda: silver.clean(b.from_csv, ENTITIES["accounts"], exact=b.exact, audit=False)
     plans["kpi_top_customers_10"] = lambda: star.kpi_top_customers(b.fact, k=10, scale=SCALE)
+    plans["kpi_top_customers_stored_10"] = lambda: b.stored_top("kpi_top_customers", star.kpi_top_customers, 10)
+    plans["kpi_customer_branch_stored_10"] = lambda: b.stored_top("kpi_customer_branch", star.kpi_customer_branch, 10)
     plans["kpi_customer_branch_10"] = lambda: star.kpi_customer_branch(b.fact, k=10, scale=SCALE)
     plans["kpi_branch_performance_ordered"] = lambda: star.kpi_branch_performance(b.fact, order=True, scale=SCALE)
     plans["kpi_monthly_trend_ordered"] = lambda: star.kpi_monthly_trend(b.fact, True, exclude_sentinel=True, scale=SCALE)
