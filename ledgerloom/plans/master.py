@@ -109,9 +109,8 @@ def _times(column: str, weight: str, scale: int | None) -> Column:
     return m.weighted(column, F.col(weight), scale)
 
 
-def master_table(t: Tables) -> DataFrame:
-    """The wide table itself: one row per customer, account, transaction and
-    loan combination. As large as that sounds; summaries do not need it."""
+def _moved(t: Tables) -> DataFrame:
+    """Accounts with their branch, and their transactions if any."""
     branches = t["branches"].select(
         "branch_id", "branch_name", F.col("city").alias("branch_city"), "branch_state"
     )
@@ -132,6 +131,13 @@ def master_table(t: Tables) -> DataFrame:
         "transaction_amount",
         "transaction_date",
     )
+    # Branches join while there is still one row per account.
+    held = accounts.join(branches, "branch_id", "left")
+    return outer_join_many(held, transactions, "account_id")
+
+
+def _lent(t: Tables) -> DataFrame:
+    """Customers, and their loans if any."""
     loans = t["loans"].select(
         "customer_id",
         "loan_id",
@@ -143,15 +149,50 @@ def master_table(t: Tables) -> DataFrame:
     customers = t["customers"].select(
         "customer_id", "first_name", "last_name", "email", "phone_number", "city", "occupation", "dob"
     )
-    # Branches join while there is still one row per account.
-    held = accounts.join(branches, "branch_id", "left")
-    moved = outer_join_many(held, transactions, "account_id")
-    lent = outer_join_many(customers, loans, "customer_id")
-    wide = moved.join(lent, "customer_id", "inner")
-    lone = lent.join(accounts.select("customer_id").distinct(), "customer_id", "left_anti")
+    return outer_join_many(customers, loans, "customer_id")
+
+
+def master_table(t: Tables) -> DataFrame:
+    """The wide table itself: one row per customer, account, transaction and
+    loan combination. As large as that sounds; summaries do not need it, and
+    :func:`factored` stores the same rows without multiplying them out."""
+    lent = _lent(t)
+    wide = _moved(t).join(lent, "customer_id", "inner")
+    accounts = t["accounts"].select("customer_id").distinct()
+    lone = lent.join(accounts, "customer_id", "left_anti")
     return wide.unionByName(lone, allowMissingColumns=True)
 
 
+#: Rows to a piece of the factored table, about.
+PIECE = 1000
+
+
+def factored(t: Tables, piece: int = PIECE) -> dict[str, DataFrame]:
+    """The wide table as two factors, ``moves`` and ``lent``: rows (customer_id, piece, rows), each with
+    an array of about ``piece`` rows of one customer. A customer's wide rows are all combinations of
+    their two factors, which only :func:`expanded` forms. So the stored size is that of
+    the sum of transactions and loans, and a customer with very many is many pieces."""
+    return {"moves": _pieces(_moved(t), piece), "lent": _pieces(_lent(t), piece)}
+
+
+def _pieces(rows: DataFrame, piece: int) -> DataFrame:
+    sizes = rows.groupBy("customer_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("int").alias("pieces"))
+    own = [c for c in rows.columns if c != "customer_id"]
+    # Dealt by the row itself: equal rows are there as often as they come, wherever they go.
+    dealt = rows.join(sizes, "customer_id").withColumn("piece", F.pmod(F.xxhash64(*own), F.col("pieces")).cast("int"))
+    return dealt.groupBy("customer_id", "piece").agg(F.collect_list(F.struct(*own)).alias("rows"))
+
+
+def expanded(factors: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of :func:`master_table` from its stored factors: pairs of pieces, multiplied out where they are read."""
+    moves = factors["moves"].select("customer_id", F.col("rows").alias("_moves"))
+    lent = factors["lent"].select("customer_id", F.col("rows").alias("_lent"))
+    both = outer_join_many(lent, moves, "customer_id")
+    one = both.select("customer_id", "_lent", F.explode_outer("_moves").alias("_move"))
+    all_rows = one.select("customer_id", "_move", F.explode("_lent").alias("_loan"))
+    return all_rows.select("customer_id", "_move.*", "_loan.*")
+
+
 def master_fact(t: Tables, grain: str = EXACT) -> DataFrame:
     """The fact columns with every customer kept, even without transactions."""
     moves = t["transactions"].select(

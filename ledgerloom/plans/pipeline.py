@@ -195,6 +195,9 @@ def datasets(options: Options = Options(), lacking: Lacking | None = None) -> di
         found[plan.__name__] = Dataset(gold, lambda t, plan=plan: plan(_gold_tables(t), o.grain), ("grain",))
     # As large as its rows: every combination of a customer's transactions and loans.
     found["master_table"] = Dataset(gold, lambda t: master.master_table(_gold_tables(t)))
+    # The same rows unmultiplied; ``master.expanded`` reads them.
+    for name in ("moves", "lent"):
+        found[f"master_{name}"] = Dataset(gold, lambda t, name=name: master.factored(_gold_tables(t))[name])
     return found
 
 

@@ -176,3 +176,22 @@ def test_segment_boundaries(spark):
 def test_unknown_grain_is_refused(fan):
     with pytest.raises(ValueError):
         master.customer_summary(fan, "other")
+
+
+@pytest.mark.parametrize("piece", [1000, 7, 1])
+def test_factors_expand_to_the_wide_table(tables, rows, piece):
+    wide = master.master_table(tables)
+    got = master.expanded(master.factored(tables, piece))
+    assert sorted(got.columns) == sorted(wide.columns)
+    assert rows(got, *wide.columns) == rows(wide, *wide.columns)
+
+
+def test_factors_are_as_large_as_the_sum(fan):
+    """The product is not stored, and a customer with many rows is many pieces."""
+    factors = master.factored(fan, 10)
+    sizes = {name: f.select(F.size("rows").alias("n"), "customer_id").collect() for name, f in factors.items()}
+    accounts, moves, loans = (fan[n].count() for n in ("accounts", "transactions", "loans"))
+    assert sum(r.n for r in sizes["moves"]) <= accounts + moves
+    assert sum(r.n for r in sizes["lent"]) <= fan["customers"].count() + loans
+    assert all(r.n <= 40 for name in sizes for r in sizes[name])
+    assert master.expanded(factors).count() == master.master_table(fan).count()

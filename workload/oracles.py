@@ -356,6 +356,7 @@ _FACT_COLUMNS = (
 
 _MASTER = {
     "master_table": "SELECT * FROM wide",
+    "master_table_expanded": "SELECT * FROM wide",
     "master_fact_joined": f"SELECT {_FACT_COLUMNS} FROM wide",
     "master_fact": """
 SELECT t.transaction_id, o.account_id, o.customer_id, o.branch_id, t.transaction_amount, t.transaction_type,

@@ -131,6 +131,10 @@ class Bank:
             self._runs = pipeline.run(sources, target, options, only={"dim_accounts", "kept_loans", "ri_report_after"}, resume=False)
         return self._runs[name].drop(AUDIT_COLUMN)
 
+    @cached_property
+    def stored_factors(self) -> dict[str, DataFrame]:
+        return {name: stage(f, f"master_{name}") for name, f in master.factored(self.stored).items()}
+
     @cached_property
     def stored_sums(self) -> DataFrame:
         return stage(risk.customer_sums(self.fact, SCALE), "customer_sums")
@@ -248,6 +252,7 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
         plans[f"run_{name}"] = lambda name=name: b.run(name)
 
     plans["master_table"] = lambda: master.master_table(b.stored)
+    plans["master_table_expanded"] = lambda: master.expanded(b.stored_factors)
     summed = {
         "master_customer_summary": master.customer_summary,
         "master_branch_performance": master.branch_performance,
