@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    common, contamination, exact_copies, hard_negatives, language, mixing, near_duplicates, nearest, personal, repeats, spelling,
-    token_records, urls, warc,
+    common, contamination, exact_copies, hard_negatives, language, mixing, near_duplicates, nearest, oracles, personal, repeats,
+    spelling, token_records, urls, warc,
 )
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -113,16 +113,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
-#: Operators that SQL can express over whole tables.
-SQL = {
-    "op11_exact_copies": r"""
-SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = min(doc_id) OVER same AS kept, sha256(content) AS text_sha256
-FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents) t
-WINDOW same AS (PARTITION BY content)
-""",
-}
-
-
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(oracles.SQL)
