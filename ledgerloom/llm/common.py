@@ -51,10 +51,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
+#: Rows of a checkpoint file, where the number of rows is known beforehand.
+FILE_ROWS = 50_000
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` stored in the shared folder: its lineage ends there, so a lost
-    executor costs a read, and its files go when Spark no longer needs them."""
-    shared_folder(df.sparkSession)
+    executor costs a read. ``rows`` is how many it has at most: it is then written by as many tasks as
+    that takes, two for each core at least, and not in a small file for every shuffle partition."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    if rows is not None:
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, rows // FILE_ROWS))
     return df.checkpoint(True)
 
 

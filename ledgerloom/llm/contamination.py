@@ -231,6 +231,8 @@ def clean(
     of = found.columns[-1]
     share = _hit_words(of) / F.greatest(F.col(f"{of}.n_words"), F.lit(1))
     kept = found.where(share <= max_coverage)
+    if max_coverage <= 0:
+        return kept.drop(of)  # no hit is left to cut out
     return kept.withColumn(text_col, _without_runs(F.col(text_col), F.col(f"{of}.hits"), F.lit(max_run))).drop(of)
 
 

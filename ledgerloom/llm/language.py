@@ -174,7 +174,8 @@ def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: st
         for texts in batches:
             yield pd.DataFrame([own.predict(t)[: len(names)] for t in texts], columns=names)
 
-    return docs.withColumn(out, guess(F.col(text_col).cast("string")))
+    # Called non-deterministic, or a filter on the result would have every text scored once more.
+    return docs.withColumn(out, guess.asNondeterministic()(F.col(text_col).cast("string")))
 
 
 def letters(text: Column) -> Column:
@@ -182,6 +183,14 @@ def letters(text: Column) -> Column:
     return F.length(F.regexp_replace(text.cast("string"), r"\P{L}+", ""))
 
 
+def _found_right(docs: DataFrame, profiles: Profiles, text_col: str, lang_col: str) -> DataFrame:
+    """(told, step) of the labelled rows whose language is found right."""
+    name = free_name(docs, "found")
+    rows = predict(docs.where(F.col(lang_col).isNotNull()), profiles, text_col, name, told=True)
+    rows = rows.where((F.col(name)["lang"] != UNKNOWN) & (F.col(name)["lang"] == F.col(lang_col).cast("string")))
+    return rows.select(F.col(name)["told"].alias("told"), F.floor(F.col(name)["score"] * STEPS).alias("step"))
+
+
 def limits(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> list[float | None]:
     """The score under which a text is like no learned language, by class: texts of
     ``2 ** n`` runs and more, up to twice as many, where repeated runs count for less. It is
@@ -190,14 +199,10 @@ def limits(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col
     less: no such row is under its limit. A class of fewer than ``LEAST_ROWS`` rows takes the
     limit of the next shorter class, whose texts score lower; if there is none, it has
     no limit."""
-    name, step = free_name(docs, "found"), free_name(docs, "step")
-    rows = predict(docs.where(F.col(lang_col).isNotNull()), profiles, text_col, name, told=True)
-    rows = rows.where((F.col(name)["lang"] != UNKNOWN) & (F.col(name)["lang"] == F.col(lang_col).cast("string")))
-    rows = rows.select(F.col(name)["told"].alias("told"), F.floor(F.col(name)["score"] * STEPS).alias(step))
     # Bounded by the classes and the steps.
     counts: dict[int, list[tuple[int, int]]] = {}
-    for r in rows.groupBy("told", step).count().collect():
-        counts.setdefault(r["told"], []).append((r[step], r["count"]))
+    for r in _found_right(docs, profiles, text_col, lang_col).groupBy("told", "step").count().collect():
+        counts.setdefault(r["told"], []).append((r["step"], r["count"]))
     out: list[float | None] = []
     for own in range(max(counts, default=-1) + 1):
         steps = sorted(counts.get(own, []))

@@ -227,33 +227,36 @@ def groups(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("of"),
         *(F.first(c).alias(c) for c in _SIGNATURE),
     )
-    classes = cut(classes)
+    classes = cut(classes, rows.count())
+    total = classes.count()
+    most = total * CHUNKS * SYMBOLS
     entries = _entries(classes)
     shared = entries.groupBy("key").agg(F.count("*").alias("met"), F.min("node").alias("pivot")).where("met > 1")
-    members = cut(entries.join(shared.select("key", "pivot"), "key"))
+    members = cut(entries.join(shared.select("key", "pivot"), "key"), most)
     involved = members.select("node").distinct().join(classes, "node").select("node", "of.doc_id", "of.tag")
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
     found = source.alias("s").join(
         involved.alias("i"), (F.col("s.tag") == F.col("i.tag")) & F.col("s.doc_id").eqNullSafe(F.col("i.doc_id"))
     )
+    # A file for each shuffle partition: these rows hold texts.
     texts = cut(found.groupBy("i.node").agg(F.min("s.text").alias("text")))
     signatures = classes.select("node", *_SIGNATURE)
 
-    links = cut(_confirmed(_pairs_with(members.select("node", "pivot"), signatures, percent), texts, size, percent))
-    roots = cut(components(links))
-    total = signatures.count()
+    # A row of ``members`` gives a pair at most.
+    links = cut(_confirmed(_pairs_with(members.select("node", "pivot"), signatures, percent), texts, size, percent), most)
+    roots = cut(components(links), total)
     for turn in range(PIVOT_ROUNDS + 1):
         marked = members.select("key", "cell", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         by_root = marked.groupBy("key", "root").agg(F.count("*").alias("n"))
         split = by_root.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("roots"))
-        split = cut(split.where("roots > 1"))
+        split = cut(split.where("roots > 1"), most)
         left = split.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
-        marked = cut(marked.join(split.select("key"), "key"))
+        marked = cut(marked.join(split.select("key"), "key"), most)
         last = left <= 10 * total or turn == PIVOT_ROUNDS
         if last:
             chunk = F.get(F.array(*_CHUNK_NAMES), F.floor(F.col("cell") / SYMBOLS).cast("int"))
-            sides = cut(marked.join(signatures, "node").withColumn("own", chunk))
+            sides = cut(marked.join(signatures, "node").withColumn("own", chunk), most)
             near = sides.alias("x").join(
                 sides.alias("y"),
                 (F.col("x.key") == F.col("y.key"))
@@ -270,7 +273,7 @@ def groups(
             )
             met = marked.join(chosen, "key").where(F.col("root") != F.col("p.root"))
             pairs = _pairs_with(met.select("node", F.col("p.node").alias("pivot")), signatures, percent)
-        links = cut(_confirmed(pairs, texts, size, percent))
+        links = cut(_confirmed(pairs, texts, size, percent), int(left) if last else most)
         joined = links.select("a", "b").union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(joined)
         if last:
@@ -284,7 +287,7 @@ def report(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc
     rows, roots = groups(docs, size, percent, id_col, text_col)
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node")
     smallest = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = cut(least.select("node", "root").join(smallest, "root").select("node", "component_id"))
+    placed = cut(least.select("node", "root").join(smallest, "root").select("node", "component_id"), rows.count())
     out = rows.join(placed, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )

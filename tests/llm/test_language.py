@@ -1,6 +1,8 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from ledgerloom.llm import language
 from ledgerloom.llm.queries import op7_language_id
 
@@ -53,3 +55,13 @@ def test_query_reads_no_label_of_the_fold(spark, docs, tmp_path, long_text):
         docs(some).write.parquet(f"{tmp_path}/{name}/documents.parquet")
         got.append(sorted(map(tuple, op7_language_id(spark, f"{tmp_path}/{name}").collect()), key=repr))
     assert got[0] == got[1]
+
+
+def test_texts_are_scored_once(docs):
+    """A filter on the result is no reason to score the texts again."""
+    frame = docs([(i, written("ab"[i % 2] * 2, 30, i), "ab"[i % 2] * 2, None) for i in range(20)])
+    profiles = language.learn(frame)
+    limited = language.predict(frame, profiles, told=True).where(language.alike(F.col("found"), [0.5, None]))
+    for found in (limited, limited.drop("found"), language._found_right(frame, profiles, "text", "lang")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
