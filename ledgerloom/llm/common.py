@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import re
 import tempfile
 import uuid
@@ -37,6 +39,22 @@ def held(key: tuple, make: Callable):
     return _held[key]
 
 
+_folders: list[str] = []
+
+
+def _remove_at_end(folder: str) -> None:
+    """Checkpoints and stored tables go when Python ends, also after a failure: Spark itself leaves them."""
+    if not _folders:
+        atexit.register(_remove_all)
+    _folders.append(folder)
+
+
+def _remove_all() -> None:
+    while _folders:
+        with contextlib.suppress(OSError):
+            remove(_folders.pop())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. A session on one machine
     that names none gets a temporary one; a cluster must name one."""
@@ -48,6 +66,9 @@ def shared_folder(spark: SparkSession) -> str:
         spark.conf.set(CONF, folder)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
+    # A folder of this application's own in the shared one.
+    if (own := spark.sparkContext.getCheckpointDir()) not in _folders:
+        _remove_at_end(own)
     return folder
 
 
@@ -105,7 +126,9 @@ def stored_order(df: DataFrame, out: str) -> DataFrame:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _remove_at_end(path)
+    return path
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:

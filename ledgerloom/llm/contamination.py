@@ -5,9 +5,11 @@ streamed through it word by word; the state tells the longest run that ends at t
 word and occurs in some item. Where that run has ``window`` words or more, its last
 ``window`` words are a hit; an item of fewer words is a hit where it occurs whole.
 
-The benchmark is cut into pieces of a bounded number of words, by a hash of the item. An
-automaton is built and broadcast for one piece after the other, so the broadcast is
-bounded whatever the size of the benchmark.
+A benchmark of many words is cut into pieces: items into runs of words that overlap by a window
+less one word, which have the same windows, and the runs by a hash. An automaton is built and
+broadcast for one piece after the other, so the broadcast is bounded whatever the size of the
+benchmark or of an item. Every piece reads the texts once; only the hits are stored, by a hash of
+128 bits of the text, and joined to the documents at the end.
 
 Defined results: null and empty texts have no words and no hits; items without words
 match nothing; an item id that is null counts as the empty text; repeated items
@@ -18,14 +20,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import cut, free_name
+from ledgerloom.llm.common import batched, cut, free_name, rows_of
 
 WINDOW = 10
 PIECE_WORDS = 400_000
@@ -143,7 +146,7 @@ class Automaton:
         return merged(hits), found
 
 
-def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching runs as one."""
     out: list[list[int]] = []
     for start, end in sorted(runs):
@@ -155,6 +158,23 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _RUNS = T.ArrayType(T.ArrayType(T.LongType()))
+_WORDS = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+
+
+def _runs(tests: DataFrame, window: int, longest: int) -> DataFrame:
+    """(item, nth, text): the items in runs of ``longest`` words that have all their windows."""
+    kind = pa.schema([("item", pa.string()), ("nth", pa.int64()), ("text", pa.string())])
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple]:
+            for item, text in rows_of(batches, "item", "text"):
+                own = words(text)
+                for at in range(0, max(1, len(own) - window + 1), longest - window + 1):
+                    yield item, at, b" ".join(own[at : at + longest]).decode()
+
+        yield from batched(out(), kind)
+
+    return tests.mapInArrow(cut_up, "item string, nth long, text string")
 
 
 def find(
@@ -169,35 +189,69 @@ def find(
     # A word takes a byte and a separator at least.
     size = tests.agg(F.sum(F.octet_length("text") + F.lit(1))).first()[0] or 0
     pieces = max(1, -(-size // (2 * piece_words)))
+    if pieces > 1:
+        return _in_pieces(docs, _runs(tests, window, max(2 * window, piece_words // 8)), pieces, name, text_col, window)
     kind = T.StructType(
         [T.StructField("n_words", T.LongType()), T.StructField("hits", _RUNS), T.StructField("items", T.ArrayType(T.StringType()))]
     )
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    machine = spark.sparkContext.broadcast(Automaton([(r.item, words(r.text)) for r in tests.collect()], window))
+    return docs.mapInArrow(_scanner(machine, text_col, name), T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+
+
+def _in_pieces(docs: DataFrame, runs: DataFrame, pieces: int, name: str, text_col: str, window: int) -> DataFrame:
+    spark, text = docs.sparkSession, F.col(text_col).cast("string")
+    runs, tags = cut(runs), (F.xxhash64(text), F.xxhash64(text, F.lit(1)))
+    slim, hits = docs.select(tags[0].alias("a"), tags[1].alias("b"), text.alias("text")), []
     for piece in range(pieces):
-        own = tests.where(F.pmod(F.xxhash64("item"), F.lit(pieces)) == piece) if pieces > 1 else tests
+        own = runs.where(F.pmod(F.xxhash64("item", "nth"), F.lit(pieces)) == piece)
         machine = spark.sparkContext.broadcast(Automaton([(r.item, words(r.text)) for r in own.collect()], window))
-        docs = docs.mapInArrow(_scanner(machine, text_col, name, piece > 0), schema)
-        if pieces > 1:
-            docs = cut(docs)
-    return docs
+        hits.append(cut(slim.mapInArrow(_hit_rows(machine), "a long, b long, hits array<array<long>>, items array<string>")))
+        machine.destroy()
+    found = reduce(DataFrame.unionAll, hits).groupBy("a", "b").agg(
+        F.flatten(F.collect_set("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hits", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+
+    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(((a, b, merged(map(tuple, runs)), items) for a, b, runs, items in rows_of(batches, *kind.names)), kind)
+
+    found = found.mapInArrow(join_up, "a long, b long, hits array<array<long>>, items array<string>")
+    a, b, hit, item = (free_name(docs, c) for c in ("a", "b", "hits", "items"))
+    tagged = docs.withColumns({a: tags[0], b: tags[1]}).join(found.toDF(a, b, hit, item), [a, b], "left")
+    told = F.struct(
+        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_WORDS)).cast("long").alias("n_words"),
+        F.coalesce(hit, F.array().cast(_RUNS)).alias("hits"),
+        F.coalesce(item, F.array().cast("array<string>")).alias("items"),
+    )
+    return tagged.select(*docs.columns, told.alias(name))
+
+
+def _hit_rows(machine):
+    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hits", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple]:
+            for a, b, text in rows_of(batches, "a", "b", "text"):
+                hits, items = machine.value.scan(words(text))
+                if hits:
+                    yield a, b, hits, sorted(items)
+
+        yield from batched(out(), kind)
+
+    return scan
 
 
-def _scanner(machine, text_col: str, name: str, again: bool):
+def _scanner(machine, text_col: str, name: str):
     kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = machine.value
         for batch in batches:
             found = []
-            before = batch.column(name).to_pylist() if again else [None] * batch.num_rows
-            for text, old in zip(batch.column(text_col).to_pylist(), before, strict=True):
-                text = words(text)
+            for text in map(words, batch.column(text_col).to_pylist()):
                 hits, items = automaton.scan(text)
-                if old:
-                    hits, items = merged([*hits, *map(tuple, old["hits"])]), items | set(old["items"])
                 found.append({"n_words": len(text), "hits": hits, "items": sorted(items)})
-            names = [n for n in batch.schema.names if n != name]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(found, kind)], names=[*names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, name])
 
     return scan
 

@@ -74,6 +74,15 @@ def test_report_equals_brute_force(spark, docs, long_text, piece_words):
     assert sorted(map(tuple, found.collect()), key=repr) == brute(corpus(long_text), ITEMS, 10)
 
 
+def test_one_item_longer_than_a_piece(spark, docs, prose):
+    item = prose(900, 3, 60)
+    parts = item.split()
+    rows = [(i, " ".join([*prose(20, i, 60).split(), *parts[i * 17 : i * 17 + 5 + i], "end"])) for i in range(50)] + [(99, item), (100, item)]
+    items = spark.createDataFrame([("long", item), ("short", "one two")], "item_id string, text string")
+    found = contamination.report(docs(rows), items, piece_words=200)
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(rows, [("long", item), ("short", "one two")], 10)
+
+
 def test_clean_cuts_or_drops(spark, docs, long_text):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     frame = docs(corpus(long_text))
