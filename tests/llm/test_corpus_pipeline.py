@@ -101,7 +101,7 @@ def test_stage_order():
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries()) == list(range(1, 14))
 
 
 def test_empty_documents(spark, docs, tmp_path):
