@@ -428,6 +428,7 @@ SELECT customer_id, loan_type,
                 (SELECT quantile_disc(try_cast(loan_amount AS DOUBLE), 0.5) FROM raw_loans), 0) AS loan_amount
 FROM raw_loans"""
     finals["ri_report"] = _report("", "silver_")
+    finals["ri_report_marked"] = finals["ri_report"]
     finals["ri_report_after"] = _report("_after", "kept_")
     finals["ri_orphans"] = """
 SELECT * FROM silver_transactions t
