@@ -65,3 +65,24 @@ def test_big_integers_are_not_rounded(spark):
     df = spark.createDataFrame([(big,), (None,), (big + 2,)], "v bigint")
     filled = impute_median(df, "v", type="bigint", exact=True)
     assert sorted(r.v for r in filled.collect()) == [big, big, big + 2]
+
+
+def test_exact_quantile_reads_the_table_twice(spark):
+    """Once for the bracket and once for the counts, which the later steps share."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("double(id % 900) AS v").mapInArrow(count, "v double")
+    assert quantile(df, "v", 0.5, exact=True).first()[0] == disc([float(i % 900) for i in range(1000)], 0.5)
+    assert seen.value == 2000
+
+
+@pytest.mark.parametrize("p", [0.0, 0.3, 1.0])
+def test_neighbours_that_share_a_double_are_told_apart(spark, p):
+    values = [2**60 + i for i in range(600)] + [-(2**60) - i for i in range(600)]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(3)
+    assert quantile(df, "v", p, exact=True).first()[0] == disc(values, p)

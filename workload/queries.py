@@ -18,7 +18,7 @@ from ledgerloom.operators import integrity, quantile, sketches, skew
 from ledgerloom.plans import bronze, master, pipeline, risk, silver, star
 from ledgerloom.session import configure
 from ledgerloom.sources.raw import read_raw
-from ledgerloom.sources.scratch import scratch_dir, stage
+from ledgerloom.sources.scratch import scratch_dir, stage, stage_all
 from ledgerloom.sources.tables import head, store
 from workload.raw import CLEAN, NUMERIC, PREFER, RAW, driver_table, frame
 
@@ -40,6 +40,14 @@ class Tables(Mapping):
             self._made[name] = self._make(name)
         return self._made[name]
 
+    def knows(self, name: str) -> bool:
+        return name in self._made
+
+    def add(self, frames: Mapping[str, DataFrame]) -> Tables:
+        """Take frames that were made together."""
+        self._made |= frames
+        return self
+
     def __iter__(self):
         return iter(ENTITIES)
 
@@ -101,6 +109,11 @@ class Bank:
         read_twice = any(name in other.parents.values() for other in ENTITIES.values())
         return stage(marks, f"marks_{name}") if read_twice else marks
 
+    def held(self, *names: str) -> Tables:
+        """The stored tables. Those of ``names`` (all, if none are given) that are not stored yet are stored at once."""
+        missing = {n: self.linked[n] for n in names or ENTITIES if not self.stored.knows(n)}
+        return self.stored.add(stage_all(missing))
+
     @cached_property
     def fact(self) -> DataFrame:
         return star.fact_transactions(self.linked["transactions"], self.linked["accounts"])
@@ -263,7 +276,7 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
     for name in ("dim_accounts", "kept_loans", "ri_report_after"):
         plans[f"run_{name}"] = lambda name=name: b.run(name)
 
-    plans["master_table"] = lambda: master.master_table(b.stored)
+    plans["master_table"] = lambda: master.master_table(b.held())
     plans["master_table_expanded"] = lambda: master.expanded(b.stored_factors)
     summed = {
         "master_customer_summary": master.customer_summary,
