@@ -172,11 +172,16 @@ def factored(t: Tables, piece: int = PIECE) -> dict[str, DataFrame]:
     an array of about ``piece`` rows of one customer. A customer's wide rows are all combinations of
     their two factors, which only :func:`expanded` forms. So the stored size is that of
     the sum of transactions and loans, and a customer with very many is many pieces."""
-    return {"moves": _pieces(_moved(t), piece), "lent": _pieces(_lent(t), piece)}
+    moves = t["transactions"].groupBy("account_id").agg(m.rows("n"))
+    held = t["accounts"].select("customer_id", "account_id").join(moves, "account_id", "left")
+    owned = t["customers"].select("customer_id").join(_loan_counts(t).withColumnRenamed("n_loans", "n"), "customer_id", "left")
+    return {"moves": _pieces(_moved(t), held, piece), "lent": _pieces(_lent(t), owned, piece)}
 
 
-def _pieces(rows: DataFrame, piece: int) -> DataFrame:
-    sizes = rows.groupBy("customer_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("int").alias("pieces"))
+def _pieces(rows: DataFrame, counted: DataFrame, piece: int) -> DataFrame:
+    """``counted`` has ``n``, how many children a parent row has: the rows of a customer are
+    counted from it, so that the wide join need not be done once more for it."""
+    sizes = counted.groupBy("customer_id").agg(F.ceil(F.expr("sum(coalesce(n, 1))") / F.lit(piece)).cast("int").alias("pieces"))
     own = [c for c in rows.columns if c != "customer_id"]
     # Dealt by the row itself: equal rows are there as often as they come, wherever they go.
     dealt = rows.join(sizes, "customer_id").withColumn("piece", F.pmod(F.xxhash64(*own), F.col("pieces")).cast("int"))
@@ -322,8 +327,16 @@ def top_customers(t: Tables, grain: str = EXACT, k: int = TOP) -> DataFrame:
 
 
 def high_risk_customers(t: Tables, grain: str = EXACT, max_balance: float = LOW_BALANCE) -> DataFrame:
-    """Accounts with a low balance whose customer has a loan."""
-    low = F.col("opening_balance") < max_balance
+    """Accounts with a low balance whose customer has a loan. The joined form needs of the other
+    tables only what belongs to such accounts."""
     if _repeats(grain):
-        return master_table(t).filter(low & F.col("loan_id").isNotNull())
-    return _owned(t, lone=False).filter(low).join(_loan_counts(t), "customer_id")
+        return master_table(t).filter(_low(max_balance) & F.col("loan_id").isNotNull())
+    return _owned(t, lone=False).filter(_low(max_balance)).join(_loan_counts(t), "customer_id")
+
+
+def _low(max_balance: float) -> Column:
+    return F.col("opening_balance") < max_balance
+
+
+def low_accounts(accounts: DataFrame, max_balance: float = LOW_BALANCE) -> DataFrame:
+    return accounts.filter(_low(max_balance))

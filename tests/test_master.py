@@ -195,3 +195,9 @@ def test_factors_are_as_large_as_the_sum(fan):
     assert sum(r.n for r in sizes["lent"]) <= fan["customers"].count() + loans
     assert all(r.n <= 40 for name in sizes for r in sizes[name])
     assert master.expanded(factors).count() == master.master_table(fan).count()
+
+
+def test_pieces_are_counted_before_the_wide_join(tables):
+    """The branches are joined to the accounts once: the sizes of the pieces do not need them."""
+    plan = master.factored(tables)["moves"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftOuter, (branch_id") == 2  # matched accounts, and lone ones
