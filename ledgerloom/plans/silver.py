@@ -40,6 +40,7 @@ def clean(
     prefer: Sequence[str] = (),
     audit: bool | Column = True,
     sketch: DataFrame | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Clean a raw table that has the entity's columns as text.
 
@@ -47,10 +48,11 @@ def clean(
     (columns the source does not have). ``prefer`` names extra raw columns, such
     as a load order, of which the lowest wins among duplicates. ``exact`` uses
     the exact median instead of a sketch, ``sketch`` the stored ones of :func:`amount_sketches`.
-    ``audit`` adds the time of loading, or the time given.
+    ``audit`` adds the time of loading, or the time given. ``rows`` are the rows of ``raw`` to
+    clean where not all are wanted (:func:`of_keys`); the medians stay those of ``raw``.
     """
     typed = read_fields(raw, entity.fields, prefer)
-    rows = require_key(typed, entity.key)
+    rows = require_key(typed if rows is None else read_fields(rows, entity.fields, prefer), entity.key)
     if require_fk:
         rows = require_fks(rows, [k for k in entity.foreign_keys if k not in optional_fks])
     rows = latest_by(rows, entity.key, entity.columns, entity.latest, prefer, placeholders(entity.fields))
@@ -85,6 +87,20 @@ def known_keys(raw: DataFrame, entity: Entity) -> DataFrame:
     return idents(raw, entity.key)
 
 
+def keys_with(raw: DataFrame, entity: Entity, wanted: DataFrame) -> DataFrame:
+    """The keys of an entity that have a raw row, be it one that a cleaner drops as a copy, whose foreign key
+    is in ``wanted``, a frame of that one column."""
+    (fk,) = wanted.columns
+    pairs = raw.select(ident(entity.key).alias(entity.key), ident(fk).alias(fk))
+    return require_key(pairs.join(wanted, fk, "left_semi").select(entity.key), entity.key).distinct()
+
+
+def of_keys(raw: DataFrame, entity: Entity, keys: DataFrame) -> DataFrame:
+    """All raw rows of the keys given, as they are."""
+    named = raw.withColumn("_key", ident(entity.key))
+    return named.join(keys.select(F.col(entity.key).alias("_key")), "_key", "left_semi").select(raw.columns)
+
+
 def clean_customers(raw: DataFrame, **options) -> DataFrame:
     return clean(raw, CUSTOMERS, **options)
 

@@ -92,3 +92,23 @@ def test_cleaning_twice_changes_no_key(spark, rows):
     once = silver.clean_accounts(raw(spark, ACCOUNTS, data), exact=True, audit=False)
     twice = silver.clean_accounts(conform(once, ACCOUNTS), exact=True, audit=False)
     assert rows(once) == rows(twice)
+
+
+def test_rows_of_wanted_parents_are_cleaned_like_all_rows(spark):
+    """All copies of a key count, those of other accounts too, and the median is that of all rows."""
+    rows = [
+        ("T1", "A1", "5", "2024-01-01"), ("t1 ", "A2", "6", "2024-01-02"),  # its newest copy is of another account
+        ("T2", "A2", "7", "2024-01-01"), ("T2", "a1", "", "2024-01-03"),  # the other way round, imputed
+        ("T3", "A2", "100", None), ("", "A1", "1", None), ("T4", "A1", "8", None), ("T5", None, "100", None),
+    ]
+    raw = spark.createDataFrame(rows, "transaction_id string, account_id string, transaction_amount string, transaction_date string")
+    raw = raw.selectExpr("*", "'x' AS transaction_type", "'y' AS transaction_media")
+    wanted = spark.createDataFrame([("A1",)], "account_id string")
+    keys = silver.keys_with(raw, TRANSACTIONS, wanted)
+    assert sorted(r.transaction_id for r in keys.collect()) == ["T1", "T2", "T4"]
+    cut = silver.of_keys(raw, TRANSACTIONS, keys)
+    assert cut.count() == 5
+    got = silver.clean(raw, TRANSACTIONS, exact=True, audit=False, rows=cut).join(wanted, "account_id", "left_semi")
+    whole = silver.clean(raw, TRANSACTIONS, exact=True, audit=False).join(wanted, "account_id", "left_semi")
+    assert sorted(got.collect()) == sorted(whole.collect())
+    assert sorted((r.transaction_id, r.transaction_amount) for r in got.collect()) == [("T2", 7.0), ("T4", 8.0)]

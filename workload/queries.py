@@ -81,9 +81,9 @@ class Bank:
         # The same as stored tables, for plans that read a table more than once.
         self.stored = Tables(lambda name: stage(self.linked[name], name))
 
-    def _clean(self, name: str) -> DataFrame:
+    def _clean(self, name: str, rows: DataFrame | None = None) -> DataFrame:
         return silver.clean(
-            self.raw[name], ENTITIES[name], exact=self.exact, prefer=PREFER.get(name, ()), audit=False
+            self.raw[name], ENTITIES[name], exact=self.exact, prefer=PREFER.get(name, ()), audit=False, rows=rows
         )
 
     def _parent(self, name: str) -> DataFrame:
@@ -154,9 +154,25 @@ class Bank:
             self._runs = pipeline.run(sources, target, options, only={"dim_accounts", "kept_loans", "ri_report_after"}, resume=False)
         return self._runs[name].drop(AUDIT_COLUMN)
 
+    @cached_property
+    def risky(self) -> dict[str, DataFrame]:
+        """The stored tables, cut to accounts with a low balance, their transactions and the loans of their customers."""
+        low = stage(master.low_accounts(self.kept["accounts"]), "low_accounts")
+        keys = {"transactions": low.select("account_id"), "loans": low.select("customer_id").distinct()}
+        # A file of keys has a known size, so Spark broadcasts it where it is small. All copies of a key
+        # are cleaned that has one with a wanted account: which copy stays is told by all of them.
+        hits = stage_all({n: silver.keys_with(self.raw[n], ENTITIES[n], k) for n, k in keys.items()})
+        cut = {
+            n: self._clean(n, silver.of_keys(self.raw[n], ENTITIES[n], hits[n])).join(k, k.columns, "left_semi")
+            for n, k in keys.items()
+        }
+        cut["loans"] = integrity.enforce_entity(cut["loans"], ENTITIES["loans"], self.parents)
+        rest = {n: self.linked[n] for n in ("customers", "branches")}
+        return {"accounts": low, **stage_all(cut | rest)}
+
     @cached_property
     def stored_factors(self) -> dict[str, DataFrame]:
-        return {name: stage(f, f"master_{name}") for name, f in master.factored(self.stored).items()}
+        return stage_all(master.factored(self.held()))
 
     @cached_property
     def stored_sums(self) -> DataFrame:
@@ -299,8 +315,13 @@ def _catalog(b: Bank) -> dict[str, Callable[[], DataFrame]]:
             plans[name + suffix] = lambda plan=plan, grain=grain, tables=tables: plan(tables, grain, scale=SCALE)
         for name, plan in by_row.items():
             # Plans that read a table more than once get stored tables.
-            tables = b.linked if grain == master.EXACT and name != "master_fact" else b.stored
-            plans[name + suffix] = lambda plan=plan, grain=grain, tables=tables: plan(tables, grain)
+            if grain == master.EXACT:
+                read = (lambda: b.held("customers", "accounts", "transactions")) if name == "master_fact" else (lambda: b.linked)
+            elif name == "high_risk_customers":
+                read = lambda: b.risky
+            else:
+                read = b.held if name != "master_fact" else lambda: b.held("customers", "accounts", "transactions", "loans")
+            plans[name + suffix] = lambda plan=plan, grain=grain, read=read: plan(read(), grain)
     return plans
 
 
