@@ -1,4 +1,5 @@
 import os
+import threading
 
 import pytest
 
@@ -49,3 +50,28 @@ class Cluster:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.scratch_dir(Cluster)
+
+
+def test_tables_are_stored_at_once(spark, monkeypatch):
+    """Each of the two waits for the other one."""
+    both = threading.Barrier(2, timeout=30)
+    write = scratch.stage
+    monkeypatch.setattr(scratch, "stage", lambda df, label: both.wait() >= 0 and write(df, label))
+    got = scratch.stage_all({"two": spark.range(2), "five": spark.range(5)})
+    assert {name: df.count() for name, df in got.items()} == {"two": 2, "five": 5}
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
+def test_risky_accounts_are_stored_alone(spark):
+    bank = workload.Bank(spark, FOLDER)
+    low = {r.account_id for r in bank.risky["accounts"].collect()}
+    found = {r.account_id for r in bank.risky["transactions"].collect()}
+    assert found and found <= low
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
+def test_a_certificate_stores_no_fact(spark):
+    workload.forget()
+    before = staged(spark)
+    assert workload.queries()["kpi_high_value_txn_certificate"](spark, FOLDER).count() == 1
+    assert [name.split("-")[0] for name in staged(spark) if name not in before] == ["fact_sketches"]
