@@ -26,9 +26,9 @@ import os
 import re
 import struct
 import zlib
-from array import array
-from collections.abc import Iterator
-from itertools import pairwise, repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, pairwise, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +46,13 @@ SHARD_BYTES = 16 << 20
 # encoded one by one; texts with other spacing are encoded whole.
 _SPACES = r"\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _IRREGULAR = rf"[{_SPACES}] | [{_SPACES}]|^ | $|<\|"
-# A word of Latin letters, perhaps with one sign, and perhaps another after a line break:
-# the pre-tokenizer keeps letters together and signs and the break apart.
-_LETTERS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)"
-_LATIN = re.compile(f"{_LETTERS}(?:(\n){_LETTERS})?")
+# Latin letters, perhaps with signs, and perhaps more after a line break: the
+# pre-tokenizer keeps letters together, signs together and the break apart. A sign
+# before letters or an apostrophe may belong to them, so there is none.
+_LETTERS, _SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-&(-/:-@\[-`{-~"
+_WORDS = f"^[{_LETTERS}]+[{_SIGNS}]*(\n[{_LETTERS}]+[{_SIGNS}]*)?$"
 _CACHED = 300_000
+_TEXT_BYTES = 8 << 20
 _HEAD, _SUM, _ID, _ROW = "<Q", "<I", "<Bq", "<qQQ"
 
 
@@ -90,9 +92,18 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _mixes(vocabulary: Iterable[str], letter: dict[int, str]) -> bool:
+    """Whether a token joins what the pre-tokenizer keeps apart in :data:`_WORDS`."""
+    letters = "A-Za-z" + "".join(letter[b] for b in (*range(0x80, 0xC0), *range(0xC3, 0xCA)))
+    line = letter[10]
+    own = f"[{letters}{_SIGNS}{line}{letter[32]}]*"
+    joint = f"[{letters}][{_SIGNS}{line}]|[{_SIGNS}]{line}|{line}[{letters}]"
+    return any(map(re.compile(f"{own}(?:{joint}){own}").fullmatch, vocabulary))
+
+
 class Encoder:
-    """Texts to bytes of ids. Parts of texts between single spaces repeat, so
-    their ids are kept, up to a bounded number of parts."""
+    """Texts to bytes of ids. Parts of texts between single spaces repeat, so the ids of
+    distinct parts are found, and those of a bounded number of parts are kept."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,27 +111,59 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code = "H" if self.type.itemsize == 2 else "I"
-        self.known: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {}
         self.model, self.bytes_as_letters = self.tokenizer.model, _byte_letters()
+        self.separate = not _mixes(self.tokenizer.get_vocab(with_added_tokens=False), self.bytes_as_letters)
+        self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
-    def _learned(self, parts: list[str]) -> dict[str, bytes]:
-        """Parts that begin with a space are encoded many in one text and told
-        apart by the places of their tokens."""
-        width, out = self.type.itemsize, {}
+    def _packed(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The ids up to each end as the bytes of a value."""
+        offsets = np.concatenate(([0], ends)).astype(np.int64) * self.type.itemsize
+        data = pa.py_buffer(np.ascontiguousarray(ids, self.type))
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), data])
+
+    def _others(self, parts: list[str]) -> pa.Array:
+        """Parts, each after a space, are encoded many in one text and told apart by the
+        places of their tokens."""
+        parts, out = [f" {part}" for part in parts], [pa.array([], pa.large_binary())]
         for at in range(0, len(parts), 2000):
             some = parts[at : at + 2000]
             found = self.tokenizer.encode("".join(some), add_special_tokens=False)
             ends = np.cumsum([len(part) for part in some])
             starts = np.array([start for start, _ in found.offsets], np.int64)
-            cuts = [0, *(np.searchsorted(starts, ends) * width).tolist()]
-            flat = np.array(found.ids, self.type).tobytes()
-            out.update(zip(some, (flat[a:b] for a, b in pairwise(cuts)), strict=True))
-        return out
+            out.append(self._packed(np.array(found.ids, self.type), np.searchsorted(starts, ends)))
+        return pa.concat_arrays(out)
+
+    def _words(self, parts: pa.Array) -> pa.Array:
+        """Parts that are words, each after a space: merged by the model without the steps
+        before it, as no token joins letters, signs and breaks."""
+        out, space = [pa.array([], pa.large_binary())], self.bytes_as_letters[32]
+        for at in range(0, len(parts), 2000):
+            some = parts.slice(at, 2000)
+            listed = pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)
+            letters = pc.binary_join(listed, " ")[0].as_py().encode().decode("latin-1").translate(self.bytes_as_letters)
+            tokens = [self.model.tokenize(space + part) for part in letters.split(space)]
+            ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(tokens)), self.type)
+            out.append(self._packed(ids, np.cumsum(list(map(len, tokens)))))
+        return pa.concat_arrays(out)
+
+    def _known_or_learned(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Ids, and the place of each part's among them."""
+        place = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(place.is_null())
+        words = pc.match_substring_regex(new, _WORDS) if self.separate else pa.array(np.zeros(len(new), bool))
+        # Learned in the order words, others.
+        new = [new.filter(words), new.filter(pc.invert(words))]
+        ids = pa.concat_arrays([self.known_ids, self._words(new[0]), self._others(new[1].to_pylist())])
+        at = place.fill_null(-1).to_numpy().astype(np.int64)
+        is_word, gaps = words.to_numpy(zero_copy_only=False), np.flatnonzero(at < 0)
+        at[gaps[is_word]] = len(self.known) + np.arange(len(new[0]))
+        at[gaps[~is_word]] = len(self.known) + len(new[0]) + np.arange(len(new[1]))
+        if len(ids) <= _CACHED:
+            self.known, self.known_ids = pa.concat_arrays([self.known, *new]), ids
+        return ids, at
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """The ids of each of a bounded number of texts. Arrow splits the texts, finds the
@@ -132,53 +175,16 @@ class Encoder:
         split = pc.split_pattern(plain, " ")
         offsets = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
+        ids, at = self._known_or_learned(coded.dictionary)
+        index = at[coded.indices.to_numpy()]
         # The first part of a text has no space before it.
         firsts = [self.whole(t.partition(" ")[0]) if t and not o else b"" for t, o in zip(listed, odd, strict=True)]
-        index[offsets[:-1]] = len(coded.dictionary) + np.arange(len(firsts))
-        known = self._known_or_learned([f" {part}" for part in coded.dictionary.to_pylist()])
-        joined = pa.array([*known, *firsts], pa.large_binary()).take(pa.array(index))
+        index[offsets[:-1]] = len(ids) + np.arange(len(firsts))
+        joined = pa.concat_arrays([ids, pa.array(firsts, pa.large_binary())]).take(pa.array(index))
         at = np.frombuffer(joined.buffers()[1], np.int64)[offsets].tolist()
         data = joined.buffers()[2].to_pybytes() if joined.buffers()[2] else b""
         return [self.whole(t) if o else data[a:b] for t, o, (a, b) in zip(listed, odd, pairwise(at), strict=True)]
 
-    def _word(self, letters: str, spaced: bool) -> bytes:
-        """A word, perhaps after a space, merged by the model without the steps before it."""
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(self.bytes_as_letters)
-        space = self.bytes_as_letters[32] if spaced else ""
-        return array(self.code, [token.id for token in self.model.tokenize(space + letters)]).tobytes()
-
-    def _sign(self, sign: str) -> bytes:
-        if sign not in self.signs:
-            self.signs[sign] = self.whole(sign)
-        return self.signs[sign]
-
-    def _known_or_learned(self, parts: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, parts))
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        learned, others = {}, []
-        for i in gaps:
-            if (word := _LATIN.fullmatch(parts[i], 1)) is None:
-                others.append(parts[i])
-                continue
-            letters, sign, line, *second = word.groups()
-            stem = f" {letters}"
-            ids = self.known.get(stem) or learned.get(stem)
-            if ids is None:
-                ids = learned[stem] = self._word(letters, spaced=True)
-            if sign:
-                ids += self._sign(sign)
-            if line:
-                ids += self._sign(line) + self._word(second[0], spaced=False) + (self._sign(second[1]) if second[1] else b"")
-            learned[parts[i]] = ids
-        learned |= self._learned(others)
-        if len(self.known) + len(learned) <= _CACHED:
-            self.known.update(learned)
-        for i in gaps:
-            found[i] = learned[parts[i]]
-        return found
-
 
 def encoder(path: str) -> Encoder:
     """One for each Python worker: what it learned serves the next tasks."""
@@ -186,10 +192,22 @@ def encoder(path: str) -> Encoder:
 
 
 def encoded(batches: Iterator[pa.RecordBatch], own: Encoder) -> Iterator[tuple[int | None, bytes]]:
+    """Batches of some MB together, as the texts of more rows have fewer distinct parts."""
+
+    def coded(some: list[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+        rows = pa.Table.from_batches(some).combine_chunks()
+        for batch in rows.to_batches():
+            yield from zip(batch.column("id").to_pylist(), own.ids(batch.column("text")), strict=True)
+
+    some, size = [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            yield from zip(part.column("id").to_pylist(), own.ids(part.column("text")), strict=True)
+        some.append(batch)
+        size += batch.nbytes
+        if size >= _TEXT_BYTES:
+            yield from coded(some)
+            some, size = [], 0
+    if some:
+        yield from coded(some)
 
 
 def shard_name(shard: int, kind: str = "bin") -> str:

@@ -55,6 +55,33 @@ def test_round_trip(spark, docs, whole, prose, long_text):
     common.remove(folder)
 
 
+def test_distinct_parts_of_many_batches_are_learned_once(whole, prose, monkeypatch):
+    own, seen = token_records.Encoder(tokenizer_path()), []
+    words = own._words
+    monkeypatch.setattr(own, "_words", lambda parts: seen.extend(parts.to_pylist()) or words(parts))
+    texts = [f"{prose(30, i)} Ende!!! so%%%\nSo a.b, {i}" for i in range(40)]
+    batches = (pa.RecordBatch.from_pydict({"id": [i], "text": [text]}) for i, text in enumerate(texts))
+    found = list(token_records.encoded(batches, own))
+    assert [(i, np.frombuffer(ids, own.type).tolist()) for i, ids in found] == [(i, whole(text)) for i, text in enumerate(texts)]
+    assert len(seen) == len(set(seen)) and {"Ende!!!", "so%%%\nSo"} <= set(seen) and "a.b," not in seen
+
+
+def test_words_need_a_vocabulary_that_keeps_them_apart():
+    letter = token_records._byte_letters()
+    line, space = letter[10], letter[32]
+    assert not token_records._mixes(["ab", f"{space}ab", ".,", line, f"{space}(", f"{letter[0xE2]}.a"], letter)
+    assert all(token_records._mixes([token], letter) for token in ("b.", f"{space}ab,", f"{line}a", f".{line}"))
+
+
+def test_parts_beyond_those_kept(whole, prose, monkeypatch):
+    monkeypatch.setattr(token_records, "_CACHED", 60)
+    own = token_records.Encoder(tokenizer_path())
+    texts = [*ODD, *(prose(40, i) for i in range(4))]
+    for text in (*texts, *texts):
+        assert np.frombuffer(own.ids(pa.array([text]))[0], own.type).tolist() == whole(text)
+    assert len(own.known) == len(own.known_ids) <= 60
+
+
 def test_damage_is_found():
     good = token_records.framed(b"first") + token_records.framed(b"second")
     assert [p for _, p in token_records.unframed(io.BytesIO(good))] == [b"first", b"second"]
