@@ -26,13 +26,23 @@ def latest_by(
     input is split. Each task first keeps its own best row of a key (Spark's
     window group limit), so a key with many copies is never gathered whole:
     the shuffle carries at most one row per key and task.
+
+    A column that is never NULL is NULL in place of its missing value until the row is picked:
+    to order by an expression, Spark would shuffle and sort its value beside the column. The
+    values in ``missing`` are text or days, so that equal ones are the same.
     """
+    missing = missing or {}
+    blanked = [c for c in columns if c in missing and c != key and not df.schema[c].nullable]
 
     def known(c: str) -> Column:
-        return F.nullif(F.col(c), missing[c]) if missing and c in missing else F.col(c)
+        return F.nullif(F.col(c), missing[c]) if c in missing and c not in blanked else F.col(c)
+
+    def restored(c: str) -> Column:
+        return F.coalesce(F.col(c), missing[c]).alias(c) if c in blanked else F.col(c)
 
     order = [known(newest).desc_nulls_last()] if newest else []
     ranked = [key, newest, *prefer]
     order += [known(c).asc_nulls_last() for c in [*prefer, *(c for c in columns if c not in ranked)]]
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("_place", place).filter("_place = 1").select(*columns)
+    rows = df.withColumns({c: F.nullif(F.col(c), missing[c]) for c in blanked}) if blanked else df
+    return rows.withColumn("_place", place).filter("_place = 1").select(*map(restored, columns))

@@ -1,6 +1,7 @@
 """CSV files to gold tables, laziness, and the shape of plans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.model import ENTITIES
 from ledgerloom.operators import integrity
@@ -164,6 +165,19 @@ def test_dedup_keeps_one_row_per_task_before_the_shuffle(spark):
     assert plan.index("Partial") > plan.index("Exchange")
 
 
+def test_dedup_shuffles_no_column_twice(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "if(id % 2 = 0, '-', string(id)) AS v", "coalesce(date(null), DATE '1900-01-01') AS d")
+    kept = latest_by(df, "k", ["k", "v", "d"], "d", missing={"v": F.lit("-"), "d": F.lit("1900-01-01").cast("date")})
+    assert "_w0" not in physical(kept)
+    assert sorted((r.k, r.v, str(r.d)) for r in kept.collect()) == [(0, "15", "1900-01-01"), (1, "1", "1900-01-01"), (2, "11", "1900-01-01")]
+
+
+def test_dedup_tells_null_from_the_missing_value(spark):
+    df = spark.createDataFrame([("a", None), ("b", "-"), ("c", "x"), ("c", "-"), ("c", None)], "k string, v string")
+    kept = latest_by(df, "k", ["k", "v"], missing={"v": F.lit("-")})
+    assert sorted((r.k, r.v) for r in kept.collect()) == [("a", None), ("b", "-"), ("c", "x")]
+
+
 def test_no_cross_joins(gold):
     tables = {**gold, **{f"source_{n}": gold[f"bronze_{n}"] for n in ENTITIES}}
     for name, dataset in pipeline.datasets(pipeline.Options(exact=True)).items():

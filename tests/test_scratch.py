@@ -26,6 +26,15 @@ def test_queries_store_their_tables_once(spark):
     assert first and staged(spark) == first
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
+def test_placed_amounts_store_no_other_column(spark):
+    workload.forget()
+    workload.queries()["kpi_high_value_txn_default"](spark, FOLDER)
+    banks = [b for b in workload._banks.values() if "stored_amounts" in b.__dict__]
+    assert [b.stored_amounts.columns for b in banks] == [["transaction_id", "transaction_amount"]]
+    assert not any("stored_fact" in b.__dict__ for b in banks)
+
+
 def test_clear_removes_the_folder(spark):
     scratch.stage(spark.range(3), "three")
     folder = scratch.scratch_dir(spark)
