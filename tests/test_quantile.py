@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.quantile import ERROR, impute_median, quantile
 
@@ -45,6 +46,14 @@ def test_exact_quantile_of_tiny_tables(spark, values):
     assert quantile(df, "v", 0.5, exact=True).first()[0] == disc(values, 0.5)
 
 
+def test_sketch_of_few_rows_is_within_its_error(spark):
+    n = 38161
+    for parts in (1, 3, 5):
+        x = spark.range(0, n, 1, parts).select((F.col("id") * 7919 % n + 1).cast("double").alias("x"))
+        rank = quantile(x, "x", 0.9).first()[0]  # the value is its rank
+        assert math.ceil((0.9 - 1e-4) * n) <= rank <= math.ceil((0.9 + 1e-4) * n)
+
+
 def test_sketch_is_within_its_error(spark):
     values = random_values("uniform", 5000)
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
