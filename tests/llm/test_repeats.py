@@ -75,3 +75,20 @@ def test_suffixes_are_sorted(spark, n):
     frame = spark.createDataFrame(list(enumerate(text)), "pos long, sym long")
     found = {r.pos: r["rank"] for r in suffix_array.suffix_ranks(frame, n, small=3, size=16).collect()}
     assert found == {p: i for i, p in enumerate(sorted(range(n), key=lambda p: text[p:]))}
+
+
+@pytest.mark.parametrize("depth", [1, 3, 8, 40])
+def test_a_bounded_depth_bounds_the_levels(spark, monkeypatch, depth):
+    """Copies of one long passage differ only at their ends: the whole order takes seven levels."""
+    draw = random.Random(depth)
+    passage = [draw.choice([5, 6]) for _ in range(150)]
+    text = [x for i in range(5) for x in [*passage, *[5] * 60, -i - 1]]
+    levels, blocks = [], suffix_array._blocks
+    monkeypatch.setattr(suffix_array, "_blocks", lambda *a: levels.append(1) or blocks(*a))
+    frame = spark.createDataFrame(list(enumerate(text)), "pos long, sym long")
+    found = suffix_array.suffix_ranks(frame, len(text), small=3, size=64, depth=depth).collect()
+    order = [r.pos for r in sorted(found, key=lambda r: r["rank"])]
+    assert sorted(r["rank"] for r in found) == list(range(len(text))) and sorted(order) == list(range(len(text)))
+    heads = [text[p : p + depth] for p in order]
+    assert heads == sorted(heads)
+    assert 3 ** (len(levels) - 1) < max(depth, 2)
