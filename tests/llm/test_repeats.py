@@ -92,3 +92,13 @@ def test_a_bounded_depth_bounds_the_levels(spark, monkeypatch, depth):
     heads = [text[p : p + depth] for p in order]
     assert heads == sorted(heads)
     assert 3 ** (len(levels) - 1) < max(depth, 2)
+
+
+def test_anchors_of_many_texts_are_those_of_each(prose):
+    texts = [(prose(70 + 9 * i, 50 + i) + "q" * (N + i)).encode() for i in range(40)] + [b"ab" * 40_000, prose(200, 3).encode()]
+    for run, window in ((repeats.RUN, repeats.WINDOW), (repeats.SAMPLE_RUN, repeats.SAMPLE_WINDOW)):
+        found = [[] for _ in texts]
+        for own, places, hashes in repeats.anchors_of(texts, run, window):
+            for text, *anchor in zip(own.tolist(), places.tolist(), hashes.tolist(), strict=True):
+                found[text].append(tuple(anchor))
+        assert found == [list(zip(*(x.tolist() for x in repeats.anchors(t, run, window)), strict=True)) for t in texts]
