@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import repeats, suffix_array
@@ -102,3 +103,31 @@ def test_anchors_of_many_texts_are_those_of_each(prose):
             for text, *anchor in zip(own.tolist(), places.tolist(), hashes.tolist(), strict=True):
                 found[text].append(tuple(anchor))
         assert found == [list(zip(*(x.tolist() for x in repeats.anchors(t, run, window)), strict=True)) for t in texts]
+
+
+def test_suffixes_are_ranked_among_some(spark):
+    text = [5, 6, 5, 6, 5, 6, 7, -1]
+    frame = spark.createDataFrame(list(enumerate(text)), "pos long, sym long")
+    some = spark.createDataFrame([(p,) for p in (0, 3, 4, 6)], "pos long")
+    found = {r.pos: r["rank"] for r in suffix_array.suffix_ranks(frame, len(text), small=3, size=16, among=some).collect()}
+    assert found == {p: i for i, p in enumerate(sorted((0, 3, 4, 6), key=lambda p: text[p:]))}
+
+
+def test_periodic_texts_are_spelled_once(docs, prose):
+    """Lines that repeat in a text are in the text of all symbols once; what is removed stays the same."""
+    line = prose(14, 9, 3000) + "\n"
+    rows = [(i, prose(30, 20 + i) + line * (12 + 5 * i) + prose(30, 60 + i)) for i in range(8)]
+    rows += [(20 + i, "ab" * (180 + 9 * i) + prose(60, 90 + i)) for i in range(6)]
+    texts = [t.encode() for _, t in rows]
+    parts = [(np.full(len(p), i), p) for i, t in enumerate(texts) for p in [repeats.anchors(t)[0]]]
+    text, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+    gaps = np.where(text[1:] == text[:-1], np.diff(pos), 0)
+    context = np.array([hash(texts[t][max(0, p - repeats.LEFT) : p + repeats.RIGHT]) for t, p in zip(text.tolist(), pos.tolist(), strict=True)])
+    own = repeats.Anchors(pos, np.append(0, gaps), np.append(gaps, 0), context, text)
+    alike = own.alike()
+    some, _, _ = own.spelled(alike)
+    words = [(t, w) for t, w in zip(text.tolist(), own.words(), strict=True)]
+    assert [x != repeats.LATER for x in alike] == [w not in words[:i] for i, w in enumerate(words)]
+    assert len(some) < len(pos) / 2
+    found = repeats.report(docs(rows))
+    assert sorted(map(tuple, found.drop("spans").collect()), key=repr) == brute(rows)
